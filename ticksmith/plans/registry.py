@@ -80,6 +80,424 @@ for _suffix, (_width, _aggs) in BATCH_WIDTHS.items():
     )
 
 
+# --------------------------------------------------------------------------
+# Shared parameters of the registered queries
+# --------------------------------------------------------------------------
+
+# Serving parameters: the coin variable and a fixed "now" so runs repeat.
+PANEL_COIN = "purchase"
+PANEL_NOW = "2024-01-22 00:00:00"
+PANEL_LOOKBACK = "14 days"
+PANEL_START = "2024-01-08 00:00:00"  # PANEL_NOW - PANEL_LOOKBACK
+# Watched symbols for the membership filter.
+WATCHED = ("click", "purchase", "view")
+# Requests the quote service answers with an error status: the 'error' events.
+FAILED_SYMBOL = "error"
+# Ticks whose event-time text is corrupted: payload field k below this value.
+BAD_TIME_BELOW_K = 10
+BAD_TIME_TEXT = "not a time"
+
+
+def _ticks(spark, sf_dir, **kw):
+    from ticksmith.sources.events import read_ticks
+
+    return read_ticks(spark, sf_dir, **kw)
+
+
+def _ntz(col):
+    return col.cast("timestamp_ntz")
+
+
+# --------------------------------------------------------------------------
+# Streaming: append-mode window jobs over the events files (availableNow)
+# --------------------------------------------------------------------------
+
+STREAM_WIDTHS = {
+    "avg_1m": ("1 minute", PRICE),
+    "hla_5m": ("5 minutes", HLA),
+    "hla_10m": ("10 minutes", HLA),
+}
+
+
+def run_stream_job(spark: SparkSession, sf_dir: str, width: str, aggs: dict, tag: str) -> str:
+    """Run one window job over the events files to completion; return the table path."""
+    from ticksmith.config import WindowSpec
+    from ticksmith.session import shared_path
+    from ticksmith.sinks.keyed import KeyedTable
+    from ticksmith.sources.events import stream_ticks
+    from ticksmith.streaming.jobs import start_window_query
+
+    run = shared_path(spark, "stream", tag)
+    spec = WindowSpec(tag, width, width, dict(aggs))
+    sink = KeyedTable(f"{run}/table")
+    q = start_window_query(
+        stream_ticks(spark, sf_dir), spec, sink, f"{run}/checkpoint", trigger={"availableNow": True}
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream job {tag} failed: {q.exception()}")
+    return sink.path
+
+
+def _stream_query(width: str, aggs: dict, tag: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ticksmith.sources.tables import read_windowed
+
+        return read_windowed(spark, run_stream_job(spark, sf_dir, width, aggs, tag))
+
+    return q
+
+
+for _suffix, (_width, _aggs) in STREAM_WIDTHS.items():
+    _closed = (
+        f"SELECT * FROM ({duck_tumbling_sql(_width, _aggs)}) w "
+        f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval(_width)}"
+    )
+    register(f"stream_{_suffix}", _closed)(_stream_query(_width, _aggs, _suffix))
+
+
+# --------------------------------------------------------------------------
+# JSON tick codec
+# --------------------------------------------------------------------------
+
+_TICK_ROWS_MS = """
+SELECT event_type AS "from", 'EUR' AS "to", date_trunc('millisecond', ts) AS "timestamp", value AS rate
+FROM events
+""".strip()
+
+
+@register("json_roundtrip", _TICK_ROWS_MS)
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks -> JSON message value -> parsed back (cast, from_json, flatten)."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.ticks_json import tag_ticks, tick_json
+    from ticksmith.operators.quality import split
+
+    msgs = _ticks(spark, sf_dir).select(tick_json().cast("binary").alias("value"))
+    good, _ = split(tag_ticks(msgs))
+    return good.select("from", "to", _ntz(F.col("timestamp")).alias("timestamp"), "rate")
+
+
+@register(
+    "null_time_dropped",
+    duck_tumbling_sql(
+        "1 hour",
+        HLA,
+        where=f"TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) >= {BAD_TIME_BELOW_K}",
+    ),
+)
+def null_time_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose event time does not parse never open a window."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.ticks_json import parse_ticks, tick_json
+    from ticksmith.operators.tumbling import tumbling
+
+    ticks = _ticks(spark, sf_dir, keep=("props",))
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    ts_text = F.when(k >= BAD_TIME_BELOW_K, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).otherwise(
+        F.lit(BAD_TIME_TEXT)
+    )
+    msgs = ticks.select(tick_json("from", "to", ts_text, "rate").alias("value"))
+    return tumbling(parse_ticks(msgs), "1 hour", HLA)
+
+
+@register(
+    "tick_quarantine",
+    f"""
+SELECT event_type AS "from", 'missing or unparseable timestamp' AS reason, count(*) AS n
+FROM events
+WHERE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) < {BAD_TIME_BELOW_K}
+GROUP BY 1, 2
+""".strip(),
+)
+def tick_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad tick messages set aside with a reason, counted per symbol and reason."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.ticks_json import tag_ticks, tick_json
+    from ticksmith.operators.quality import split
+
+    ticks = _ticks(spark, sf_dir, keep=("props",))
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    ts_text = F.when(k >= BAD_TIME_BELOW_K, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")).otherwise(
+        F.lit(BAD_TIME_TEXT)
+    )
+    msgs = ticks.select(tick_json("from", "to", ts_text, "rate").alias("value"))
+    _, bad = split(tag_ticks(msgs))
+    return bad.groupBy("from", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------
+# Raw quote responses -> ticks -> keyed messages
+# --------------------------------------------------------------------------
+
+
+def _landed(spark: SparkSession, sf_dir: str):
+    from pyspark.sql import functions as F
+
+    from ticksmith.sources.responses import land_responses
+
+    return land_responses(_ticks(spark, sf_dir), failed=F.col("from") == F.lit(FAILED_SYMBOL))
+
+
+def _flattened(spark: SparkSession, sf_dir: str):
+    from ticksmith.functions.quotes import flatten_requested
+
+    return flatten_requested(_landed(spark, sf_dir))
+
+
+@register("quote_flatten", _TICK_ROWS_MS + f"\nWHERE event_type <> '{FAILED_SYMBOL}'")
+def quote_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses -> status check -> data[symbol][0].quote[currency] -> tick."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.operators.quality import split
+
+    good, _ = split(_flattened(spark, sf_dir))
+    return good.select("from", "to", _ntz(F.col("timestamp")).alias("timestamp"), "rate")
+
+
+@register(
+    "quote_quarantine",
+    f"""
+SELECT event_type AS "from", 'EUR' AS "to", 'API error: This API Key is invalid.' AS reason,
+       ts AS requested_at
+FROM events WHERE event_type = '{FAILED_SYMBOL}'
+""".strip(),
+)
+def quote_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses set aside (error status), each with its reason; nothing throws."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.quotes import flatten_requested
+    from ticksmith.operators.quality import split
+    from ticksmith.sources.responses import land_responses
+
+    ticks = _ticks(spark, sf_dir).withColumn("requested_at", _ntz(F.col("timestamp")))
+    landed = land_responses(ticks, failed=F.col("from") == F.lit(FAILED_SYMBOL), keep=("requested_at",))
+    _, bad = split(flatten_requested(landed, keep=("requested_at",)), good_columns=None)
+    return bad.select("from", "to", "reason", "requested_at")
+
+
+@register(
+    "kafka_frame",
+    f"""
+SELECT event_type || '_EUR' AS key,
+       '{{"from":"' || event_type || '","to":"EUR","timestamp":"'
+         || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","rate":' || CAST(value AS VARCHAR) || '}}' AS value
+FROM events WHERE event_type <> '{FAILED_SYMBOL}'
+""".strip(),
+)
+def kafka_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened quotes as keyed messages (key <SYM>_EUR, flat JSON value with the
+    quote's last_updated text copied verbatim)."""
+    from ticksmith.operators.quality import split
+    from ticksmith.sinks.messages import message_frame
+
+    good, _ = split(_flattened(spark, sf_dir), good_columns=("from", "to", "timestamp_text", "rate"))
+    return message_frame(good, ts_col="timestamp_text")
+
+
+@register(
+    "request_grid",
+    """
+SELECT event_type AS symbol, 'EUR' AS currency, event_type || '_EUR' AS key,
+       printf('https://quotes.invalid/v2/quotes/latest?symbol=%s&convert=%s',
+              replace(event_type, ' ', '%20'), 'EUR') AS url
+FROM (SELECT DISTINCT event_type FROM events)
+""".strip(),
+)
+def request_grid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct symbol x target currency, with message key and request URL."""
+    from ticksmith.sources.events import read_table
+    from ticksmith.sources.grid import request_grid
+
+    symbols = read_table(spark, sf_dir, "events").select("event_type").distinct()
+    return request_grid(symbols, symbol_col="event_type")
+
+
+@register(
+    "symbol_filter",
+    f"""
+SELECT event_type AS "from", 'EUR' AS "to", ts AS "timestamp", value AS rate
+FROM events WHERE event_type IN ({", ".join(f"'{s}'" for s in WATCHED)})
+""".strip(),
+)
+def symbol_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only ticks of the watched symbols (an In predicate pushed to the scan)."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.operators.filters import symbols_in
+
+    return symbols_in(_ticks(spark, sf_dir), WATCHED).select(
+        "from", "to", _ntz(F.col("timestamp")).alias("timestamp"), "rate"
+    )
+
+
+@register(
+    "quote_quarantine_counts",
+    f"""
+SELECT 'API error: This API Key is invalid.' AS reason, count(*) AS n
+FROM events WHERE event_type = '{FAILED_SYMBOL}'
+""".strip(),
+)
+def quote_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantine size per reason."""
+    from ticksmith.operators.quality import reason_counts, split
+
+    _, bad = split(_flattened(spark, sf_dir), good_columns=None)
+    return reason_counts(bad)
+
+
+# --------------------------------------------------------------------------
+# Read side: dashboard panels over windowed tables
+# --------------------------------------------------------------------------
+
+
+def _panel_where(width: str, aggs: dict) -> str:
+    return (
+        f"SELECT * FROM ({duck_tumbling_sql(width, aggs)}) w "
+        f"WHERE from_currency = '{PANEL_COIN}' "
+        f"AND window_start BETWEEN TIMESTAMP '{PANEL_START}' AND TIMESTAMP '{PANEL_NOW}'"
+    )
+
+
+def _windowed_range(spark, sf_dir, width, aggs):
+    from ticksmith.plans.serve import windowed_for_range
+
+    return windowed_for_range(
+        lambda since, until: _ticks(spark, sf_dir, since=since, until=until),
+        width,
+        aggs,
+        PANEL_START,
+        PANEL_NOW,
+        coin=PANEL_COIN,
+    )
+
+
+def _range():
+    import datetime as dt
+
+    from ticksmith.plans.serve import last
+
+    return last(PANEL_LOOKBACK, now=dt.datetime.fromisoformat(PANEL_NOW))
+
+
+@register(
+    "panel_price_1m",
+    f"SELECT from_currency AS currency, rate, window_start AS time FROM ({_panel_where('1 minute', PRICE)})",
+)
+def panel_price_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.plans.serve import price_series
+
+    start, end = _range()
+    return price_series(_windowed_range(spark, sf_dir, "1 minute", PRICE), PANEL_COIN, start, end)
+
+
+for _w, _tag in (("5 minutes", "5m"), ("10 minutes", "10m")):
+
+    def _hl(spark, sf_dir, _w=_w):
+        from ticksmith.plans.serve import high_low_series
+
+        start, end = _range()
+        return high_low_series(_windowed_range(spark, sf_dir, _w, HLA), PANEL_COIN, start, end)
+
+    def _mam(spark, sf_dir, _w=_w):
+        from ticksmith.plans.serve import min_avg_max_series
+
+        start, end = _range()
+        return min_avg_max_series(_windowed_range(spark, sf_dir, _w, HLA), PANEL_COIN, start, end)
+
+    register(
+        f"panel_high_low_{_tag}",
+        "SELECT from_currency AS currency, high_rate AS high, low_rate AS low, window_start AS time "
+        f"FROM ({_panel_where(_w, HLA)})",
+    )(_hl)
+    register(
+        f"panel_min_avg_max_{_tag}",
+        "SELECT from_currency AS currency, low_rate AS minimum, avg_rate AS average, "
+        f"high_rate AS maximum, window_start AS time FROM ({_panel_where(_w, HLA)})",
+    )(_mam)
+
+
+@register(
+    "coin_list",
+    "SELECT DISTINCT event_type AS from_currency FROM events WHERE ts IS NOT NULL AND value IS NOT NULL",
+)
+def coin_list_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted distinct coins of the 1-minute table."""
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.plans.serve import coin_list
+
+    return coin_list(tumbling(_ticks(spark, sf_dir), "1 minute", PRICE))
+
+
+# --------------------------------------------------------------------------
+# Sinks: contract, idempotent keyed append, stored-table scans, TSV load
+# --------------------------------------------------------------------------
+
+
+@register("sink_contract", duck_tumbling_sql("5 minutes", HLA))
+def sink_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5-minute aggregate cast to the sink schema; violators split off."""
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.schema import SINK_HLA
+    from ticksmith.sinks.contract import conform
+
+    ok, _ = conform(tumbling(_ticks(spark, sf_dir), "5 minutes", HLA), SINK_HLA)
+    return ok
+
+
+@register("idempotent_append", duck_tumbling_sql("5 minutes", HLA))
+def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the same batch twice through the keyed sink; the table is unchanged."""
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.session import shared_path
+    from ticksmith.sinks.keyed import KeyedTable
+
+    sink = KeyedTable(shared_path(spark, "sink", "hla_5m"))
+    batch = tumbling(_ticks(spark, sf_dir), "5 minutes", HLA).persist()
+    try:
+        sink.append_new(batch, 0)
+        sink.append_new(batch, 0)  # replay of the same batch id
+    finally:
+        batch.unpersist()
+    return sink.read(spark)
+
+
+@register(
+    "stored_panel_price_1m",
+    f"SELECT from_currency AS currency, rate, window_start AS time FROM ({_panel_where('1 minute', PRICE)})",
+)
+def stored_panel_price_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price panel read from the stored 1-minute table (date-partition pruning)."""
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.plans.serve import price_series
+    from ticksmith.session import shared_path
+    from ticksmith.sinks.keyed import KeyedTable
+
+    sink = KeyedTable(shared_path(spark, "sink", "avg_1m"))
+    sink.backfill(tumbling(_ticks(spark, sf_dir), "1 minute", PRICE))
+    start, end = _range()
+    return price_series(sink.read_range(spark, start, end), PANEL_COIN, start, end)
+
+
+@register("tsv_load", duck_tumbling_sql("10 minutes", HLA))
+def tsv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-minute rows written as COPY text (tab separated, \\N nulls) and loaded back."""
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.schema import SINK_HLA
+    from ticksmith.session import shared_path
+    from ticksmith.sources.tsv import load_copy_text, write_copy_text
+
+    path = shared_path(spark, "tsv", "hla_10m")
+    write_copy_text(tumbling(_ticks(spark, sf_dir), "10 minutes", HLA), path)
+    good, _ = load_copy_text(spark, path, SINK_HLA)
+    return good
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

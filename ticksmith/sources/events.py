@@ -33,7 +33,7 @@ def _ntz(value) -> F.Column:
     if isinstance(value, F.Column):
         return value
     if isinstance(value, dt.datetime):
-        return F.lit(value).cast("timestamp_ntz")
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
