@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticksmith.functions.ticks_json import fenced
 from ticksmith.schema import RAW_RESPONSE
 
 R_EMPTY = "empty response"
@@ -75,7 +76,7 @@ def flatten_requested(
         F.col(symbol_col).alias("from"),
         F.col(currency_col).alias("to"),
         F.col(body_col).cast("string").alias("_body"),
-        parse_response(body_col).alias("_r"),
+        fenced(parse_response(body_col)).alias("_r"),
     )
     r = F.col("_r")
     sym, cur = F.col("from"), F.col("to")
@@ -121,7 +122,7 @@ def flatten_all(df: DataFrame, body_col: str = "body", keep: tuple[str, ...] = (
     parsed = df.select(
         *[F.col(c) for c in keep],
         F.col(body_col).cast("string").alias("_body"),
-        parse_response(body_col).alias("_r"),
+        fenced(parse_response(body_col)).alias("_r"),
     )
     r = F.col("_r")
     head_reason = F.when(F.col("_body").isNull(), F.lit(R_EMPTY)).otherwise(_status_reason(r))

@@ -57,6 +57,17 @@ def parse_tick(value: str | Column) -> Column:
     return F.from_json(as_text(value), TICK, {"timeZone": "UTC"})
 
 
+def fenced(parsed: Column) -> Column:
+    """Emit ``parsed`` through a one-element generator.
+
+    Catalyst pushes filters below projections by substituting the projected
+    expressions, so a predicate over five fields of a ``from_json`` result
+    would parse the text five more times per row.  Predicates cannot be pushed
+    through a generator's output, so the parse runs exactly once per row.
+    """
+    return F.explode(F.array(parsed))
+
+
 def tag_ticks(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse once into ``from, to, timestamp, rate`` plus ``_raw`` and ``_reason``.
 
@@ -67,7 +78,7 @@ def tag_ticks(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = (
     parsed = df.select(
         *[F.col(c) for c in keep],
         as_text(value_col).alias("_raw"),
-        parse_tick(value_col).alias("_t"),
+        fenced(parse_tick(value_col)).alias("_t"),
     )
     t = F.col("_t")
     reason = (
@@ -99,4 +110,4 @@ def tag_ticks(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = (
 
 def parse_ticks(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Plain projection ``value -> data.* ``: every message, bad fields NULL."""
-    return df.select(parse_tick(value_col).alias("data")).select("data.*")
+    return df.select(fenced(parse_tick(value_col)).alias("data")).select("data.*")

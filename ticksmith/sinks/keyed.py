@@ -109,7 +109,11 @@ class KeyedTable:
         if df is None:
             return
         (
-            df.sortWithinPartitions(self.partition_col, *self.sort_cols)
+            # REBALANCE: AQE sizes the write partitions per date (coalescing
+            # small ones, splitting a date that holds a large share of rows), so
+            # a batch writes a few files per date instead of tasks x dates.
+            df.hint("rebalance", self.partition_col)
+            .sortWithinPartitions(self.partition_col, *self.sort_cols)
             .write.mode("append")
             .partitionBy(self.partition_col)
             .parquet(self.path)
@@ -137,14 +141,26 @@ class KeyedTable:
 
 
 class QuarantineTable:
-    """Append-only store of rejected rows with reason and batch id."""
+    """Store of rejected rows with reason, partitioned by batch id.
+
+    A replayed batch id overwrites its own partition (dynamic partition
+    overwrite), so a replay never duplicates quarantined rows.
+    """
 
     def __init__(self, path: str):
         self.path = path
 
     def append(self, bad: DataFrame, batch_id: int | None = None) -> None:
-        out = bad.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        out.write.mode("append").parquet(self.path)
+        out = bad.withColumn("batch_id", F.lit(-1 if batch_id is None else batch_id).cast("long"))
+        (
+            out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(self.path)
+        )
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
 
 
 class JdbcKeyedTable(KeyedTable):

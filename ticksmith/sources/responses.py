@@ -22,7 +22,7 @@ from ticksmith.functions.ticks_json import JSON_TS_FORMAT
 API_ERROR_CODE = 1001
 API_ERROR_MESSAGE = "This API Key is invalid."
 
-_NAME_RE = r"^([^_/]+)_([^_./]+)"
+_NAME_RE = r"^([^_/]+)_([A-Za-z0-9]+)"
 
 
 def read_landed(

@@ -90,6 +90,7 @@ class JobGroup:
     """Several streaming queries started together (fan-out from one source)."""
 
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
+    tables: dict = field(default_factory=dict)
 
     def await_all(self, timeout: float | None = None) -> None:
         """Wait for every query (e.g. ``availableNow`` runs); re-raise the first failure."""
@@ -161,3 +162,64 @@ def start_window_jobs(
             dedup=dedup,
         )
     return group
+
+
+def start_quarantine_query(
+    tagged: DataFrame,
+    sink,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append rejected messages (``reason``, raw text) to a quarantine table.
+
+    Stateless, so every bad message is written in the batch it arrives in.
+    """
+    from pyspark.sql import functions as F
+
+    bad = tagged.where(F.col("_reason").isNotNull()).select(
+        F.col("_reason").alias("reason"), F.col("_raw").alias("raw")
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.append(batch, batch_id)
+
+    w = bad.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def start_message_jobs(
+    messages: DataFrame,
+    specs: Iterable[WindowSpec],
+    table_root: str,
+    checkpoint_root: str,
+    trigger: dict | None = None,
+    dedup: bool = False,
+    quarantine: bool = True,
+) -> JobGroup:
+    """The whole streaming application over a message stream (``value`` column).
+
+    Parse once per query (``from_json`` with the tick schema), set bad messages
+    aside, and run one window job per spec plus a quarantine query.  Tables go
+    to ``<table_root>/<sink_table>``, checkpoints to ``<checkpoint_root>/<name>``.
+    """
+    from ticksmith.functions.ticks_json import tag_ticks
+    from ticksmith.operators.quality import split
+    from ticksmith.sinks.keyed import KeyedTable, QuarantineTable
+
+    specs = list(specs)
+    tagged = tag_ticks(messages)
+    good, _ = split(tagged)
+    root = table_root.rstrip("/")
+    sinks = {s.name: KeyedTable(f"{root}/{s.sink_table}") for s in specs}
+    group = start_window_jobs(good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup)
+    if quarantine:
+        group.queries["quarantine"] = start_quarantine_query(
+            tagged,
+            QuarantineTable(f"{root}/quarantine"),
+            f"{checkpoint_root.rstrip('/')}/quarantine",
+            trigger=trigger,
+        )
+    group.tables = {s.name: sinks[s.name] for s in specs}
+    return group
