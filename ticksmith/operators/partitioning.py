@@ -1,0 +1,24 @@
+"""Parallelism for CPU-bound per-row work (JSON encode / parse).
+
+A source can deliver fewer partitions than there are cores: one big Parquet
+row group, a gzip file, a one-partition topic.  Scans and cheap projections
+do not care, but JSON parsing of every row does.  :func:`ensure_parallelism`
+round-robins the rows over the cluster's default parallelism only in that
+case; when the input already has enough splits (the normal case on a large
+cluster) it is a no-op and adds no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df``, spread over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism) if it has fewer.  Batch frames only."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

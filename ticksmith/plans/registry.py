@@ -104,6 +104,13 @@ def _ticks(spark, sf_dir, **kw):
     return read_ticks(spark, sf_dir, **kw)
 
 
+def _ticks_for_json(spark, sf_dir, **kw):
+    """Ticks feeding per-row JSON work, spread over the cores if the scan is narrow."""
+    from ticksmith.operators.partitioning import ensure_parallelism
+
+    return ensure_parallelism(_ticks(spark, sf_dir, **kw))
+
+
 def _ntz(col):
     return col.cast("timestamp_ntz")
 
@@ -174,7 +181,7 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.functions.ticks_json import tag_ticks, tick_json
     from ticksmith.operators.quality import split
 
-    msgs = _ticks(spark, sf_dir).select(tick_json().cast("binary").alias("value"))
+    msgs = _ticks_for_json(spark, sf_dir).select(tick_json().cast("binary").alias("value"))
     good, _ = split(tag_ticks(msgs))
     return good.select("from", "to", _ntz(F.col("timestamp")).alias("timestamp"), "rate")
 
@@ -194,7 +201,7 @@ def null_time_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.functions.ticks_json import parse_ticks, tick_json
     from ticksmith.operators.tumbling import tumbling
 
-    ticks = _ticks(spark, sf_dir, keep=("props",))
+    ticks = _ticks_for_json(spark, sf_dir, keep=("props",))
     k = F.get_json_object("props", "$.k").try_cast("int")
     ts_text = F.when(k >= BAD_TIME_BELOW_K, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).otherwise(
         F.lit(BAD_TIME_TEXT)
@@ -219,7 +226,7 @@ def tick_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.functions.ticks_json import tag_ticks, tick_json
     from ticksmith.operators.quality import split
 
-    ticks = _ticks(spark, sf_dir, keep=("props",))
+    ticks = _ticks_for_json(spark, sf_dir, keep=("props",))
     k = F.get_json_object("props", "$.k").try_cast("int")
     ts_text = F.when(k >= BAD_TIME_BELOW_K, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")).otherwise(
         F.lit(BAD_TIME_TEXT)
@@ -239,7 +246,7 @@ def _landed(spark: SparkSession, sf_dir: str):
 
     from ticksmith.sources.responses import land_responses
 
-    return land_responses(_ticks(spark, sf_dir), failed=F.col("from") == F.lit(FAILED_SYMBOL))
+    return land_responses(_ticks_for_json(spark, sf_dir), failed=F.col("from") == F.lit(FAILED_SYMBOL))
 
 
 def _flattened(spark: SparkSession, sf_dir: str):
@@ -275,7 +282,7 @@ def quote_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.operators.quality import split
     from ticksmith.sources.responses import land_responses
 
-    ticks = _ticks(spark, sf_dir).withColumn("requested_at", _ntz(F.col("timestamp")))
+    ticks = _ticks_for_json(spark, sf_dir).withColumn("requested_at", _ntz(F.col("timestamp")))
     landed = land_responses(ticks, failed=F.col("from") == F.lit(FAILED_SYMBOL), keep=("requested_at",))
     _, bad = split(flatten_requested(landed, keep=("requested_at",)), good_columns=None)
     return bad.select("from", "to", "reason", "requested_at")
@@ -422,6 +429,23 @@ for _w, _tag in (("5 minutes", "5m"), ("10 minutes", "10m")):
     )(_mam)
 
 
+@register(
+    "panel_sql_high_low_5m",
+    "SELECT from_currency AS currency, high_rate AS high, low_rate AS low, window_start AS time "
+    f"FROM ({_panel_where('5 minutes', HLA)})",
+)
+def panel_sql_high_low_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The high/low panel as Spark SQL text with named parameters over a view."""
+    import uuid
+
+    from ticksmith.plans.panel_sql import run_panel
+
+    view = f"rate_5min_{uuid.uuid4().hex[:8]}"
+    _windowed_range(spark, sf_dir, "5 minutes", HLA).createOrReplaceTempView(view)
+    start, end = _range()
+    return run_panel(spark, "high_low", view, PANEL_COIN, start, end)
+
+
 @register(
     "coin_list",
     "SELECT DISTINCT event_type AS from_currency FROM events WHERE ts IS NOT NULL AND value IS NOT NULL",

@@ -91,6 +91,7 @@ class JobGroup:
 
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     tables: dict = field(default_factory=dict)
+    spark: object = None
 
     def await_all(self, timeout: float | None = None) -> None:
         """Wait for every query (e.g. ``availableNow`` runs); re-raise the first failure."""
@@ -108,7 +109,9 @@ class JobGroup:
 
     def await_any(self, timeout: float | None = None) -> None:
         """Block until one query ends; if it failed, stop the rest and say which."""
-        spark = next(iter(self.queries.values())).sparkSession
+        from pyspark.sql import SparkSession
+
+        spark = self.spark or SparkSession.active()
         try:
             if timeout is None:
                 spark.streams.awaitAnyTermination()
@@ -150,7 +153,7 @@ def start_window_jobs(
     Each query gets its own source reader, watermark, state and checkpoint
     (``<checkpoint_root>/<spec.name>``).
     """
-    group = JobGroup()
+    group = JobGroup(spark=ticks.sparkSession)
     for spec in specs:
         group.queries[spec.name] = start_window_query(
             ticks,
