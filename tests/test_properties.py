@@ -1,0 +1,54 @@
+"""Tumbling aggregates against a brute-force computation on random ticks."""
+
+import datetime as dt
+import math
+from collections import defaultdict
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from ticksmith.config import HLA
+from ticksmith.operators.tumbling import tumbling
+
+EPOCH = dt.datetime(1970, 1, 1)
+BASE = dt.datetime(2025, 6, 19, 17, 0)
+
+tick = st.tuples(
+    st.sampled_from(["BTC", "ETH", "DOGE"]),
+    st.integers(min_value=0, max_value=4 * 3600 * 1000),  # ms after BASE
+    st.one_of(st.none(), st.floats(min_value=-1e6, max_value=1e6, allow_nan=False)),
+)
+
+
+def brute(rows, width_s):
+    groups = defaultdict(list)
+    for sym, off_ms, rate in rows:
+        t = BASE + dt.timedelta(milliseconds=off_ms)
+        secs = int((t - EPOCH).total_seconds())
+        start = EPOCH + dt.timedelta(seconds=secs - secs % width_s)
+        groups[(start, sym)].append(rate)
+    out = {}
+    for key, rates in groups.items():
+        vals = [r for r in rates if r is not None]
+        if vals:
+            out[key] = (max(vals), min(vals), math.fsum(vals) / len(vals))
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(tick, min_size=0, max_size=60), width=st.sampled_from([60, 300, 600, 3600]))
+def test_tumbling_matches_brute_force(spark, rows, width):
+    df = spark.createDataFrame(
+        [(s, "EUR", BASE + dt.timedelta(milliseconds=o), r) for s, o, r in rows],
+        "from string, to string, timestamp timestamp, rate double",
+    )
+    got = {
+        (r.window_start, r.from_currency): (r.high_rate, r.low_rate, r.avg_rate)
+        for r in tumbling(df, f"{width} seconds", HLA).collect()
+    }
+    want = brute(rows, width)
+    assert set(got) == set(want)
+    for k, (hi, lo, avg) in want.items():
+        ghi, glo, gavg = got[k]
+        assert (ghi, glo) == (hi, lo)
+        assert math.isclose(gavg, avg, rel_tol=1e-9, abs_tol=1e-6)
