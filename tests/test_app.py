@@ -84,3 +84,48 @@ def test_sql_panels(spark):
     out = run_panel(spark, "min_avg_max", "t5", "DOGE", "2025-06-19 18:05:00", "2025-06-19 18:10:00").collect()
     assert [(r.currency, r.time.minute, r.average) for r in out] == [("DOGE", 5, 2.0), ("DOGE", 10, 2.0)]
     assert [r.from_currency for r in run_panel(spark, "coins", "t5").collect()] == ["BTC", "DOGE"]
+
+
+def test_app_on_landed_responses(spark, tmp_dir):
+    from ticksmith.streaming.app import main
+
+    landing = os.path.join(tmp_dir, "responses")
+    os.makedirs(landing)
+
+    def doc(minute, price, code=0):
+        d = {"status": {"error_code": code, "error_message": "down" if code else None}}
+        if not code:
+            d["data"] = {"BTC": [{"quote": {"EUR": {"price": price,
+                                                     "last_updated": f"2025-06-19T12:{minute:02d}:30.000Z"}}}]}
+        return json.dumps(d)
+
+    for m in range(12):
+        with open(os.path.join(landing, f"BTC_EUR-{m:03d}.json"), "w") as fh:
+            fh.write(doc(m, float(m), code=1001 if m == 3 else 0))
+    run = shared_path(spark, "test-app-resp")
+    assert main(["--source", "responses", "--path", landing, "--tables", f"{run}/t",
+                 "--checkpoints", f"{run}/c", "--available-now"]) == 0
+    r1 = spark.read.parquet(f"{run}/t/rate_1min")
+    # minutes 0..9 closed (end <= 12:11:30 - 1 min), minute 3 was an error response
+    assert sorted(r.window_start.minute for r in r1.collect()) == [0, 1, 2, 4, 5, 6, 7, 8, 9]
+    q = spark.read.parquet(f"{run}/t/quarantine").collect()
+    assert [r.reason for r in q] == ["API error: down"]
+    r5 = spark.read.parquet(f"{run}/t/rate_5min").where("window_start = '2025-06-19 12:00:00'").first()
+    assert (r5.high_rate, r5.low_rate, r5.avg_rate) == (4.0, 0.0, 1.75)
+
+
+def test_stream_dedup_within_watermark(spark, tmp_dir):
+    from ticksmith.config import WindowSpec
+
+    landing = os.path.join(tmp_dir, "in")
+    os.makedirs(landing)
+    dup = msg(0, 1.0)
+    land(landing, "a.jsonl", [dup, msg(0, 1.0).replace("00:05", "00:06").replace("1.0", "4.0")])
+    land(landing, "b.jsonl", [dup, msg(9, 2.0)])  # the same quote polled twice
+    run = shared_path(spark, "test-dedup")
+    spec = [WindowSpec("1min", "1 minute", "1 minute", {"rate": "avg"})]
+    g = start_message_jobs(read_messages(spark, landing, max_files_per_trigger=1), spec, f"{run}/t", f"{run}/c",
+                           trigger={"availableNow": True}, dedup=True, quarantine=False)
+    g.await_all(timeout=300)
+    r = spark.read.parquet(f"{run}/t/rate_1min").where("window_start = '2025-06-19 12:00:00'").first()
+    assert r.rate == 2.5  # (1 + 4) / 2: the repeated tick counted once

@@ -266,6 +266,19 @@ def quote_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("from", "to", _ntz(F.col("timestamp")).alias("timestamp"), "rate")
 
 
+@register("quote_flatten_all", _TICK_ROWS_MS + f"\nWHERE event_type <> '{FAILED_SYMBOL}'")
+def quote_flatten_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses without the request attached: every (symbol, currency) quote in
+    each document is exploded out (first array element only)."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.quotes import flatten_all
+    from ticksmith.operators.quality import split
+
+    good, _ = split(flatten_all(_landed(spark, sf_dir).select("body")))
+    return good.select("from", "to", _ntz(F.col("timestamp")).alias("timestamp"), "rate")
+
+
 @register(
     "quote_quarantine",
     f"""

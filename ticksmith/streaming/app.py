@@ -4,6 +4,8 @@
         --tables /shared/tables [--checkpoints /shared/ckpt] [--trigger 30s]
     python -m ticksmith.streaming.app --source kafka --bootstrap broker:9092 \\
         --topic prices --tables /shared/tables
+    python -m ticksmith.streaming.app --source responses --path /landing/responses \\
+        --tables /shared/tables
 
 Starts one query per window job (1, 5, 10 minutes; watermark = width) plus a
 quarantine query, waits until any query ends, and stops all of them on exit
@@ -24,8 +26,8 @@ from ticksmith.session import build_session, checkpoint_root
 
 def parse_args(argv=None):
     p = argparse.ArgumentParser(prog="ticksmith.streaming.app")
-    p.add_argument("--source", choices=("files", "kafka"), required=True)
-    p.add_argument("--path", help="landing folder of tick message files (files source)")
+    p.add_argument("--source", choices=("files", "responses", "kafka"), required=True)
+    p.add_argument("--path", help="landing folder of tick message files or of raw response files")
     p.add_argument("--bootstrap", help="Kafka bootstrap servers")
     p.add_argument("--topic", default="prices")
     p.add_argument("--starting-offsets", default="latest")
@@ -53,7 +55,7 @@ def messages(spark, args):
 
 
 def main(argv=None) -> int:
-    from ticksmith.streaming.jobs import start_message_jobs
+    from ticksmith.streaming.jobs import start_message_jobs, start_response_jobs
 
     args = parse_args(argv)
     spark = build_session(app="ticksmith-stream", shuffle_partitions=args.state_partitions)
@@ -61,9 +63,17 @@ def main(argv=None) -> int:
     trigger = {"availableNow": True} if args.available_now else (
         {"processingTime": args.trigger} if args.trigger else None
     )
-    group = start_message_jobs(
-        messages(spark, args), DEFAULT_JOBS, args.tables, ckpt, trigger=trigger, dedup=args.dedup
-    )
+    if args.source == "responses":
+        from ticksmith.sources.responses import read_landed
+
+        group = start_response_jobs(
+            read_landed(spark, args.path, streaming=True), DEFAULT_JOBS, args.tables, ckpt,
+            trigger=trigger, dedup=args.dedup,
+        )
+    else:
+        group = start_message_jobs(
+            messages(spark, args), DEFAULT_JOBS, args.tables, ckpt, trigger=trigger, dedup=args.dedup
+        )
 
     def stop(*_):
         group.stop_all()

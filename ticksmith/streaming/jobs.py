@@ -172,15 +172,17 @@ def start_quarantine_query(
     sink,
     checkpoint: str,
     trigger: dict | None = None,
+    raw_col: str = "_raw",
 ) -> StreamingQuery:
-    """Append rejected messages (``reason``, raw text) to a quarantine table.
+    """Append rejected records (``reason`` + the raw text) to a quarantine table.
 
-    Stateless, so every bad message is written in the batch it arrives in.
+    Stateless, so every bad record is written in the batch it arrives in; the
+    table overwrites a replayed batch id's partition instead of duplicating it.
     """
     from pyspark.sql import functions as F
 
     bad = tagged.where(F.col("_reason").isNotNull()).select(
-        F.col("_reason").alias("reason"), F.col("_raw").alias("raw")
+        F.col("_reason").alias("reason"), F.col(raw_col).cast("string").alias("raw")
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -192,27 +194,26 @@ def start_quarantine_query(
     return w.start()
 
 
-def start_message_jobs(
-    messages: DataFrame,
+def start_tagged_jobs(
+    tagged: DataFrame,
     specs: Iterable[WindowSpec],
     table_root: str,
     checkpoint_root: str,
     trigger: dict | None = None,
     dedup: bool = False,
     quarantine: bool = True,
+    raw_col: str = "_raw",
 ) -> JobGroup:
-    """The whole streaming application over a message stream (``value`` column).
+    """Window jobs + quarantine over a tagged tick stream.
 
-    Parse once per query (``from_json`` with the tick schema), set bad messages
-    aside, and run one window job per spec plus a quarantine query.  Tables go
-    to ``<table_root>/<sink_table>``, checkpoints to ``<checkpoint_root>/<name>``.
+    ``tagged`` has ``from, to, timestamp, rate``, a ``_reason`` (NULL = good)
+    and the raw record in ``raw_col``.  Tables go to
+    ``<table_root>/<sink_table>``, checkpoints to ``<checkpoint_root>/<name>``.
     """
-    from ticksmith.functions.ticks_json import tag_ticks
     from ticksmith.operators.quality import split
-    from ticksmith.sinks.keyed import KeyedTable, QuarantineTable
+    from ticksmith.sinks.keyed import QuarantineTable
 
     specs = list(specs)
-    tagged = tag_ticks(messages)
     good, _ = split(tagged)
     root = table_root.rstrip("/")
     sinks = {s.name: KeyedTable(f"{root}/{s.sink_table}") for s in specs}
@@ -223,6 +224,32 @@ def start_message_jobs(
             QuarantineTable(f"{root}/quarantine"),
             f"{checkpoint_root.rstrip('/')}/quarantine",
             trigger=trigger,
+            raw_col=raw_col,
         )
-    group.tables = {s.name: sinks[s.name] for s in specs}
+    group.tables = sinks
     return group
+
+
+def start_message_jobs(messages: DataFrame, specs: Iterable[WindowSpec], table_root: str,
+                       checkpoint_root: str, **kw) -> JobGroup:
+    """The streaming application over flat tick messages (``value`` column):
+    parse with the tick schema, quarantine bad messages, window jobs."""
+    from ticksmith.functions.ticks_json import tag_ticks
+
+    return start_tagged_jobs(tag_ticks(messages), specs, table_root, checkpoint_root, **kw)
+
+
+def start_response_jobs(responses: DataFrame, specs: Iterable[WindowSpec], table_root: str,
+                        checkpoint_root: str, **kw) -> JobGroup:
+    """The same over raw quote responses (``symbol, currency, body``): status
+    check and quote lookup instead of the flat message parse."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.quotes import flatten_all, flatten_requested
+
+    body = responses.withColumn("_raw", F.col("body").cast("string"))
+    if "symbol" in responses.columns and "currency" in responses.columns:
+        tagged = flatten_requested(body, keep=("_raw",))
+    else:
+        tagged = flatten_all(body, keep=("_raw",))
+    return start_tagged_jobs(tagged, specs, table_root, checkpoint_root, **kw)
