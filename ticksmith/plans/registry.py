@@ -521,6 +521,24 @@ def stored_panel_price_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_series(sink.read_range(spark, start, end), PANEL_COIN, start, end)
 
 
+@register(
+    "backfill_rollup_10m",
+    "SELECT window_start, window_end, from_currency, to_currency, high_rate, low_rate, "
+    f"round(avg_rate, 9) AS avg_rate FROM ({duck_tumbling_sql('10 minutes', HLA)})",
+)
+def backfill_rollup_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-minute table rebuilt from staged 1-minute partials (one tick scan for
+    every width).  The mean is sum/count of the partials; it is rounded to 9
+    decimals on both sides because partial sums merge in shuffle order."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.config import DEFAULT_JOBS
+    from ticksmith.plans.backfill import rolled_up
+
+    t10 = rolled_up(_ticks(spark, sf_dir), DEFAULT_JOBS)["10min"]
+    return t10.withColumn("avg_rate", F.round("avg_rate", 9))
+
+
 @register("tsv_load", duck_tumbling_sql("10 minutes", HLA))
 def tsv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-minute rows written as COPY text (tab separated, \\N nulls) and loaded back."""
