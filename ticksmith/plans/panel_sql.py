@@ -50,6 +50,14 @@ def run_panel(spark: SparkSession, panel: str, table: str, coin: str | None = No
     sql = PANELS[panel].format(table=table)
     if panel == "coins":
         return spark.sql(sql)
+    if "window_date" in spark.table(table).columns:
+        # a stored, date-partitioned table: the same range prunes partitions
+        sql = sql.replace(
+            "AND from_currency = :coin",
+            "AND from_currency = :coin "
+            "AND window_date BETWEEN CAST(CAST(:start AS TIMESTAMP_NTZ) AS DATE) "
+            "AND CAST(CAST(:end AS TIMESTAMP_NTZ) AS DATE)",
+        )
     args = {
         "coin": coin,
         "start": _ntz(start).isoformat(sep=" "),
