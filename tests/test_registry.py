@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle (sf0.001), and the entry."""
+"""Every registered query against its DuckDB oracle at sf0.01 (the driver's scale), and the entry."""
 
 import os
 import sys
@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, digest, rows_of  # noqa: E402
 
-from conftest import SMOKE_DIR  # noqa: E402
+from conftest import ORACLE_DIR, SMOKE_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def duck():
 
     con = duckdb.connect()
     for t in TABLES:
-        p = f"{SMOKE_DIR}/{t}.parquet"
+        p = f"{ORACLE_DIR}/{t}.parquet"
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return con
@@ -38,7 +38,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    spdf = E.queries()[name](spark, SMOKE_DIR).toPandas()
+    spdf = E.queries()[name](spark, ORACLE_DIR).toPandas()
     dpdf = duck.execute(E.oracle_sql()[name]).fetchdf()
     sc, sr = rows_of(spdf)
     dc, dr = rows_of(dpdf)
