@@ -129,3 +129,18 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
     g.await_all(timeout=300)
     r = spark.read.parquet(f"{run}/t/rate_1min").where("window_start = '2025-06-19 12:00:00'").first()
     assert r.rate == 2.5  # (1 + 4) / 2: the repeated tick counted once
+
+
+def test_sink_contract_in_stream(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "in")
+    os.makedirs(landing)
+    long_sym = json.dumps({"from": "AVERYLONGCOIN", "to": "EUR", "timestamp": "2025-06-19T12:00:05Z", "rate": 1.0})
+    land(landing, "a.jsonl", [msg(0, 1.0), long_sym, msg(5, 2.0)])
+    run = shared_path(spark, "test-contract")
+    spec = [DEFAULT_JOBS[0]]
+    g = start_message_jobs(read_messages(spark, landing), spec, f"{run}/t", f"{run}/c",
+                           trigger={"availableNow": True}, quarantine=False)
+    g.await_all(timeout=300)
+    assert [r.from_currency for r in spark.read.parquet(f"{run}/t/rate_1min").collect()] == ["BTC"]
+    rej = spark.read.parquet(f"{run}/t/rejects/1min").collect()
+    assert [r.reason for r in rej] == ["from_currency longer than 10"]

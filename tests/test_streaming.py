@@ -77,17 +77,15 @@ def test_fan_out_three_widths(spark, tmp_dir):
 
 
 def test_stream_equals_batch_on_closed_windows(spark):
-    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.operators.tumbling import closed_windows, tumbling
     from ticksmith.plans.registry import run_stream_job
     from ticksmith.sources.events import read_ticks
 
     path = run_stream_job(spark, SMOKE_DIR, "5 minutes", HLA, "parity")
     streamed = spark.read.parquet(path).drop("window_date")
-    ev = spark.read.parquet(f"{SMOKE_DIR}/events.parquet")
-    max_ts = ev.agg(F.max("ts")).first()[0]
-    batch = tumbling(read_ticks(spark, SMOKE_DIR), "5 minutes", HLA).where(
-        F.col("window_end") <= F.lit(max_ts).cast("timestamp_ntz") - F.expr("INTERVAL 5 minutes")
-    )
+    ticks = read_ticks(spark, SMOKE_DIR)
+    max_time = ticks.select(F.max("timestamp").cast("timestamp_ntz")).scalar()
+    batch = closed_windows(tumbling(ticks, "5 minutes", HLA), max_time, "5 minutes")
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
     assert batch.exceptAll(streamed).count() == 0

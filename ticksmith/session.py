@@ -11,7 +11,6 @@ Cluster rules this module enforces:
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,12 +85,3 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         segs.append(uuid.uuid4().hex[:12])
     return "/".join(s.strip("/") if i else s for i, s in enumerate(segs))
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for local-only helpers such as tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -43,13 +43,29 @@ def windowed_stream(ticks: DataFrame, spec: WindowSpec, dedup: bool = False) ->
     return tumbling(ticks, spec.width, spec.aggs, watermark=spec.delay, dedup=dedup)
 
 
-def batch_writer(sink: KeyedTable):
-    """``foreachBatch`` function: persist once, then idempotent append."""
+def batch_writer(sink: KeyedTable, schema=None, rejects=None):
+    """``foreachBatch`` function: persist once, then idempotent append.
+
+    With a sink ``schema`` the batch is first cast to it and rows that would
+    violate it (NOT NULL, currency length) go to ``rejects`` instead of
+    failing the write.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            sink.append_new(batch, batch_id)
+            out = batch
+            if schema is not None:
+                from pyspark.sql import functions as F
+
+                from ticksmith.sinks.contract import conform
+
+                out, bad = conform(batch, schema)
+                if rejects is not None:
+                    rejects.append(
+                        bad.select("reason", F.to_json(F.struct(*schema.fieldNames())).alias("raw")), batch_id
+                    )
+            sink.append_new(out, batch_id)
         finally:
             batch.unpersist()
 
@@ -64,6 +80,8 @@ def start_window_query(
     trigger: dict | None = None,
     query_name: str | None = None,
     dedup: bool = False,
+    schema=None,
+    rejects=None,
 ) -> StreamingQuery:
     """Start one append-mode window job.
 
@@ -75,7 +93,7 @@ def start_window_query(
     w = (
         windowed_stream(ticks, spec, dedup=dedup)
         .writeStream.outputMode("append")
-        .foreachBatch(batch_writer(sink))
+        .foreachBatch(batch_writer(sink, schema, rejects))
         .option("checkpointLocation", checkpoint)
     )
     if query_name:
@@ -147,12 +165,17 @@ def start_window_jobs(
     checkpoint_root: str,
     trigger: dict | None = None,
     dedup: bool = False,
+    rejects_root: str | None = None,
 ) -> JobGroup:
     """Fan out: one independent query per spec from the same tick stream.
 
     Each query gets its own source reader, watermark, state and checkpoint
-    (``<checkpoint_root>/<spec.name>``).
+    (``<checkpoint_root>/<spec.name>``).  With ``rejects_root`` every batch is
+    held to its sink schema; violating rows go to ``<rejects_root>/<name>``.
     """
+    from ticksmith.schema import sink_schema_for
+    from ticksmith.sinks.keyed import QuarantineTable
+
     group = JobGroup(spark=ticks.sparkSession)
     for spec in specs:
         group.queries[spec.name] = start_window_query(
@@ -163,6 +186,8 @@ def start_window_jobs(
             trigger=trigger,
             query_name=None,
             dedup=dedup,
+            schema=sink_schema_for(spec.aggs) if rejects_root else None,
+            rejects=QuarantineTable(f"{rejects_root.rstrip('/')}/{spec.name}") if rejects_root else None,
         )
     return group
 
@@ -217,7 +242,9 @@ def start_tagged_jobs(
     good, _ = split(tagged)
     root = table_root.rstrip("/")
     sinks = {s.name: KeyedTable(f"{root}/{s.sink_table}") for s in specs}
-    group = start_window_jobs(good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup)
+    group = start_window_jobs(
+        good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup, rejects_root=f"{root}/rejects"
+    )
     if quarantine:
         group.queries["quarantine"] = start_quarantine_query(
             tagged,
