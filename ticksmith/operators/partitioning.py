@@ -18,7 +18,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     cluster's default parallelism) if it has fewer.  Batch frames only."""
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session)
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

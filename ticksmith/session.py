@@ -70,11 +70,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     global _FALLBACK_DIR
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on this side (Spark Connect)
+            root = None
     if not root:
         if _FALLBACK_DIR is None:
             _FALLBACK_DIR = tempfile.mkdtemp(prefix="ticksmith-")
-            spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
+            try:
+                spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
+            except Exception:
+                pass
         root = _FALLBACK_DIR
     return root.rstrip("/")
 
