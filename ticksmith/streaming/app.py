@@ -31,7 +31,8 @@ def parse_args(argv=None):
     p.add_argument("--bootstrap", help="Kafka bootstrap servers")
     p.add_argument("--topic", default="prices")
     p.add_argument("--starting-offsets", default="latest")
-    p.add_argument("--max-offsets-per-trigger", type=int)
+    p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound each micro-batch")
+    p.add_argument("--max-files-per-trigger", type=int, help="file sources: bound each micro-batch")
     p.add_argument("--tables", required=True, help="root folder of the windowed tables")
     p.add_argument("--checkpoints", help="checkpoint root (default: under spark.checkpoint.dir)")
     p.add_argument("--trigger", help="processing-time trigger such as '30 seconds'; default back to back")
@@ -45,7 +46,7 @@ def messages(spark, args):
     if args.source == "files":
         from ticksmith.sources.landing import read_messages
 
-        return read_messages(spark, args.path)
+        return read_messages(spark, args.path, max_files_per_trigger=args.max_files_per_trigger)
     from ticksmith.sources.kafka import kafka_options, kafka_stream
 
     opts = kafka_options(
@@ -67,7 +68,8 @@ def main(argv=None) -> int:
         from ticksmith.sources.responses import read_landed
 
         group = start_response_jobs(
-            read_landed(spark, args.path, streaming=True), DEFAULT_JOBS, args.tables, ckpt,
+            read_landed(spark, args.path, streaming=True, max_files_per_trigger=args.max_files_per_trigger),
+            DEFAULT_JOBS, args.tables, ckpt,
             trigger=trigger, dedup=args.dedup,
         )
     else:
