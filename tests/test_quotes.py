@@ -48,6 +48,8 @@ def test_good_response_and_first_element_only(spark):
         (resp(updated="yesterday"), "BTC", "EUR", Q.R_BAD_UPDATED),
         ("this is not json", "BTC", "EUR", Q.R_FORMAT),
         (None, "BTC", "EUR", Q.R_EMPTY),
+        (resp(), None, "EUR", Q.R_NO_REQUEST),
+        (resp(), "BTC", None, Q.R_NO_REQUEST),
     ],
 )
 def test_rejections(spark, body, sym, cur, reason):
@@ -86,10 +88,12 @@ def test_landed_roundtrip(spark, tmp_dir):
     for name, body in (("BTC_EUR-1.json", resp()), ("ETH_EUR-1.json", resp(sym="ETH", price=2000.5))):
         with open(f"{tmp_dir}/{name}", "w") as fh:
             fh.write(body)
+    with open(f"{tmp_dir}/unnamed.json", "w") as fh:
+        fh.write(resp())
     landed = read_landed(spark, tmp_dir)
     good, bad = split(Q.flatten_requested(landed))
     assert sorted((r["from"], r.rate) for r in good.collect()) == [("BTC", 60000.12), ("ETH", 2000.5)]
-    assert bad.count() == 0
+    assert [r.reason for r in bad.collect()] == [Q.R_NO_REQUEST]
 
 
 def test_land_responses_builds_service_shape(spark):

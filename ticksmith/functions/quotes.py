@@ -30,6 +30,7 @@ R_API = "API error: "
 R_NO_PRICE = "price missing or not a number"
 R_NO_UPDATED = "last_updated missing"
 R_BAD_UPDATED = "last_updated is not a timestamp"
+R_NO_REQUEST = "requested symbol or currency unknown"
 
 
 def parse_response(body: str | Column) -> Column:
@@ -87,6 +88,7 @@ def flatten_requested(
     ts = to_instant(updated)
     reason = (
         F.when(F.col("_body").isNull(), F.lit(R_EMPTY))
+        .when(sym.isNull() | cur.isNull(), F.lit(R_NO_REQUEST))
         .otherwise(_status_reason(r))
     )
     reason = F.coalesce(
