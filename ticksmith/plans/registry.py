@@ -163,6 +163,72 @@ for _suffix, (_width, _aggs) in STREAM_WIDTHS.items():
     register(f"stream_{_suffix}", _closed)(_stream_query(_width, _aggs, _suffix))
 
 
+def _land_text(df: DataFrame, path: str) -> str:
+    """Write one text column as landed files (the source's own partitioning)."""
+    df.write.mode("overwrite").text(path)
+    return path
+
+
+def _run_group(group) -> None:
+    group.await_all()
+    for name, q in group.queries.items():
+        if q.exception() is not None:
+            raise RuntimeError(f"stream job {name} failed: {q.exception()}")
+
+
+@register(
+    "message_stream_hla_5m",
+    f"SELECT * FROM ({duck_tumbling_sql('5 minutes', HLA)}) w "
+    f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}",
+)
+def message_stream_hla_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming application end to end: events as flat JSON tick messages
+    landed in files -> parse + quarantine -> 5-minute job -> keyed table."""
+    from ticksmith.config import WindowSpec
+    from ticksmith.functions.ticks_json import tick_json
+    from ticksmith.session import shared_path
+    from ticksmith.sources.landing import read_messages
+    from ticksmith.streaming.jobs import start_message_jobs
+
+    run = shared_path(spark, "app", "messages")
+    landing = _land_text(_ticks(spark, sf_dir).select(tick_json().alias("value")), f"{run}/landing")
+    spec = WindowSpec("5min", "5 minutes", "5 minutes", dict(HLA), "rate_5min")
+    group = start_message_jobs(
+        read_messages(spark, landing), [spec], f"{run}/tables", f"{run}/checkpoints",
+        trigger={"availableNow": True},
+    )
+    _run_group(group)
+    return group.tables["5min"].read(spark)
+
+
+_NOT_FAILED = f"event_type <> '{FAILED_SYMBOL}'"
+
+
+@register(
+    "response_stream_hla_10m",
+    f"SELECT * FROM ({duck_tumbling_sql('10 minutes', HLA, where=_NOT_FAILED)}) w "
+    f"WHERE window_end <= (SELECT max(ts) FROM events WHERE {_NOT_FAILED}) "
+    f"- {duck_interval('10 minutes')}",
+)
+def response_stream_hla_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw quote responses landed as JSON lines (error answers for the 'error'
+    events) -> status check + quote flatten + quarantine -> 10-minute job."""
+    from ticksmith.config import WindowSpec
+    from ticksmith.session import shared_path
+    from ticksmith.sources.responses import read_landed
+    from ticksmith.streaming.jobs import start_response_jobs
+
+    run = shared_path(spark, "app", "responses")
+    landing = _land_text(_landed(spark, sf_dir, spread=False).select("body"), f"{run}/landing")
+    spec = WindowSpec("10min", "10 minutes", "10 minutes", dict(HLA), "rate_10min")
+    group = start_response_jobs(
+        read_landed(spark, landing, streaming=True, one_document_per_file=False),
+        [spec], f"{run}/tables", f"{run}/checkpoints", trigger={"availableNow": True},
+    )
+    _run_group(group)
+    return group.tables["10min"].read(spark)
+
+
 # --------------------------------------------------------------------------
 # JSON tick codec
 # --------------------------------------------------------------------------
@@ -243,12 +309,13 @@ def tick_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, sf_dir: str):
+def _landed(spark: SparkSession, sf_dir: str, spread: bool = True):
     from pyspark.sql import functions as F
 
     from ticksmith.sources.responses import land_responses
 
-    return land_responses(_ticks_for_json(spark, sf_dir), failed=F.col("from") == F.lit(FAILED_SYMBOL))
+    ticks = _ticks_for_json(spark, sf_dir) if spread else _ticks(spark, sf_dir)
+    return land_responses(ticks, failed=F.col("from") == F.lit(FAILED_SYMBOL))
 
 
 def _flattened(spark: SparkSession, sf_dir: str):

@@ -35,8 +35,9 @@ def read_landed(
 ) -> DataFrame:
     """``symbol, currency, body, source_file`` for every landed response.
 
-    ``one_document_per_file`` reads each file whole (``wholetext``); otherwise
-    every line is one document (JSON lines).
+    ``one_document_per_file`` reads each file whole (``wholetext``) and takes
+    the request from the file name; otherwise every line is one document
+    (JSON lines) and the output is ``body, source_file``.
     """
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("text").option("wholetext", str(one_document_per_file).lower())
@@ -44,6 +45,9 @@ def read_landed(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.load(path)
     name = F.col("_metadata.file_name")
+    if not one_document_per_file:
+        # JSON lines carry no request; every quote in a document is used.
+        return df.select(F.col("value").alias("body"), name.alias("source_file"))
     sym = F.regexp_extract(name, _NAME_RE, 1)
     cur = F.regexp_extract(name, _NAME_RE, 2)
     return df.select(
