@@ -110,3 +110,43 @@ def test_copy_text_write_then_load(spark, tmp_dir):
     write_copy_text(df, path)
     good, bad = load_copy_text(spark, path, SINK_HLA)
     assert good.exceptAll(df).count() == 0 and bad.count() == 0
+
+
+def test_streamed_table_is_idempotent_by_batch_id(spark):
+    df = hla_rows(
+        spark,
+        [
+            ("2025-06-18 23:50:00", "2025-06-18 23:55:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2025-06-19 00:00:00", "2025-06-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2025-06-19 00:05:00", "2025-06-19 00:10:00", "ETH", "EUR", 3.0, 1.0, 2.0),
+        ],
+    )
+    sink = KeyedTable(shared_path(spark, "test-by-batch"), by_batch=True)
+    sink.append_new(df.limit(1), 7)  # a half-finished first attempt of batch 7
+    sink.append_new(df, 7)  # the replay replaces batch 7's partitions
+    sink.append_new(df, 7)
+    sink.append_new(df.where("from_currency = 'ETH'").withColumn("window_start", F.lit("2025-06-20 00:00:00").cast("timestamp_ntz")), 8)
+    out = sink.read(spark)
+    assert out.columns == df.columns
+    assert out.count() == 4
+    assert out.groupBy("window_start", "from_currency", "to_currency").count().where("count > 1").count() == 0
+    with pytest.raises(ValueError):
+        sink.append_new(df, None)
+
+
+def test_read_range_lists_only_requested_dates(spark):
+    sink = KeyedTable(shared_path(spark, "test-glob"), by_batch=True)
+    df = hla_rows(
+        spark,
+        [
+            ("2025-06-18 23:50:00", "2025-06-18 23:55:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2025-06-19 00:00:00", "2025-06-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+        ],
+    )
+    sink.write_batch(df, 0)
+    got = sink.read_range(spark, "2025-06-19 00:00:00", "2025-06-21 00:00:00")
+    assert [r.window_start for r in got.collect()] == [ts("2025-06-19 00:00:00")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "window_date=2025-06-18" not in plan
+    # no stored date in range: an empty result, not an error
+    assert sink.read_range(spark, "2025-07-01 00:00:00", "2025-07-02 00:00:00").count() == 0

@@ -82,7 +82,9 @@ def test_stream_equals_batch_on_closed_windows(spark):
     from ticksmith.sources.events import read_ticks
 
     path = run_stream_job(spark, SMOKE_DIR, "5 minutes", HLA, "parity")
-    streamed = spark.read.parquet(path).drop("window_date")
+    from ticksmith.sources.tables import read_windowed
+
+    streamed = read_windowed(spark, path)
     ticks = read_ticks(spark, SMOKE_DIR)
     max_time = ticks.select(F.max("timestamp").cast("timestamp_ntz")).scalar()
     batch = closed_windows(tumbling(ticks, "5 minutes", HLA), max_time, "5 minutes")

@@ -136,7 +136,7 @@ def run_stream_job(spark: SparkSession, sf_dir: str, width: str, aggs: dict, tag
 
     run = shared_path(spark, "stream", tag)
     spec = WindowSpec(tag, width, width, dict(aggs))
-    sink = KeyedTable(f"{run}/table")
+    sink = KeyedTable(f"{run}/table", by_batch=True)
     q = start_window_query(
         stream_ticks(spark, sf_dir), spec, sink, f"{run}/checkpoint", trigger={"availableNow": True}
     )

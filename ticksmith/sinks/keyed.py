@@ -1,23 +1,29 @@
-"""Keyed, idempotent append of finished windows.
+"""Keyed, idempotent writes of finished windows.
 
 The original appended every micro-batch to a table with a primary key, so a
 replayed batch (restart after a crash between write and offset commit) would
-fail on the key.  :class:`KeyedTable` appends only rows whose key is not
-stored yet, so writing the same batch twice changes nothing.
+fail on the key.  Two idempotent write paths, one layout:
+
+* Streamed tables (``by_batch=True``): in append mode every window is emitted
+  exactly once, so only a *replay of the same batch id* can duplicate rows.
+  Each batch is written into ``window_date=<d>/batch_id=<n>`` partitions with
+  dynamic partition overwrite: a replay replaces exactly its own partitions
+  (also after a half-finished attempt).  Cost is O(batch); nothing already
+  stored is read.
+* Keyed tables (``by_batch=False``): :meth:`KeyedTable.append_new` appends only
+  rows whose key is not stored yet (anti join against the key columns of the
+  dates the batch touches), for batches that may overlap earlier ones.
+  :meth:`KeyedTable.backfill` replaces whole dates (dynamic overwrite).
 
 Layout: Parquet partitioned by ``window_date`` (date of ``window_start``),
-sorted within files by ``from_currency, window_start``.  The read side's
-predicates (coin, time range) prune partitions and row groups.
-
-Scale: the existence check reads only the key columns of the partitions the
-batch touches (``window_date`` between the batch's min and max), never the
-whole table; the batch bounds come from a one-row aggregate.  Spark sizes the
-anti join itself (broadcast only below ``autoBroadcastJoinThreshold`` as
-measured by AQE at run time, else a shuffled join on the key).
+sorted within files by ``from_currency, window_start``; the read side's
+predicates (coin, time range) prune partitions and row groups, and
+:meth:`KeyedTable.read_range` lists only the folders of the requested dates.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -29,6 +35,10 @@ from ticksmith.schema import SINK_KEY
 from ticksmith.sinks.contract import assert_unique
 
 PARTITION_COL = "window_date"
+BATCH_COL = "batch_id"
+# Longest range read through a glob over date folders; longer ranges list the
+# table root once and prune partitions from there.
+MAX_GLOB_DAYS = 366
 
 
 class KeyedTable:
@@ -42,15 +52,22 @@ class KeyedTable:
         partition_col: str = PARTITION_COL,
         sort_cols: Sequence[str] = ("from_currency", "window_start"),
         check_unique: bool = False,
+        by_batch: bool = False,
     ):
-        self.path = path
+        self.path = path.rstrip("/")
         self.key = list(key)
         self.time_col = time_col
         self.partition_col = partition_col
         self.sort_cols = list(sort_cols)
         self.check_unique = check_unique
+        self.by_batch = by_batch
         self._exists = False
 
+    @property
+    def hidden_columns(self) -> list[str]:
+        """Layout columns that are not part of the rows."""
+        return [self.partition_col] + ([BATCH_COL] if self.by_batch else [])
+
     # -- reading -------------------------------------------------------------
     def exists(self, spark: SparkSession) -> bool:
         if not self._exists:
@@ -63,15 +80,33 @@ class KeyedTable:
 
     def read(self, spark: SparkSession, keep_partition_col: bool = False) -> DataFrame:
         df = spark.read.parquet(self.path)
-        return df if keep_partition_col else df.drop(self.partition_col)
+        return df if keep_partition_col else df.drop(*self.hidden_columns)
 
     def read_range(self, spark: SparkSession, start, end) -> DataFrame:
-        """Rows with ``start <= window_start <= end``; prunes date partitions."""
-        df = spark.read.parquet(self.path).where(
-            F.col(self.partition_col).between(F.to_date(as_ntz(start)), F.to_date(as_ntz(end)))
+        """Rows with ``start <= window_start <= end``.
+
+        Only the folders of the requested dates are listed (a path glob with
+        ``basePath``), so the cost does not grow with the table's history; the
+        partition and row predicates are applied on top.
+        """
+        d0, d1 = _day(start), _day(end)
+        n_days = (d1 - d0).days + 1
+        df = None
+        if 0 < n_days <= MAX_GLOB_DAYS:
+            days = ",".join(str(d0 + dt.timedelta(days=i)) for i in range(n_days))
+            try:
+                df = spark.read.option("basePath", self.path).parquet(
+                    f"{self.path}/{self.partition_col}={{{days}}}"
+                )
+            except AnalysisException:  # none of the dates is stored
+                df = None
+        if df is None:
+            df = spark.read.parquet(self.path)
+        df = df.where(
+            F.col(self.partition_col).between(F.lit(d0), F.lit(d1))
             & F.col(self.time_col).between(as_ntz(start), as_ntz(end))
         )
-        return df.drop(self.partition_col)
+        return df.drop(*self.hidden_columns)
 
     # -- writing -------------------------------------------------------------
     def _with_partition(self, df: DataFrame) -> DataFrame:
@@ -97,12 +132,39 @@ class KeyedTable:
             df = df.join(stored, self.key, "left_anti")
         return df
 
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """Write one micro-batch, idempotently by ``batch_id``.
+
+        Dynamic partition overwrite of the ``(window_date, batch_id)``
+        partitions the batch produces: a replay of the batch id (same input
+        offsets, same state version, same rows) replaces them; nothing else is
+        touched or read.
+        """
+        if batch.isEmpty():
+            return
+        out = self._with_partition(batch).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
+        (
+            out.hint("rebalance", self.partition_col)
+            .sortWithinPartitions(self.partition_col, *self.sort_cols)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.partition_col, BATCH_COL)
+            .parquet(self.path)
+        )
+        self._exists = True
+
     def append_new(self, batch: DataFrame, batch_id: int | None = None) -> None:
-        """Idempotent append: keys already stored are skipped.
+        """Idempotent append.
 
-        Call on a persisted frame inside ``foreachBatch`` (it runs two jobs on
-        it: the bounds and the write).
+        Streamed tables write by batch id (:meth:`write_batch`).  Keyed tables
+        skip keys already stored; call on a persisted frame (two jobs run on it:
+        the bounds and the write).
         """
+        if self.by_batch:
+            if batch_id is None:
+                raise ValueError("a streamed table needs the batch id")
+            self.write_batch(batch, batch_id)
+            return
         if self.check_unique:
             assert_unique(batch, self.key)
         df = self.new_rows(batch)
@@ -140,6 +202,14 @@ class KeyedTable:
         self._exists = True
 
 
+def _day(value) -> dt.date:
+    if isinstance(value, dt.datetime):
+        return value.date()
+    if isinstance(value, dt.date):
+        return value
+    return dt.datetime.fromisoformat(str(value)).date()
+
+
 class QuarantineTable:
     """Store of rejected rows with reason, partitioned by batch id.
 

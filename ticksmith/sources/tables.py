@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-PARTITION_COL = "window_date"
+LAYOUT_COLS = ("window_date", "batch_id")
 
 
 def read_windowed(spark: SparkSession, path: str, keep_partition_col: bool = False) -> DataFrame:
+    """All rows of a stored windowed table (layout columns dropped)."""
     df = spark.read.parquet(path)
-    if not keep_partition_col and PARTITION_COL in df.columns:
-        df = df.drop(PARTITION_COL)
+    if not keep_partition_col:
+        df = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
     return df
 
 

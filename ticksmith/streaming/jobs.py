@@ -10,9 +10,9 @@ Per query:
 * ``withWatermark(timestamp, delay)`` + ``groupBy(window, from, to)`` in
   append mode: a window is emitted once, when ``max(event time) - delay``
   passes its end; later rows for it are dropped (``numRowsDroppedByWatermark``).
-* ``foreachBatch`` persists the batch and appends it through
-  :class:`~ticksmith.sinks.keyed.KeyedTable` -- a replayed batch id changes
-  nothing.
+* ``foreachBatch`` persists the batch and writes it through
+  :class:`~ticksmith.sinks.keyed.KeyedTable` by batch id -- a replayed batch
+  id replaces its own partitions, so it changes nothing, at O(batch) cost.
 * A checkpoint per query under the shared folder (``spark.checkpoint.dir``):
   offsets, the commit log and the window state survive executor loss and
   driver restarts; open windows come out after a restart instead of being lost.
@@ -241,7 +241,7 @@ def start_tagged_jobs(
     specs = list(specs)
     good, _ = split(tagged)
     root = table_root.rstrip("/")
-    sinks = {s.name: KeyedTable(f"{root}/{s.sink_table}") for s in specs}
+    sinks = {s.name: KeyedTable(f"{root}/{s.sink_table}", by_batch=True) for s in specs}
     group = start_window_jobs(
         good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup, rejects_root=f"{root}/rejects"
     )
