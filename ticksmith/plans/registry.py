@@ -126,7 +126,7 @@ STREAM_WIDTHS = {
 }
 
 
-def run_stream_job(spark: SparkSession, sf_dir: str, width: str, aggs: dict, tag: str) -> str:
+def run_stream_job(spark: SparkSession, sf_dir: str, width: str, aggs: dict, tag: str, dedup: bool = False) -> str:
     """Run one window job over the events files to completion; return the table path."""
     from ticksmith.config import WindowSpec
     from ticksmith.session import shared_path
@@ -138,7 +138,7 @@ def run_stream_job(spark: SparkSession, sf_dir: str, width: str, aggs: dict, tag
     spec = WindowSpec(tag, width, width, dict(aggs))
     sink = KeyedTable(f"{run}/table", by_batch=True)
     q = start_window_query(
-        stream_ticks(spark, sf_dir), spec, sink, f"{run}/checkpoint", trigger={"availableNow": True}
+        stream_ticks(spark, sf_dir), spec, sink, f"{run}/checkpoint", trigger={"availableNow": True}, dedup=dedup
     )
     q.awaitTermination()
     if q.exception() is not None:
@@ -229,6 +229,26 @@ def response_stream_hla_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group.tables["10min"].read(spark)
 
 
+@register(
+    "stream_dedup_hla_5m",
+    "SELECT window_start, window_end, from_currency, to_currency, high_rate, low_rate, "
+    f"round(avg_rate, 9) AS avg_rate FROM ({duck_tumbling_sql('5 minutes', HLA)}) w "
+    f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}",
+)
+def stream_dedup_hla_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5-minute job with repeated ticks dropped within the watermark
+    (``dropDuplicatesWithinWatermark`` on symbol, target and event time);
+    ``events`` holds no repeats, so the result equals the plain job's.  The
+    dedup shuffle reorders each window's ticks before summation, so the mean
+    is rounded to 9 decimals on both sides."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.sources.tables import read_windowed
+
+    out = read_windowed(spark, run_stream_job(spark, sf_dir, "5 minutes", HLA, "dedup_hla_5m", dedup=True))
+    return out.withColumn("avg_rate", F.round("avg_rate", 9))
+
+
 # --------------------------------------------------------------------------
 # JSON tick codec
 # --------------------------------------------------------------------------
