@@ -78,6 +78,9 @@ def tumbling(
     df = ticks
     if watermark:
         df = df.withWatermark(time_col, watermark)
+    if drop_null_values:
+        # before dedup, so a value-less copy can never win over a valid repeat
+        df = df.where(F.col(value_col).isNotNull())
     if dedup:
         subset = [*key_map, time_col]
         df = (
@@ -85,8 +88,6 @@ def tumbling(
             if df.isStreaming and watermark
             else df.dropDuplicates(subset)
         )
-    if drop_null_values:
-        df = df.where(F.col(value_col).isNotNull())
     win = (
         F.window(time_col, width, startTime=start_time)
         if start_time
@@ -107,7 +108,7 @@ def closed_windows(windowed: DataFrame, max_event_time: Column, delay: str) -> D
 
     A window is emitted when ``watermark >= window_end`` where
     ``watermark = max(event time) - delay``.  ``max_event_time`` is a scalar
-    column (e.g. from a one-row aggregate joined in).
+    column, e.g. the subquery ``ticks.select(F.max("timestamp")).scalar()``.
     """
     return windowed.where(
         F.col("window_end") <= max_event_time - F.expr(f"INTERVAL {delay}")
