@@ -3,7 +3,7 @@
 A source can deliver fewer partitions than there are cores: one big Parquet
 row group, a gzip file, a one-partition topic.  Scans and cheap projections
 do not care, but JSON parsing of every row does.  :func:`ensure_parallelism`
-round-robins the rows over the cluster's default parallelism only in that
+hash-partitions the rows over the cluster's default parallelism only in that
 case; when the input already has enough splits (the normal case on a large
 cluster) it is a no-op and adds no shuffle.
 """
@@ -11,6 +11,7 @@ cluster) it is a no-op and adds no shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -25,4 +26,18 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
         return df
     if current >= target:
         return df
-    return df.repartition(target)
+    # Hash on the row's own (hashable) columns: deterministic under task
+    # retries without the sort a round-robin repartition needs for that, and
+    # a symbol holding a third of the rows still spreads (time and value vary).
+    cols = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+    return df.repartition(target, *cols) if cols else df.repartition(target)
+
+
+def _has_map(dtype) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    return False
