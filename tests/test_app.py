@@ -144,3 +144,23 @@ def test_sink_contract_in_stream(spark, tmp_dir):
     assert [r.from_currency for r in spark.read.parquet(f"{run}/t/rate_1min").collect()] == ["BTC"]
     rej = spark.read.parquet(f"{run}/t/rejects/1min").collect()
     assert [r.reason for r in rej] == ["from_currency longer than 10"]
+
+
+def test_app_on_a_tick_table(spark):
+    from ticksmith.streaming.app import main
+    from conftest import SMOKE_DIR
+
+    run = shared_path(spark, "test-app-table")
+    assert main(["--source", "table", "--path", SMOKE_DIR, "--table-name", "events", "--tables", f"{run}/t",
+                 "--checkpoints", f"{run}/c", "--available-now"]) == 0
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.sources.events import read_ticks
+    from pyspark.sql import functions as F
+
+    ticks = read_ticks(spark, SMOKE_DIR)
+    max_t = ticks.select(F.max("timestamp").cast("timestamp_ntz")).scalar()
+    for name, spec in (("rate_5min", DEFAULT_JOBS[1]), ("rate_10min", DEFAULT_JOBS[2])):
+        want = tumbling(ticks, spec.width, spec.aggs).where(F.col("window_end") <= max_t - F.expr(f"INTERVAL {spec.delay}"))
+        got = spark.read.parquet(f"{run}/t/{name}").drop("window_date", "batch_id")
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0

@@ -37,3 +37,19 @@ def require_event_time(ticks: DataFrame, time_col: str = "timestamp") -> DataFra
     """Rows without an event time never form a window (Catalyst infers the same
     ``isnotnull`` for ``window()``; stated here so it is pushed to the scan)."""
     return ticks.where(F.col(time_col).isNotNull())
+
+
+def tag_ticks_table(ticks: DataFrame) -> DataFrame:
+    """Tag an already-typed tick relation (``from, to, timestamp, rate``):
+    ``_reason`` names a missing field, ``_raw`` keeps the row as JSON."""
+    reason = (
+        F.when(F.col("from").isNull() | F.col("to").isNull(), F.lit("missing from/to"))
+        .when(F.col("timestamp").isNull(), F.lit("missing timestamp"))
+        .when(F.col("rate").isNull(), F.lit("missing rate"))
+    )
+    return ticks.select(
+        *TICK_COLUMNS,
+        F.to_json(F.struct(*TICK_COLUMNS)).alias("_raw"),
+        reason.alias("_reason"),
+    )
+

@@ -6,6 +6,8 @@
         --topic prices --tables /shared/tables
     python -m ticksmith.streaming.app --source responses --path /landing/responses \\
         --tables /shared/tables
+    python -m ticksmith.streaming.app --source table --path /data/sf --table-name events \\
+        --tables /shared/tables
 
 Starts one query per window job (1, 5, 10 minutes; watermark = width) plus a
 quarantine query, waits until any query ends, and stops all of them on exit
@@ -26,8 +28,13 @@ from ticksmith.session import build_session, checkpoint_root
 
 def parse_args(argv=None):
     p = argparse.ArgumentParser(prog="ticksmith.streaming.app")
-    p.add_argument("--source", choices=("files", "responses", "kafka"), required=True)
+    p.add_argument("--source", choices=("files", "responses", "kafka", "table"), required=True)
     p.add_argument("--path", help="landing folder of tick message files or of raw response files")
+    p.add_argument("--table-name", default="events", help="table source: <path>/<name>.parquet files")
+    p.add_argument("--symbol-col", default="event_type")
+    p.add_argument("--time-col", default="ts")
+    p.add_argument("--value-col", default="value")
+    p.add_argument("--target", default="EUR", help="table source: target currency of every tick")
     p.add_argument("--bootstrap", help="Kafka bootstrap servers")
     p.add_argument("--topic", default="prices")
     p.add_argument("--starting-offsets", default="latest")
@@ -64,7 +71,17 @@ def main(argv=None) -> int:
     trigger = {"availableNow": True} if args.available_now else (
         {"processingTime": args.trigger} if args.trigger else None
     )
-    if args.source == "responses":
+    if args.source == "table":
+        from ticksmith.operators.quality import tag_ticks_table
+        from ticksmith.sources.events import events_as_ticks, stream_table
+        from ticksmith.streaming.jobs import start_tagged_jobs
+
+        raw = stream_table(spark, args.path, args.table_name, max_files_per_trigger=args.max_files_per_trigger)
+        ticks = events_as_ticks(raw, args.target, symbol_col=args.symbol_col, time_col=args.time_col,
+                                value_col=args.value_col)
+        group = start_tagged_jobs(tag_ticks_table(ticks), DEFAULT_JOBS, args.tables, ckpt,
+                                  trigger=trigger, dedup=args.dedup)
+    elif args.source == "responses":
         from ticksmith.sources.responses import read_landed
 
         group = start_response_jobs(
