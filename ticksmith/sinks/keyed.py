@@ -140,8 +140,8 @@ class KeyedTable:
         offsets, same state version, same rows) replaces them; nothing else is
         touched or read.
         """
-        if batch.isEmpty():
-            return
+        if not self.exists(batch.sparkSession) and batch.isEmpty():
+            return  # never create a table without data files (its schema could not be read)
         out = self._with_partition(batch).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
         (
             out.hint("rebalance", self.partition_col)
@@ -153,6 +153,11 @@ class KeyedTable:
         )
         self._exists = True
 
+    def single_pass(self, spark: SparkSession) -> bool:
+        """True when writing a batch runs exactly one job on it (a streamed table
+        that exists): the caller need not cache the batch."""
+        return self.by_batch and self.exists(spark)
+
     def append_new(self, batch: DataFrame, batch_id: int | None = None) -> None:
         """Idempotent append.
 

@@ -44,7 +44,7 @@ def windowed_stream(ticks: DataFrame, spec: WindowSpec, dedup: bool = False) ->
 
 
 def batch_writer(sink: KeyedTable, schema=None, rejects=None):
-    """``foreachBatch`` function: persist once, then idempotent append.
+    """``foreachBatch`` function: idempotent write of one micro-batch.
 
     With a sink ``schema`` the batch is first cast to it and rows that would
     violate it (NOT NULL, currency length) go to ``rejects`` instead of
@@ -52,7 +52,11 @@ def batch_writer(sink: KeyedTable, schema=None, rejects=None):
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        # Every action on the batch re-runs the stateful plan, so cache it when
+        # more than one job will read it; a single write needs no cache.
+        cache = schema is not None or not sink.single_pass(batch.sparkSession)
+        if cache:
+            batch.persist()
         try:
             out = batch
             if schema is not None:
@@ -67,7 +71,8 @@ def batch_writer(sink: KeyedTable, schema=None, rejects=None):
                     )
             sink.append_new(out, batch_id)
         finally:
-            batch.unpersist()
+            if cache:
+                batch.unpersist()
 
     return write
 
