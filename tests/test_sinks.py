@@ -150,3 +150,10 @@ def test_read_range_lists_only_requested_dates(spark):
     assert "window_date=2025-06-18" not in plan
     # no stored date in range: an empty result, not an error
     assert sink.read_range(spark, "2025-07-01 00:00:00", "2025-07-02 00:00:00").count() == 0
+
+
+def test_empty_quarantine_reads_empty(spark):
+    q = QuarantineTable(shared_path(spark, "test-empty-quarantine"))
+    q.append(spark.createDataFrame([], "reason string, raw string"), 0)
+    assert q.read(spark).count() == 0
+    assert QuarantineTable(shared_path(spark, "never-written")).read(spark).count() == 0

@@ -235,7 +235,11 @@ class QuarantineTable:
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        """Stored rejects; empty (``reason, raw, batch_id``) if none was ever stored."""
+        try:
+            return spark.read.parquet(self.path)
+        except AnalysisException:
+            return spark.createDataFrame([], "reason string, raw string, batch_id bigint")
 
 
 class JdbcKeyedTable(KeyedTable):
