@@ -49,11 +49,13 @@ def test_lenient_values(spark):
         '{"from":"B","to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":1e3}',
         '{"from":"C","to":"EUR","timestamp":"2025-06-04T14:34:56.123456+02:00","rate":1.5}',
         '{"from":"D","to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":1.5,"extra":true}',
+        '{"from":"E","to":"EUR","timestamp":1749040496,"rate":2.0}',
     ]
     out = {r["from"]: r for r in tagged(spark, vals).values()}
     assert out["A"]["rate"] == 1.0 and out["B"]["rate"] == 1000.0
     assert out["C"]["timestamp"] == ts("2025-06-04 12:34:56.123456")
     assert out["D"]["_reason"] is None
+    assert out["E"]["timestamp"] == ts("2025-06-04 12:34:56")  # integer = epoch seconds
 
 
 def test_binary_value_and_split(spark):
