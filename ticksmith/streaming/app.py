@@ -19,6 +19,7 @@ from the committed offsets and keeps open windows.
 from __future__ import annotations
 
 import argparse
+import json
 import signal
 import sys
 
@@ -101,6 +102,7 @@ def main(argv=None) -> int:
     try:
         if args.available_now:
             group.await_all()
+            print(json.dumps({"dropped_late_rows": group.dropped_late_rows()}))
         else:
             group.await_any()
     except KeyboardInterrupt:
