@@ -4,6 +4,13 @@ Every query reads the given tables (or data Spark derives from them) in full;
 its work grows with them.  Oracle SQL runs in DuckDB over the same Parquet
 files, pre-registered as views named like the tables.  Column names are equal
 on both sides.
+
+``events`` rows are read as ticks (event_type -> symbol, 'EUR' -> target,
+ts -> event time, value -> rate).  Bad records for the quarantine paths are
+derived from the data itself, never by dropping rows: requests for the
+'error' symbol are answered with an error status, and messages whose payload
+field ``k`` is below 10 carry an unparseable event time.  Every row is still
+processed; the bad ones end in the quarantine with a reason.
 """
 
 from __future__ import annotations
