@@ -42,3 +42,16 @@ def test_backfill_tables_one_scan(spark):
     for name, sink in sinks.items():
         assert sink.read(spark).count() == direct[name].count()
     assert sinks["1min"].read(spark).columns == ["window_start", "window_end", "from_currency", "to_currency", "rate"]
+
+
+def test_backfill_cli(spark):
+    from ticksmith.plans.backfill import main
+
+    root = shared_path(spark, "test-backfill-cli")
+    # a range cut inside days is widened to whole days (dates are replaced whole)
+    assert main(["--path", SMOKE_DIR, "--tables", root, "--since", "2024-01-10 06:00", "--until", "2024-01-11 18:00"]) == 0
+    t10 = spark.read.parquet(f"{root}/rate_10min")
+    days = {r.window_date.isoformat() for r in t10.select("window_date").distinct().collect()}
+    assert days == {"2024-01-10", "2024-01-11"}
+    full = tumbling(read_ticks(spark, SMOKE_DIR, since="2024-01-10", until="2024-01-12"), "10 minutes", HLA)
+    assert t10.count() == full.count()

@@ -50,3 +50,56 @@ def backfill_tables(ticks: DataFrame, specs: Iterable[WindowSpec], table_root: s
         sink.backfill(frames[s.name])
         out[s.name] = sink
     return out
+
+
+def main(argv=None) -> int:
+    """``python -m ticksmith.plans.backfill --path /data/sf --tables /shared/tables``"""
+    import argparse
+
+    from ticksmith.config import DEFAULT_JOBS
+    from ticksmith.session import build_session
+    from ticksmith.sources.events import events_as_ticks, read_table
+
+    p = argparse.ArgumentParser(prog="ticksmith.plans.backfill")
+    p.add_argument("--path", required=True, help="folder holding <table-name>.parquet")
+    p.add_argument("--table-name", default="events")
+    p.add_argument("--symbol-col", default="event_type")
+    p.add_argument("--time-col", default="ts")
+    p.add_argument("--value-col", default="value")
+    p.add_argument("--target", default="EUR")
+    p.add_argument("--since", help="first event time to include (inclusive)")
+    p.add_argument("--until", help="event time bound (exclusive)")
+    p.add_argument("--tables", required=True, help="root folder of the windowed tables")
+    args = p.parse_args(argv)
+    # Dates are replaced whole, so the range is widened to whole days: a date
+    # cut in half would be overwritten with half of its windows.
+    since = _day_floor(args.since) if args.since else None
+    until = _day_ceil(args.until) if args.until else None
+    spark = build_session(app="ticksmith-backfill")
+    ticks = events_as_ticks(
+        read_table(spark, args.path, args.table_name), args.target, since, until,
+        symbol_col=args.symbol_col, time_col=args.time_col, value_col=args.value_col,
+    )
+    backfill_tables(ticks, DEFAULT_JOBS, args.tables)
+    return 0
+
+
+def _day_floor(text: str):
+    import datetime as dt
+
+    t = dt.datetime.fromisoformat(text)
+    return dt.datetime(t.year, t.month, t.day)
+
+
+def _day_ceil(text: str):
+    import datetime as dt
+
+    t = dt.datetime.fromisoformat(text)
+    floor = dt.datetime(t.year, t.month, t.day)
+    return floor if t == floor else floor + dt.timedelta(days=1)
+
+
+if __name__ == "__main__":
+    import sys
+
+    sys.exit(main())
