@@ -41,7 +41,11 @@ def rolled_up(ticks: DataFrame, specs: Iterable[WindowSpec], partials_path: str
 
 
 def backfill_tables(ticks: DataFrame, specs: Iterable[WindowSpec], table_root: str) -> dict[str, KeyedTable]:
-    """Rebuild ``<table_root>/<sink_table>`` for every spec."""
+    """Rebuild ``<table_root>/<sink_table>`` for every spec.
+
+    Every date present in the output is replaced whole, so ``ticks`` must hold
+    whole days (the CLI widens ``--since/--until`` to day boundaries).
+    """
     specs = list(specs)
     frames = rolled_up(ticks, specs)
     out = {}
