@@ -157,3 +157,23 @@ def test_empty_quarantine_reads_empty(spark):
     q.append(spark.createDataFrame([], "reason string, raw string"), 0)
     assert q.read(spark).count() == 0
     assert QuarantineTable(shared_path(spark, "never-written")).read(spark).count() == 0
+
+
+def test_publish_days_into_serving_table(spark):
+    from ticksmith.sinks.keyed import publish_days
+
+    streamed = KeyedTable(shared_path(spark, "test-pub-src"), by_batch=True)
+    rows = [
+        ("2025-06-19 00:00:00", "2025-06-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+        ("2025-06-19 00:05:00", "2025-06-19 00:10:00", "BTC", "EUR", 4.0, 1.0, 2.5),
+        ("2025-06-20 00:00:00", "2025-06-20 00:05:00", "BTC", "EUR", 5.0, 1.0, 3.0),
+    ]
+    for i, r in enumerate(rows):  # one micro-batch per row
+        streamed.write_batch(hla_rows(spark, [r]), i)
+    serving = KeyedTable(shared_path(spark, "test-pub-dst"))
+    publish_days(spark, streamed, serving, "2025-06-19", "2025-06-19")
+    publish_days(spark, streamed, serving, "2025-06-19", "2025-06-19")  # re-run: same result
+    out = serving.read(spark)
+    assert out.count() == 2 and out.columns == hla_rows(spark, rows[:1]).columns
+    with pytest.raises(ValueError):
+        publish_days(spark, streamed, streamed, "2025-06-19", "2025-06-19")

@@ -207,6 +207,21 @@ class KeyedTable:
         self._exists = True
 
 
+def publish_days(spark: SparkSession, streamed: KeyedTable, serving: KeyedTable, first_day, last_day) -> None:
+    """Copy closed days of a streamed table into a date-partitioned serving table.
+
+    The streamed table holds one folder per (date, micro-batch); the serving
+    table holds each date range-partitioned into a few sorted files.  Dates
+    are replaced whole by dynamic partition overwrite, so a re-run (after a
+    crash, or after late corrections) is safe: the source is never modified.
+    """
+    if serving.by_batch:
+        raise ValueError("the serving table must be date-partitioned only")
+    start = dt.datetime.combine(_day(first_day), dt.time())
+    end = dt.datetime.combine(_day(last_day), dt.time(23, 59, 59, 999999))
+    serving.backfill(streamed.read_range(spark, start, end))
+
+
 def _day(value) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()
