@@ -52,3 +52,24 @@ def test_tumbling_matches_brute_force(spark, rows, width):
         ghi, glo, gavg = got[k]
         assert (ghi, glo) == (hi, lo)
         assert math.isclose(gavg, avg, rel_tol=1e-9, abs_tol=1e-6)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(tick, min_size=1, max_size=60), coarse=st.sampled_from([300, 600, 3600]))
+def test_rollup_matches_direct(spark, rows, coarse):
+    from ticksmith.operators.rollup import partials, rollup
+
+    df = spark.createDataFrame(
+        [(s, "EUR", BASE + dt.timedelta(milliseconds=o), r) for s, o, r in rows],
+        "from string, to string, timestamp timestamp, rate double",
+    )
+    got = {
+        (r.window_start, r.from_currency): (r.high_rate, r.low_rate, r.avg_rate)
+        for r in rollup(partials(df, "60 seconds"), f"{coarse} seconds", HLA).collect()
+    }
+    want = brute(rows, coarse)
+    assert set(got) == set(want)
+    for k, (hi, lo, avg) in want.items():
+        ghi, glo, gavg = got[k]
+        assert (ghi, glo) == (hi, lo)
+        assert math.isclose(gavg, avg, rel_tol=1e-9, abs_tol=1e-6)
