@@ -39,7 +39,7 @@ def test_await_any_and_stop_all(spark, tmp_dir):
     group = start_message_jobs(read_messages(spark, landing), DEFAULT_JOBS, f"{run}/t", f"{run}/c",
                                trigger={"processingTime": "1 second"})
     try:
-        group.await_any(timeout=3)  # nothing ends on its own
+        assert group.await_any(timeout=3) is None  # nothing ends on its own
         assert all(q.isActive for q in group.queries.values())
     finally:
         group.stop_all()
@@ -68,6 +68,8 @@ def test_failed_job_is_named(spark, tmp_dir):
     group = JobGroup({"1min": q})
     with pytest.raises(RuntimeError, match="1min"):
         group.await_all(timeout=120)
+    with pytest.raises(RuntimeError, match="1min"):
+        group.await_any(timeout=120)
 
 
 def test_sql_panels(spark):

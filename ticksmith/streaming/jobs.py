@@ -130,20 +130,25 @@ class JobGroup:
                 self.stop_all()
                 raise RuntimeError(f"window job {name!r} failed") from e
 
-    def await_any(self, timeout: float | None = None) -> None:
-        """Block until one query ends; if it failed, stop the rest and say which."""
-        from pyspark.sql import SparkSession
+    def await_any(self, timeout: float | None = None, poll: float = 1.0) -> str | None:
+        """Block until one of *these* queries ends; return its name (None on timeout).
 
-        spark = self.spark or SparkSession.active()
-        try:
-            if timeout is None:
-                spark.streams.awaitAnyTermination()
-            else:
-                spark.streams.awaitAnyTermination(timeout)
-        except Exception as e:
-            failed = [n for n, q in self.queries.items() if q.exception() is not None]
-            self.stop_all()
-            raise RuntimeError(f"window job(s) failed: {failed}") from e
+        If it failed, stop the others and raise, naming it.  Only this group's
+        queries are watched (the session-wide ``awaitAnyTermination`` would
+        also return for any other query that ended in the same session).
+        """
+        deadline = None if timeout is None else time.monotonic() + timeout
+        while True:
+            for name, q in self.queries.items():
+                if not q.isActive:
+                    exc = q.exception()
+                    if exc is not None:
+                        self.stop_all()
+                        raise RuntimeError(f"window job {name!r} failed: {exc}")
+                    return name
+            if deadline is not None and time.monotonic() >= deadline:
+                return None
+            time.sleep(poll)
 
     def stop_all(self) -> None:
         for q in self.queries.values():
