@@ -114,7 +114,6 @@ class JobGroup:
 
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     tables: dict = field(default_factory=dict)
-    spark: object = None
 
     def await_all(self, timeout: float | None = None) -> None:
         """Wait for every query (e.g. ``availableNow`` runs); re-raise the first failure."""
@@ -186,7 +185,7 @@ def start_window_jobs(
     from ticksmith.schema import sink_schema_for
     from ticksmith.sinks.keyed import QuarantineTable
 
-    group = JobGroup(spark=ticks.sparkSession)
+    group = JobGroup()
     for spec in specs:
         group.queries[spec.name] = start_window_query(
             ticks,
