@@ -61,3 +61,17 @@ def test_symbol_membership(spark):
     assert sorted(r["from"] for r in symbols_in(df, ["BTC", "DOGE"]).collect()) == ["BTC", "DOGE"]
     syms = spark.createDataFrame([("BTC",)], "symbol string")
     assert [r["from"] for r in symbols_in_table(df, syms).collect()] == ["BTC"]
+
+
+def test_sql_panel_prunes_stored_table_partitions(spark):
+    from ticksmith.plans.panel_sql import run_panel
+    from ticksmith.session import shared_path
+    from ticksmith.sinks.keyed import KeyedTable
+
+    sink = KeyedTable(shared_path(spark, "test-sql-prune"))
+    sink.backfill(table(spark))
+    spark.read.parquet(sink.path).createOrReplaceTempView("stored_t5")
+    df = run_panel(spark, "high_low", "stored_t5", "DOGE", "2025-06-19 18:00:00", "2025-06-19 18:20:00")
+    assert [r.time.minute for r in df.collect()] == [0, 5, 10, 15, 20]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan
