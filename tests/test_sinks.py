@@ -177,3 +177,53 @@ def test_publish_days_into_serving_table(spark):
     assert out.count() == 2 and out.columns == hla_rows(spark, rows[:1]).columns
     with pytest.raises(ValueError):
         publish_days(spark, streamed, streamed, "2025-06-19", "2025-06-19")
+
+
+DUMP = """--
+-- a dump with two tables
+--
+
+CREATE TABLE public.rate_10min (window_start timestamp without time zone NOT NULL);
+
+COPY public.rate_10min (window_start, window_end, from_currency, to_currency, high_rate, low_rate, avg_rate) FROM stdin;
+2025-06-19 17:50:00\t2025-06-19 18:00:00\tTRX\tEUR\t0.2384\t0.2383\t0.23835
+2025-06-19 17:50:00\t2025-06-19 18:00:00\tETH\tEUR\t2192.9\t2184.8\t2189.2
+\\.
+
+COPY public.rate_1min (window_start, window_end, from_currency, to_currency, rate) FROM stdin;
+2025-06-19 18:41:00\t2025-06-19 18:42:00\tBNB\tEUR\t559.13
+2025-06-19 18:42:00\t\\N\tBNB\tEUR\t559.2
+2025-06-19 18:43:00\tbad-time\tBNB\tEUR\t559.3
+\\.
+"""
+
+
+def test_copy_blocks_from_a_dump(spark, tmp_dir):
+    from ticksmith.sources.tsv import read_copy_block
+
+    path = os.path.join(tmp_dir, "dump.sql")
+    with open(path, "w") as fh:
+        fh.write(DUMP)
+    t10 = read_copy_block(spark, path, "rate_10min", SINK_HLA)
+    assert sorted(r.from_currency for r in t10.where("_reason IS NULL").collect()) == ["ETH", "TRX"]
+    t1 = read_copy_block(spark, path, "rate_1min", SINK_PRICE).collect()
+    assert len(t1) == 3
+    ok = [r for r in t1 if r._reason is None]
+    # window_end is nullable in the 1-minute table (\N), but text that is no timestamp is rejected
+    assert [(r.rate, r.window_end) for r in ok] == [(559.13, ts("2025-06-19 18:42:00")), (559.2, None)]
+    assert [r._reason for r in t1 if r._reason] == ["window_end malformed"]
+    with pytest.raises(ValueError):
+        read_copy_block(spark, path, "rate_5min", SINK_HLA)
+
+
+def test_copy_text_rejects_malformed_nullable_value(spark, tmp_dir):
+    text = (
+        "2025-06-19 18:41:00\t2025-06-19 18:42:00\tBNB\tEUR\t559.13\n"
+        "2025-06-19 18:42:00\t\\N\tBNB\tEUR\t559.2\n"
+        "2025-06-19 18:43:00\tbad-time\tBNB\tEUR\t559.3\n"
+    )
+    with open(os.path.join(tmp_dir, "rate_1min.tsv"), "w") as fh:
+        fh.write(text)
+    good, bad = load_copy_text(spark, tmp_dir, SINK_PRICE)
+    assert sorted(r.rate for r in good.collect()) == [559.13, 559.2]
+    assert [r.reason for r in bad.collect()] == ["malformed row"]

@@ -37,12 +37,18 @@ def read_copy_text(spark: SparkSession, path: str, schema: T.StructType) -> Data
     A row is rejected when a column declared NOT NULL came out NULL (missing,
     ``\\N``, or not parseable as its type).
     """
-    df = spark.read.options(**_OPTIONS).schema(schema).csv(path)
+    with_corrupt = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
+    df = (
+        spark.read.options(**_OPTIONS)
+        .option("columnNameOfCorruptRecord", "_corrupt")
+        .schema(with_corrupt)
+        .csv(path)
+    )
     required = [f.name for f in schema.fields if not f.nullable]
-    reason = F.lit(None).cast("string")
+    reason = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed row"))
     for name in reversed(required):
         reason = F.when(F.col(name).isNull(), F.lit(f"{name} is null or malformed")).otherwise(reason)
-    return df.withColumn("_reason", reason)
+    return df.withColumn("_reason", reason).drop("_corrupt")
 
 
 def load_copy_text(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -68,3 +74,46 @@ def write_copy_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         )
         .csv(path)
     )
+
+
+def read_copy_block(spark: SparkSession, path: str, table: str, schema: T.StructType) -> DataFrame:
+    """Rows of ``COPY <table> (...) FROM stdin;`` in a dump file, plus ``_reason``.
+
+    A dump holds several such blocks, each ended by a ``\\.`` line.  Lines are
+    read in parallel and numbered in file order (``monotonically_increasing_id``
+    increases across splits); only the positions of the block's header and of
+    its terminator -- two numbers from two one-row aggregates -- reach the
+    driver.  The block's lines are then split on tabs and cast to ``schema``;
+    ``\\N`` is NULL, any other text that does not cast is a malformed field.
+    """
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("_pos"), F.col("value"))
+    header = F.col("value").rlike(rf"^COPY\s+(\w+\.)?{table}\s*\(.*\)\s+FROM\s+stdin;\s*$")
+    bounds = lines.agg(
+        F.min(F.when(header, F.col("_pos"))).alias("start"),
+    ).first()
+    if bounds is None or bounds["start"] is None:
+        raise ValueError(f"no COPY block for table {table!r} in {path}")
+    start = bounds["start"]
+    end = (
+        lines.where((F.col("_pos") > start) & (F.col("value") == "\\.")).agg(F.min("_pos").alias("end")).first()["end"]
+    )
+    body = lines.where((F.col("_pos") > start) & ((F.col("_pos") < end) if end is not None else F.lit(True)))
+    parts = F.split(F.col("value"), "\t")
+    texts = body.select(
+        *[F.when(F.get(parts, i) == NULL_TOKEN, F.lit(None)).otherwise(F.get(parts, i)).alias(f.name)
+          for i, f in enumerate(schema.fields)],
+        F.size(parts).alias("_n"),
+    )
+    checks = [(F.col("_n") != len(schema.fields), f"expected {len(schema.fields)} fields")]
+    for f in schema.fields:
+        value = F.col(f.name).try_cast(f.dataType)
+        checks.append((F.col(f.name).isNotNull() & value.isNull(), f"{f.name} malformed"))
+        if not f.nullable:
+            checks.append((F.col(f.name).isNull(), f"{f.name} is null"))
+    reason = F.lit(None).cast("string")
+    for cond, text in reversed(checks):
+        reason = F.when(cond, F.lit(text)).otherwise(reason)
+    return texts.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+        reason.alias("_reason"),
+    )
