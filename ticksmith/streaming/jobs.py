@@ -65,7 +65,9 @@ def batch_writer(sink: KeyedTable, schema=None, rejects=None):
                 from ticksmith.sinks.contract import conform
 
                 out, bad = conform(batch, schema)
-                if rejects is not None:
+                # the batch is cached, so probing for rejects is cheap; most
+                # batches have none and skip a write job
+                if rejects is not None and not bad.isEmpty():
                     rejects.append(
                         bad.select("reason", F.to_json(F.struct(*schema.fieldNames())).alias("raw")), batch_id
                     )
