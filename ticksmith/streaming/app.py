@@ -98,7 +98,10 @@ def main(argv=None) -> int:
     def stop(*_):
         group.stop_all()
 
-    signal.signal(signal.SIGTERM, stop)
+    try:
+        signal.signal(signal.SIGTERM, stop)
+    except ValueError:  # not the main thread: the caller owns signal handling
+        pass
     try:
         if args.available_now:
             group.await_all()
