@@ -144,3 +144,13 @@ def test_live_trigger_emits_as_watermark_advances(spark, tmp_dir):
         assert emitted({"12:00": 2.0, "12:02": 7.0}) == {"12:00": 2.0, "12:02": 7.0}
     finally:
         group.stop_all()
+
+
+def test_window_is_emitted_when_watermark_equals_its_end(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    run = shared_path(spark, "test-equal")
+    # max event time 12:02:00 -> watermark 12:01:00 == end of the 12:00 window
+    land(landing, 0, [msg("00:10", 1), msg("01:20", 5), msg("02:00", 9)])
+    run_once(spark, landing, f"{run}/tables", f"{run}/checkpoints", [DEFAULT_JOBS[0]])
+    assert rows_1m(spark, f"{run}/tables") == {"12:00": 1.0}  # 12:01 (end 12:02 > 12:01) stays open
