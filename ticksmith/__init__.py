@@ -9,9 +9,12 @@ Everything is expressed with DataFrames / Spark SQL functions so Catalyst
 plans it (pushdown, pruning, partial aggregation, codegen).
 """
 
-from ticksmith.config import HLA, PRICE, WindowSpec, DEFAULT_JOBS
+from ticksmith.config import DEFAULT_JOBS, HLA, PRICE, WindowSpec
 from ticksmith.operators.tumbling import tumbling
 from ticksmith.session import build_session, pin_utc, shared_path
+from ticksmith.sinks.keyed import KeyedTable
+from ticksmith.sources.events import read_ticks, stream_ticks
+from ticksmith.streaming.jobs import start_message_jobs, start_response_jobs, start_tagged_jobs
 
 __all__ = [
     "HLA",
@@ -22,6 +25,12 @@ __all__ = [
     "build_session",
     "pin_utc",
     "shared_path",
+    "KeyedTable",
+    "read_ticks",
+    "stream_ticks",
+    "start_message_jobs",
+    "start_response_jobs",
+    "start_tagged_jobs",
 ]
 
 __version__ = "0.1.0"
