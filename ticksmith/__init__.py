@@ -11,7 +11,7 @@ plans it (pushdown, pruning, partial aggregation, codegen).
 
 from ticksmith.config import DEFAULT_JOBS, HLA, PRICE, WindowSpec
 from ticksmith.operators.tumbling import tumbling
-from ticksmith.session import build_session, pin_utc, shared_path
+from ticksmith.session import build_session, drop_staged, pin_utc, shared_path, staged
 from ticksmith.sinks.keyed import KeyedTable
 from ticksmith.sources.events import read_ticks, stream_ticks
 from ticksmith.streaming.jobs import start_message_jobs, start_response_jobs, start_tagged_jobs
@@ -25,6 +25,8 @@ __all__ = [
     "build_session",
     "pin_utc",
     "shared_path",
+    "staged",
+    "drop_staged",
     "KeyedTable",
     "read_ticks",
     "stream_ticks",

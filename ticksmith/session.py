@@ -14,9 +14,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-_FALLBACK_DIR: str | None = None
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -61,33 +59,78 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Falls back to the SparkContext checkpoint dir, and only when neither is set
-    (a local test session) to a fresh temporary folder of our own.
-    """
-    global _FALLBACK_DIR
+def _configured_root(spark: SparkSession) -> str | None:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
             root = spark.sparkContext.getCheckpointDir()
         except Exception:  # no SparkContext on this side (Spark Connect)
             root = None
+    return root.rstrip("/") if root else None
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` (or set on the SparkContext).
+
+    Raises when the session names none: a folder of our own choosing would be
+    local to one machine, and the executors of a cluster could not share it.
+    """
+    root = _configured_root(spark)
     if not root:
-        if _FALLBACK_DIR is None:
-            _FALLBACK_DIR = tempfile.mkdtemp(prefix="ticksmith-")
-            try:
-                spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
-            except Exception:
-                pass
-        root = _FALLBACK_DIR
-    return root.rstrip("/")
+        raise RuntimeError(
+            "no shared folder: set spark.checkpoint.dir to a path that the driver and "
+            "all executors can reach"
+        )
+    return root
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """``checkpoint_root``, naming a temporary folder first if the master is local and none is set.
+
+    For tests, benchmarks and smoke checks in one JVM only; on any other master a
+    missing setting still raises.
+    """
+    if not _configured_root(spark) and spark.sparkContext.master.split("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ticksmith-"))
+    return checkpoint_root(spark)
+
+
+def _own_root(spark: SparkSession) -> str:
+    """The folder under the shared one that belongs to this application."""
+    return f"{checkpoint_root(spark)}/ticksmith/{spark.sparkContext.applicationId}"
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A path under the shared folder; ``unique`` appends a fresh run id."""
-    segs = [checkpoint_root(spark), "ticksmith", *parts]
+    """A path for staged copies under the application's own part of the shared folder.
+
+    ``unique`` appends a fresh run id.  ``drop_staged`` removes everything that
+    was handed out, so the application id is the owner of all staged copies.
+    """
+    segs = [_own_root(spark), *(p.strip("/") for p in parts)]
     if unique:
         segs.append(uuid.uuid4().hex[:12])
-    return "/".join(s.strip("/") if i else s for i, s in enumerate(segs))
+    return "/".join(segs)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder through the Hadoop file system that owns it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Remove every staged copy of this application; call it when its results have been read."""
+    return delete_path(spark, _own_root(spark))
+
+
+def staged(df: DataFrame, *parts: str) -> DataFrame:
+    """Write ``df`` as Parquet under ``shared_path`` and read it back.
+
+    Cuts the lineage with files that every executor reaches, so a lost executor
+    costs a re-read and not a re-computation, and the rows stay as first computed.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, *parts)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
