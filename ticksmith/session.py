@@ -11,11 +11,15 @@ Cluster rules this module enforces:
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: dict[str, str] = {}
+
 
 def build_session(
     master: str | None = None,
@@ -112,6 +116,26 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join(segs)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors, once per application.
+
+    Not needed where it is installed or on the workers' ``PYTHONPATH``; harmless there.
+    """
+    context = spark.sparkContext
+    if _SHIPPED.get("to") == context.applicationId:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ticksmith-"), "ticksmith_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED["to"] = context.applicationId
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder through the Hadoop file system that owns it."""
     jvm = spark.sparkContext._jvm
