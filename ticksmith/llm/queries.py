@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import decontam, langid
+from ticksmith.llm import decontam, langid, secrets
 from ticksmith.llm.common import table
 
 
@@ -35,9 +35,20 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined_sha256(ids).alias("items_sha256"), (F.col("hits.n_hit") > 0).alias("contaminated"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; owners are the sources, and each document counts as one repository."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=["doc_id"])
+    base = F.col("secrets.base")
+    return found.select(
+        "doc_id", *[secrets.kind_count(base, k).alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+        secrets.span_list(F.col("secrets.spans")).alias("spans"))
+
+
 QUERIES = {
     "op5_language_id": op5_language_id,
     "op8_decontaminate": op8_decontaminate,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLE_SQL = {}
