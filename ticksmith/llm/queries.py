@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import decontam, langid, secrets
+from ticksmith.llm import decontam, langid, secrets, urlrules
 from ticksmith.llm.common import table
 
 
@@ -14,6 +14,24 @@ def _joined_sha256(items: Column) -> Column:
     return F.sha2(F.concat_ws(",", items), 256)
 
 
+#: The rules of the URL query.
+RULES = [
+    urlrules.Rule("com", "/", "allow"),
+    urlrules.Rule("example.com", "/en/", "block"),
+    urlrules.Rule("www.example.com", "/en/", "allow"),
+    urlrules.Rule("net", "/es/", "block"),
+    urlrules.Rule("net", "/fr/", "block"),
+]
+#: Globs over ``.host/path`` that block a URL which no rule names.
+BLOCKED = ["*cheap-pills*", "*cheap-pills*/**", "*casino*/**", "*.ads.*/**", "**/ads/**", "**.exe", "**.apk"]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    found = urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES, blocked=BLOCKED)
+    return found.select("page_id", "judged.*")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those whose crc32(doc_id) mod 3 is not 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -46,6 +64,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_url_filter": op3_url_filter,
     "op5_language_id": op5_language_id,
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
