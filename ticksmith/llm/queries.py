@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import chat, decontam, langid, secrets, urlrules
+from ticksmith.llm import chat, decontam, langid, secrets, urlrules, warc
 from ticksmith.llm.common import table
 from ticksmith.session import staged
 
@@ -72,12 +72,19 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.span_list(F.col("secrets.spans")).alias("spans"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    found = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op3_url_filter": op3_url_filter,
     "op5_language_id": op5_language_id,
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL = {}
