@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import chat, decontam, langid, secrets, urlrules, warc
+from ticksmith.llm import chat, decontam, langid, secrets, simhash, urlrules, warc
 from ticksmith.llm.common import table
 from ticksmith.session import staged
 
@@ -23,6 +23,12 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(staged(chat.render(chat.log_of_messages(given.unionByName(extra))), "chat"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    return found.select("doc_id", simhash.hex_of(F.col("simhash.fingerprint")).alias("fingerprint"), "simhash.component_id")
+
+
 #: The rules of the URL query.
 RULES = [
     urlrules.Rule("com", "/", "allow"),
@@ -80,6 +86,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
     "op5_language_id": op5_language_id,
     "op8_decontaminate": op8_decontaminate,
