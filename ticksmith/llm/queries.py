@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import chat, decontam, langid, secrets, simhash, urlrules, warc
+from ticksmith.llm import chat, decontam, langid, packing, secrets, simhash, urlrules, warc
 from ticksmith.llm.common import table
 from ticksmith.session import staged
 
@@ -47,6 +48,14 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "judged.*")
 
 
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens; a row per piece, its ids by their checksum."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(
+        "doc_id", "start", "length", packing.crc_of(F.col("ids")).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those whose crc32(doc_id) mod 3 is not 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -88,6 +97,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
+    "op4_pack": op4_pack,
     "op5_language_id": op5_language_id,
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
