@@ -97,7 +97,9 @@ def test_nulls_repeats_and_empty(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r.doc_id, r.simhash.component_id) for r in simhash.near_duplicates(docs).collect()), key=str)
     assert got == sorted([(5, 3), (3, 3), (None, 9), (9, 9), (9, 9), (None, None)], key=str)
-    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    assert sorted((tuple(r) for r in simhash.keep_one(docs).collect()), key=str) == sorted(
+        [(3, ""), (9, "A b c d"), (None, "alone in the world")], key=str)
+    assert simhash.near_duplicates(docs.limit(0)).count() == simhash.keep_one(docs.limit(0)).count() == 0
 
 
 def test_query(spark):

@@ -238,6 +238,22 @@ def _classes(edges: DataFrame) -> DataFrame:
     return found
 
 
+def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, carry: list[str], shingle: int) -> DataFrame:
+    """(kept, id, row, fp), written: the columns carried, the id, a number of the row's own and the fingerprint."""
+    kept = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(carry)], docs[id_col].alias("id"))
+    return staged(docs.select(
+        kept.alias("kept"), docs[id_col].cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
+        fingerprint(docs[text_col], shingle).alias("fp")), "simhash", "rows")
+
+
+def _rooted(rows: DataFrame, max_bits: int, shard_size: int, sample: int) -> DataFrame:
+    """(fp, first, root): every distinct fingerprint, its first row (smallest id, nulls last) and its class."""
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"))).alias("first")
+    distinct = staged(rows.groupBy("fp").agg(first), "simhash", "distinct")
+    found = _classes(_edges(distinct, max_bits, shard_size, sample))
+    return staged(distinct.join(found, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash", "rooted")
+
+
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, shingle: int = 3,
     max_bits: int = 2, shard_size: int = 50_000, sample: int = 65_536, result_col: str = "simhash",
@@ -247,17 +263,24 @@ def near_duplicates(
     Fingerprints are written once to the shared folder, beside the columns carried.
     """
     carry = docs.columns if carry is None else carry
-    kept = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(carry)], docs[id_col].cast("long").alias("id"))
-    rows = staged(docs.select(kept.alias("kept"), fingerprint(docs[text_col], shingle).alias("fp")), "simhash", "rows")
-    distinct = staged(rows.groupBy("fp").agg(F.min("kept.id").alias("least")), "simhash", "distinct")
-    found = _classes(_edges(distinct, max_bits, shard_size, sample))
-    rooted = staged(distinct.join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash", "rooted")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
+    rows = _fingerprinted(docs, id_col, text_col, carry, shingle)
+    rooted = _rooted(rows, max_bits, shard_size, sample)
+    named = rooted.groupBy("root").agg(F.min("first.id").alias("component_id"))
     # a fingerprint that a third of all rows share is joined in parts
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("kept.id"), F.lit(SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    out = salted.join(classes.select("fp", "component_id", salts.alias("salt")), ["fp", "salt"])
-    return out.select(
+    classes = rooted.join(named, "root").select("fp", "component_id", salts.alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)).cast("int"))
+    return salted.join(classes, ["fp", "salt"]).select(
         *[F.col("kept")[f"c{i}"].alias(c) for i, c in enumerate(carry)],
         F.struct(F.col("fp").alias("fingerprint"), "component_id").alias(result_col))
+
+
+def keep_one(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2,
+    shard_size: int = 50_000, sample: int = 65_536,
+) -> DataFrame:
+    """One row of each class, that with the smallest id (of equal ones the first row; null ids last)."""
+    rows = _fingerprinted(docs, id_col, text_col, docs.columns, shingle)
+    first = _rooted(rows, max_bits, shard_size, sample).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(first.select(F.col("first.row").alias("row")), "row", "left_semi").select(
+        *[F.col("kept")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
