@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import chat, decontam, langid, packing, secrets, simhash, urlrules, warc
+from ticksmith.llm import ann, chat, decontam, langid, packing, secrets, simhash, urlrules, warc
 from ticksmith.llm.common import table
 from ticksmith.session import staged
 
@@ -67,6 +67,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language.score").alias("score"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth vector."""
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside occurrences of ten-word windows of the benchmark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -99,6 +104,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_pack": op4_pack,
     "op5_language_id": op5_language_id,
+    "op6_nearest": op6_nearest,
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
