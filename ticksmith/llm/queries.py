@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import ann, chat, decontam, langid, packing, secrets, simhash, urlrules, warc
+from ticksmith.llm import ann, chat, decontam, htmltext, langid, packing, secrets, simhash, urlrules, warc
 from ticksmith.llm.common import table
 from ticksmith.session import staged
 
@@ -72,6 +72,12 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", htmltext.extract(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside occurrences of ten-word windows of the benchmark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -105,6 +111,7 @@ QUERIES = {
     "op4_pack": op4_pack,
     "op5_language_id": op5_language_id,
     "op6_nearest": op6_nearest,
+    "op7_html_text": op7_html_text,
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
