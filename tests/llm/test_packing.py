@@ -65,6 +65,17 @@ def _ids(texts):
     return [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
 
 
+def test_words_give_the_ids_of_the_whole_text():
+    rng = random.Random(8)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for memo in (4, 1 << 18):
+        encode = packing._encoder(path, 2, memo)
+        chars = ["a", "B", "é", "e\u0301", "\u0301", " ", "\n", "\t", "\u00a0", "\x1c", "\u2003", "'s", "'", "1", "!", "😀", "Σ", "ß", "ﬁ", "</w>",
+                 "<|endoftext|>", "the", "\u200d", "İ", "각", "\u1100", "\u1161", "\r\n", "\x85", "x" * 300]
+        texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+        assert [encode(t).tolist() for t in texts] == _ids(texts)
+
+
 def test_nulls_long_special_and_empty(spark):
     texts = [None, "", "<|endoftext|> é 😀", "word " * 30000, "a"]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, offset int")

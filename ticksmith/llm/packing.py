@@ -23,6 +23,7 @@ rows; other columns are ignored but for the one named as id.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -133,29 +134,40 @@ class Packer:
         self.pool, self.held = {}, 0
 
 
-def _encoder(path: str, end: int):
-    """Texts to id arrays; the file is read once per worker."""
+class _Words(dict):
+    """The ids of words, encoded when first met; at most ``limit`` words of at most 64 characters are remembered."""
+
+    def __init__(self, tokenizer, limit: int):
+        super().__init__()
+        self.tokenizer, self.limit = tokenizer, limit
+
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<i4").tobytes()
+        if len(word) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str, end: int, memo_words: int = 1 << 19):
+    """Texts to id arrays; the file is read, and words are remembered, once per worker.
+
+    The vocabulary drops white space and never joins across it, so a text's ids are those of
+    its words (between spaces or line feeds), one after another.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    known, last = _Words(tokenizer, memo_words), np.array([end], "<i4").tobytes()
 
-    def encode(texts: list[str | None]) -> Iterator[np.ndarray]:
-        held, size = [], 0
-        for text in [*texts, None]:
-            held.append(text or "")
-            size += len(held[-1])
-            if size > 1 << 19 or len(held) >= 256:
-                yield from (np.array([*e.ids, end], np.int32) for e in tokenizer.encode_batch(held, add_special_tokens=False))
-                held, size = [], 0
-        if held:
-            yield from (np.array([*e.ids, end], np.int32) for e in tokenizer.encode_batch(held, add_special_tokens=False))
-
-    def exact(texts: list[str | None]) -> Iterator[np.ndarray]:
-        for _, ids in zip(texts, encode(texts)):  # the last, empty one only ends the run
-            yield ids
+    def encode(text: str | None) -> np.ndarray:
+        words = (text or "").replace("\n", " ").split(" ")
+        return np.frombuffer(b"".join(map(known.__getitem__, words)) + last, np.int32)
 
-    return exact
+    return encode
 
 
 def pack(
@@ -178,9 +190,8 @@ def pack(
             for batch in batches:
                 kinds = batch.column(0).type
                 for at in range(0, batch.num_rows, 512):
-                    ids, texts = (c.to_pylist() for c in batch.slice(at, 512).columns)
-                    for doc, tokens in zip(ids, encode(texts)):
-                        yield from packer.add(doc, tokens)
+                    for doc, text in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns)):
+                        yield from packer.add(doc, encode(text))
             yield from packer.finish()
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
