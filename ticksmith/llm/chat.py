@@ -164,11 +164,15 @@ def _parsed(rows: Iterator[tuple]) -> Iterator[tuple]:
         yield closed()
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """Per conversation, from the rendered segments alone: turns, digests and lengths."""
+def read_back(segments: DataFrame, in_order: bool = False) -> DataFrame:
+    """Per conversation, from the rendered segments alone: turns, digests and lengths.
+
+    ``in_order``: the frame comes from ``render`` as it is, so the segments of a conversation
+    follow each other in one partition and need no second shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batches(_parsed(_rows(batches)), _schema(TURNS))
 
-    rows = segments.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+    rows = segments if in_order else segments.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
     return rows.select("conv_id", "formatted", "mask_start", "mask_end").mapInArrow(run, TURNS)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ticksmith.llm import ann, chat, decontam, htmltext, langid, packing, secrets, simhash, urlrules, warc
 from ticksmith.llm.common import table
-from ticksmith.session import staged
 
 
 def _joined_sha256(items: Column) -> Column:
@@ -17,11 +16,11 @@ def _joined_sha256(items: Column) -> Column:
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and conversation -1 formatted, written, and read back."""
+    """All conversations and conversation -1 formatted, and read back from the formatted text."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
-    return chat.read_back(staged(chat.render(chat.log_of_messages(given.unionByName(extra))), "chat"))
+    return chat.read_back(chat.render(chat.log_of_messages(given.unionByName(extra))), in_order=True)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
