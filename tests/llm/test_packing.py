@@ -90,3 +90,17 @@ def test_query(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     rows = [tuple(r)[:7] for r in op4_pack(spark, sf).collect()]
     check(rows, list(zip([d.doc_id for d in docs], _ids([d.text for d in docs]))), 4096, 0.01)
+
+
+def test_remembered_words_give_the_ids_of_the_whole_text():
+    rng = random.Random(3)
+    pieces = ["Ünd", "straße", "ÉTÉ", "don't", "it's.", "x", "Привет,", "Ёлка!", "ét", "J̌", "İs", "ΟΔΟΣ", "a1b22", "½", "::", "?!...", "'s", "",
+              "<|endoftext|>", "日本語", "tab\tword", " ", "\r\n", "naïve;", "ﬁn", "Å", "×÷", "end.'s", "a.b", "\U0001f600", "ªº", "́", "ǅ"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        whole = Tokenizer.from_file(path)
+        whole.encode_special_tokens = True
+        encode = packing._encoder(path, 2)
+        for _ in range(400):
+            text = "".join(rng.choice(pieces) + rng.choice([" ", "\n", "  ", ""]) for _ in range(rng.randint(0, 12)))
+            assert encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids + [2], repr(text)

@@ -24,6 +24,9 @@ rows; other columns are ignored but for the one named as id.
 from __future__ import annotations
 
 import functools
+import json
+import re
+import struct
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -134,34 +137,74 @@ class Packer:
         self.pool, self.held = {}, 0
 
 
+#: The normalizer and the split of the vocabularies whose words stand alone, as their files have them.
+_WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORD_SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: Letters that no normal form joins or changes when alone, then marks that no contraction begins with.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿА-ЯЁа-яё]+)([.,;:!?]*)")
+
+
+class _Levels(dict):
+    """Code points to the characters that byte-level vocabularies write their bytes as, for ``str.translate``."""
+
+    def __init__(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.level = ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, code: int) -> str:
+        found = self[code] = self.level.pre_tokenize_str(chr(code))[0][0]
+        return found
+
+
 class _Words(dict):
-    """The ids of words, encoded when first met; at most ``limit`` words of at most 64 characters are remembered."""
+    """The ids of words, encoded when first met; at most ``limit`` words of at most 64 characters are remembered.
+
+    A plain word (letters, then marks) is two tokens of the split, which go to the vocabulary's
+    merges directly; any other one goes through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer, limit: int):
         super().__init__()
-        self.tokenizer, self.limit = tokenizer, limit
+        self.tokenizer, self.limit, self.levels, self.merged = tokenizer, limit, _Levels(), tokenizer.model.tokenize
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<i4").tobytes()
+        plain = _PLAIN.fullmatch(word)
+        if plain:
+            letters, marks = plain.groups()
+            ids = [t.id for t in self.merged(letters.lower().translate(self.levels))]
+            if marks:
+                ids += [t.id for t in self.merged(marks)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        found = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= 64:
             if len(self) >= self.limit:
                 self.clear()
-            self[word] = ids
-        return ids
+            self[word] = found
+        return found
 
 
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str, end: int, memo_words: int = 1 << 19):
     """Texts to id arrays; the file is read, and words are remembered, once per worker.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of
-    its words (between spaces or line feeds), one after another.
+    A vocabulary whose file has the split above drops white space and never joins across it, so a
+    text's ids are those of its words (between spaces or line feeds), one after another.  With
+    any other vocabulary whole texts are encoded.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    known, last = _Words(tokenizer, memo_words), np.array([end], "<i4").tobytes()
+    spec, last = json.loads(tokenizer.to_str()), np.array([end], "<i4").tobytes()
+    if spec["normalizer"] != _WORD_NORMALIZER or spec["pre_tokenizer"] != _WORD_SPLIT or spec["post_processor"]:
+        return lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [end], np.int32)
+    known = _Words(tokenizer, memo_words)
 
     def encode(text: str | None) -> np.ndarray:
         words = (text or "").replace("\n", " ").split(" ")
