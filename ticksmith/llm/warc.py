@@ -2,7 +2,7 @@
 
 Records are cut into shards by ranges of the id: exact bytes per one of ``bins`` equal id
 ranges are summed (a bounded table, all the driver sees), and neighbouring ranges are joined
-until a shard holds ``shard_bytes``.  The rows of a shard meet in one partition, sorted by id,
+until a shard holds ``shard_bytes``.  Every shard is one partition of its own, its rows sorted by id,
 and are written as a stream of gzip members, each one record; a file is rolled once it has
 ``file_bytes`` of compressed data.  Headers, record ids (from shard contents) and digests are
 made anew and carry no clock or chance, so the same table gives the same files on any cluster.
@@ -106,20 +106,21 @@ class _Files:
             yield self.name, self.records, self.size
 
 
-def _shards(pages: DataFrame, bins: int, shard_bytes: int) -> list[int]:
-    """The lowest ids of all shards but the first, from exact sums over equal ranges of the id."""
+def _shards(pages: DataFrame, bins: int, shard_bytes: int) -> tuple[int, int, list[int]]:
+    """The lowest id, the width of a bin and each bin's shard, from exact sums over equal ranges of the id."""
     lo, hi = pages.agg(F.min("page_id"), F.max("page_id")).first()
     if lo is None:
-        return []
+        return 0, 1, [0]
     width = (hi - lo) // bins + 1
     sums = pages.groupBy(F.floor((F.col("page_id") - lo) / width).alias("bin")).agg(F.sum("n").alias("n")).filter("bin is not null")
-    out, held = [], 0
-    for r in sorted(sums.collect()):
-        if held >= shard_bytes:
-            out.append(lo + int(r.bin) * width)
-            held = 0
-        held += r.n
-    return out
+    size = {int(r.bin): r.n for r in sums.collect()}
+    out, shard, held = [], 0, 0
+    for at in range((hi - lo) // width + 1):
+        if held >= shard_bytes and at in size:
+            shard, held = shard + 1, 0
+        held += size.get(at, 0)
+        out.append(shard)
+    return lo, width, out
 
 
 def _plan(pages: DataFrame, revisit_min: int) -> DataFrame:
@@ -144,9 +145,10 @@ def write(
     rows = pages.select(
         pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), payload.alias("payload"))
     sized = rows.select("page_id", F.octet_length("payload").alias("n"))
-    bounds = _shards(sized, bins, shard_bytes)
-    # floor of the place among the bounds; null ids go to the first shard
-    shard = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("page_id"))), F.lit(0)) if bounds else F.lit(0)
+    lo, width, shards = _shards(sized, bins, shard_bytes)
+    # one look-up for a row, however many shards there are; null ids go to the first shard
+    place_of = F.floor((F.col("page_id") - lo) / width).cast("int")
+    shard = F.coalesce(F.get(F.lit(shards), place_of), F.lit(0))
     plan = _plan(rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n")), revisit_min)
     notes = plan.select(
         shard.alias("shard"), "page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
@@ -184,7 +186,7 @@ def write(
                 [pa.array([name]), pa.array([n], pa.int64()), pa.array([size], pa.int64())], names=["file", "records", "bytes"])
 
     order = ["shard", "page_id", "kind", "url", F.col("payload")]
-    every = records.unionByName(notes).repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions(*order)
+    every = records.unionByName(notes).repartitionById(shards[-1] + 1, F.col("shard")).sortWithinPartitions(*order)
     every.mapInArrow(run, MANIFEST).write.parquet(f"{root}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
