@@ -52,7 +52,7 @@ def test_failed_job_is_named(spark, tmp_dir):
     from ticksmith.streaming.jobs import JobGroup, start_window_query
 
     class Boom:
-        def append_new(self, batch, batch_id):
+        def append_new(self, batch, batch_id, query_id):
             raise RuntimeError("sink down")
 
     landing = os.path.join(tmp_dir, "in")
@@ -163,6 +163,6 @@ def test_app_on_a_tick_table(spark):
     max_t = ticks.select(F.max("timestamp").cast("timestamp_ntz")).scalar()
     for name, spec in (("rate_5min", DEFAULT_JOBS[1]), ("rate_10min", DEFAULT_JOBS[2])):
         want = tumbling(ticks, spec.width, spec.aggs).where(F.col("window_end") <= max_t - F.expr(f"INTERVAL {spec.delay}"))
-        got = spark.read.parquet(f"{run}/t/{name}").drop("window_date", "batch_id")
+        got = spark.read.parquet(f"{run}/t/{name}").drop("window_date", "query_id", "batch_id")
         assert got.count() == want.count() > 0
         assert got.exceptAll(want).count() == 0

@@ -227,3 +227,44 @@ def test_copy_text_rejects_malformed_nullable_value(spark, tmp_dir):
     good, bad = load_copy_text(spark, tmp_dir, SINK_PRICE)
     assert sorted(r.rate for r in good.collect()) == [559.13, 559.2]
     assert [r.reason for r in bad.collect()] == ["malformed row"]
+
+
+def test_a_second_query_neither_removes_nor_repeats_stored_keys(spark):
+    first = ("2025-08-03 10:00:00", "2025-08-03 10:05:00", "AAA", "EUR", 3.0, 1.0, 2.0)
+    other = ("2025-08-03 10:05:00", "2025-08-03 10:10:00", "BBB", "EUR", 9.0, 7.0, 8.0)
+    sink = KeyedTable(shared_path(spark, "test-two-queries"), by_batch=True)
+    sink.append_new(hla_rows(spark, [first, first]), 0, "one")
+    sink.append_new(hla_rows(spark, [first, other]), 0, "two")  # batch numbers start again
+    sink.append_new(hla_rows(spark, [first, other]), 0, "two")  # and its replay
+    assert sorted(r.from_currency for r in sink.read(spark).collect()) == ["AAA", "BBB"]
+
+
+def test_backfill_into_a_streamed_table(spark):
+    rows = [(f"2025-08-0{d} 10:00:00", f"2025-08-0{d} 10:05:00", "AAA", "EUR", 3.0, 1.0, 2.0) for d in (3, 4, 5)]
+    sink = KeyedTable(shared_path(spark, "test-one-layout"), by_batch=True)
+    sink.append_new(hla_rows(spark, rows), 0, "one")
+    new = ("2025-08-03 11:00:00", "2025-08-03 11:05:00", "AAA", "EUR", 5.0, 1.0, 2.0)
+    for _ in range(2):  # the date of the new rows is replaced, the one without rows goes
+        sink.backfill(hla_rows(spark, [new]), first_day="2025-08-03", last_day="2025-08-04")
+    sink.append_new(hla_rows(spark, [new, rows[0]]), 1, "one")  # the stream goes on: a stored key is skipped
+    got = sorted(str(r.window_start) for r in KeyedTable(sink.path, by_batch=True).read(spark).collect())
+    assert got == ["2025-08-03 10:00:00", "2025-08-03 11:00:00", "2025-08-05 10:00:00"]
+
+
+def test_stream_of_a_table_of_part_files(spark, tmp_dir):
+    from ticksmith.sources.events import events_as_ticks, read_ticks, stream_table
+
+    events = spark.createDataFrame(
+        [(i, ts(f"2025-08-03 10:0{i}:00"), "AAA", float(i)) for i in range(8)], "event_id long, ts timestamp_ntz, event_type string, value double")
+    events.repartition(4).write.parquet(f"{tmp_dir}/parts/events.parquet")
+    events.coalesce(1).write.parquet(f"{tmp_dir}/one")
+    os.makedirs(f"{tmp_dir}/file")
+    part = next(f for f in os.listdir(f"{tmp_dir}/one") if f.endswith(".parquet"))
+    os.rename(f"{tmp_dir}/one/{part}", f"{tmp_dir}/file/events.parquet")
+    for form, files in (("parts", 1), ("file", None)):
+        q = events_as_ticks(stream_table(spark, f"{tmp_dir}/{form}", "events", max_files_per_trigger=files))
+        out = f"{tmp_dir}/out-{form}"
+        q.writeStream.option("checkpointLocation", f"{out}-c").trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+        assert spark.read.parquet(out).count() == read_ticks(spark, f"{tmp_dir}/{form}").count() == 8
+    with pytest.raises(Exception):
+        stream_table(spark, f"{tmp_dir}/none", "events")

@@ -50,7 +50,7 @@ def backfill_tables(ticks: DataFrame, specs: Iterable[WindowSpec], table_root: s
     frames = rolled_up(ticks, specs)
     out = {}
     for s in specs:
-        sink = KeyedTable(f"{table_root.rstrip('/')}/{s.sink_table}")
+        sink = KeyedTable(f"{table_root.rstrip('/')}/{s.sink_table}", by_batch=True)  # the layout that streams write
         sink.backfill(frames[s.name])
         out[s.name] = sink
     return out

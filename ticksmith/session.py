@@ -143,6 +143,19 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if there is no such folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a folder or a file; one that does not exist is an error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory())
+
+
 def drop_staged(spark: SparkSession) -> bool:
     """Remove every staged copy of this application; call it when its results have been read."""
     return delete_path(spark, _own_root(spark))

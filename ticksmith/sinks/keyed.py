@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 
 from ticksmith.functions.timecols import as_ntz
 from ticksmith.schema import SINK_KEY
+from ticksmith.session import delete_path, list_folders
 from ticksmith.sinks.contract import assert_unique
 
 PARTITION_COL = "window_date"
 BATCH_COL = "batch_id"
-# Longest range read through a glob over date folders; longer ranges list the
-# table root once and prune partitions from there.
-MAX_GLOB_DAYS = 366
+# A streamed batch lies under the id of its query (kept in the query's checkpoint):
+# batch numbers start again at 0 with a new checkpoint.
+QUERY_COL = "query_id"
+DIRECT, BACKFILL = "direct", "backfill"
 
 
 class KeyedTable:
@@ -66,7 +68,7 @@ class KeyedTable:
     @property
     def hidden_columns(self) -> list[str]:
         """Layout columns that are not part of the rows."""
-        return [self.partition_col] + ([BATCH_COL] if self.by_batch else [])
+        return [self.partition_col] + ([QUERY_COL, BATCH_COL] if self.by_batch else [])
 
     # -- reading -------------------------------------------------------------
     def exists(self, spark: SparkSession) -> bool:
@@ -92,7 +94,7 @@ class KeyedTable:
         d0, d1 = _day(start), _day(end)
         n_days = (d1 - d0).days + 1
         df = None
-        if 0 < n_days <= MAX_GLOB_DAYS:
+        if n_days > 0:
             days = ",".join(str(d0 + dt.timedelta(days=i)) for i in range(n_days))
             try:
                 df = spark.read.option("basePath", self.path).parquet(
@@ -132,33 +134,46 @@ class KeyedTable:
             df = df.join(stored, self.key, "left_anti")
         return df
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch, idempotently by ``batch_id``.
+    def _days_of_others(self, batch: DataFrame, query_id: str) -> list[dt.date]:
+        """The dates of ``batch`` under which other queries (or a backfill) have stored rows."""
+        found = []
+        for (day,) in self._with_partition(batch).select(self.partition_col).distinct().collect():
+            folders = list_folders(batch.sparkSession, f"{self.path}/{self.partition_col}={day}")
+            if any(f != f"{QUERY_COL}={query_id}" for f in folders):
+                found.append(day)
+        return found
 
-        Dynamic partition overwrite of the ``(window_date, batch_id)``
+    def write_batch(self, batch: DataFrame, batch_id: int, query_id: str = DIRECT) -> None:
+        """Write one micro-batch, idempotently by ``query_id`` and ``batch_id``.
+
+        Dynamic partition overwrite of the ``(window_date, query_id, batch_id)``
         partitions the batch produces: a replay of the batch id (same input
-        offsets, same state version, same rows) replaces them; nothing else is
-        touched or read.
+        offsets, same state version, same rows) replaces them and nothing else.
+        Keys that another query or a backfill has stored under the batch's dates
+        stay as they are and are skipped; a key that the batch repeats is stored once.
         """
-        if not self.exists(batch.sparkSession) and batch.isEmpty():
+        spark = batch.sparkSession
+        stored = self.exists(spark)
+        if not stored and batch.isEmpty():
             return  # never create a table without data files (its schema could not be read)
-        out = self._with_partition(batch).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
+        out = self._with_partition(batch.dropDuplicates(self.key))
+        days = self._days_of_others(batch, query_id) if stored else []
+        if days:
+            others = self.read(spark, keep_partition_col=True).where(
+                F.col(self.partition_col).isin(days) & (F.col(QUERY_COL) != query_id))
+            out = out.join(others.select(*self.key), self.key, "left_anti")
+        out = out.withColumn(QUERY_COL, F.lit(query_id)).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
         (
             out.hint("rebalance", self.partition_col)
             .sortWithinPartitions(self.partition_col, *self.sort_cols)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition_col, BATCH_COL)
+            .partitionBy(self.partition_col, QUERY_COL, BATCH_COL)
             .parquet(self.path)
         )
         self._exists = True
 
-    def single_pass(self, spark: SparkSession) -> bool:
-        """True when writing a batch runs exactly one job on it (a streamed table
-        that exists): the caller need not cache the batch."""
-        return self.by_batch and self.exists(spark)
-
-    def append_new(self, batch: DataFrame, batch_id: int | None = None) -> None:
+    def append_new(self, batch: DataFrame, batch_id: int | None = None, query_id: str = DIRECT) -> None:
         """Idempotent append.
 
         Streamed tables write by batch id (:meth:`write_batch`).  Keyed tables
@@ -168,11 +183,13 @@ class KeyedTable:
         if self.by_batch:
             if batch_id is None:
                 raise ValueError("a streamed table needs the batch id")
-            self.write_batch(batch, batch_id)
+            if self.check_unique:
+                assert_unique(batch, self.key)
+            self.write_batch(batch, batch_id, query_id)
             return
         if self.check_unique:
             assert_unique(batch, self.key)
-        df = self.new_rows(batch)
+        df = self.new_rows(batch.dropDuplicates(self.key))
         if df is None:
             return
         (
@@ -187,8 +204,13 @@ class KeyedTable:
         )
         self._exists = True
 
-    def backfill(self, df: DataFrame, files_per_date: int | None = None) -> None:
-        """Replace the dates present in ``df`` (batch recompute; idempotent).
+    def backfill(self, df: DataFrame, files_per_date: int | None = None, first_day=None, last_day=None) -> None:
+        """Replace the dates present in ``df`` (batch recompute; idempotent), and
+        remove those from ``first_day`` to ``last_day`` that ``df`` has no rows for.
+
+        A streamed table gets the rows under the name of a query of their own; what
+        streams had stored under these dates is removed after the write, so a crash
+        in between leaves both and a second run repairs it.
 
         Range partitioning on (date, coin, start) samples the keys, so a date or
         coin holding a large share of rows is split over several tasks instead
@@ -196,15 +218,40 @@ class KeyedTable:
         """
         out = self._with_partition(df)
         cols = [self.partition_col, *self.sort_cols]
+        layout = [self.partition_col]
+        if self.by_batch:
+            out = out.withColumn(QUERY_COL, F.lit(BACKFILL)).withColumn(BATCH_COL, F.lit(0).cast("long"))
+            layout = self.hidden_columns
+        spark, days = df.sparkSession, None
+        if self.by_batch or first_day is not None or last_day is not None:
+            days = {r[0] for r in out.select(self.partition_col).distinct().collect()}
         out = out.repartitionByRange(files_per_date, *cols) if files_per_date else out.repartitionByRange(*cols)
         (
             out.sortWithinPartitions(*cols)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition_col)
+            .partitionBy(*layout)
             .parquet(self.path)
         )
         self._exists = True
+        if days is not None:
+            self._remove_replaced(spark, days, first_day, last_day)
+
+    def _remove_replaced(self, spark: SparkSession, days: set, first_day, last_day) -> None:
+        """Folders that a backfill of ``days`` has replaced, and those of dates in the range without rows."""
+        ranged = first_day is not None or last_day is not None
+        lo, hi = _day(first_day or dt.date.min), _day(last_day or dt.date.max)
+        for folder in list_folders(spark, self.path):
+            name, _, value = folder.partition("=")
+            if name != self.partition_col or value.startswith("__"):
+                continue
+            day = _day(value)
+            if day in days:
+                for inner in list_folders(spark, f"{self.path}/{folder}") if self.by_batch else []:
+                    if inner != f"{QUERY_COL}={BACKFILL}":
+                        delete_path(spark, f"{self.path}/{folder}/{inner}")
+            elif ranged and lo <= day <= hi:
+                delete_path(spark, f"{self.path}/{folder}")
 
 
 def publish_days(spark: SparkSession, streamed: KeyedTable, serving: KeyedTable, first_day, last_day) -> None:
@@ -231,7 +278,7 @@ def _day(value) -> dt.date:
 
 
 class QuarantineTable:
-    """Store of rejected rows with reason, partitioned by batch id.
+    """Store of rejected rows with reason, partitioned by query and batch id.
 
     A replayed batch id overwrites its own partition (dynamic partition
     overwrite), so a replay never duplicates quarantined rows.
@@ -240,21 +287,22 @@ class QuarantineTable:
     def __init__(self, path: str):
         self.path = path
 
-    def append(self, bad: DataFrame, batch_id: int | None = None) -> None:
-        out = bad.withColumn("batch_id", F.lit(-1 if batch_id is None else batch_id).cast("long"))
+    def append(self, bad: DataFrame, batch_id: int | None = None, query_id: str = DIRECT) -> None:
+        out = bad.withColumn(QUERY_COL, F.lit(query_id)).withColumn(
+            BATCH_COL, F.lit(-1 if batch_id is None else batch_id).cast("long"))
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy(QUERY_COL, BATCH_COL)
             .parquet(self.path)
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Stored rejects; empty (``reason, raw, batch_id``) if none was ever stored."""
+        """Stored rejects; empty (``reason, raw, query_id, batch_id``) if none was ever stored."""
         try:
             return spark.read.parquet(self.path)
         except AnalysisException:
-            return spark.createDataFrame([], "reason string, raw string, batch_id bigint")
+            return spark.createDataFrame([], "reason string, raw string, query_id string, batch_id bigint")
 
 
 class JdbcKeyedTable(KeyedTable):
@@ -288,8 +336,8 @@ class JdbcKeyedTable(KeyedTable):
         )
         return batch.join(stored, self.key, "left_anti")
 
-    def append_new(self, batch: DataFrame, batch_id: int | None = None) -> None:
-        df = self.new_rows(batch)
+    def append_new(self, batch: DataFrame, batch_id: int | None = None, query_id: str = DIRECT) -> None:
+        df = self.new_rows(batch.dropDuplicates(self.key))
         if df is None:
             return
         (

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticksmith.config import TARGET_CURRENCY
-from ticksmith.session import pin_utc
+from ticksmith.session import is_folder, pin_utc
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
@@ -82,15 +82,18 @@ def stream_table(
 ) -> DataFrame:
     """A streaming scan over the Parquet files of one table in ``directory``.
 
-    New files landing in the folder become new micro-batches.  The file source
-    needs a directory, so the table is selected with ``pathGlobFilter``.
+    A table that is a folder of part files is read as it is, and files that land in it
+    become new micro-batches.  The file source needs a directory, so a table in one file is
+    selected in its folder with ``pathGlobFilter``.
     """
+    path = table_path(directory, name)
     if schema is None:
-        schema = spark.read.parquet(table_path(directory, name)).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        schema = spark.read.parquet(path).schema
+    folder = is_folder(spark, path)  # raises if there is no such table
+    r = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet" if folder else f"{name}.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(directory.rstrip("/"))
+    return r.parquet(path if folder else directory.rstrip("/"))
 
 
 def stream_ticks(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

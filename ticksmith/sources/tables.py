@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-LAYOUT_COLS = ("window_date", "batch_id")
+LAYOUT_COLS = ("window_date", "query_id", "batch_id")
 
 
 def read_windowed(spark: SparkSession, path: str, keep_partition_col: bool = False) -> DataFrame:

@@ -26,16 +26,17 @@ heap.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ticksmith.config import WindowSpec
 from ticksmith.operators.tumbling import tumbling
-from ticksmith.sinks.keyed import KeyedTable
+from ticksmith.sinks.keyed import DIRECT, KeyedTable
 
 
 def windowed_stream(ticks: DataFrame, spec: WindowSpec, dedup: bool = False) -> DataFrame:
@@ -43,7 +44,12 @@ def windowed_stream(ticks: DataFrame, spec: WindowSpec, dedup: bool = False) ->
     return tumbling(ticks, spec.width, spec.aggs, watermark=spec.delay, dedup=dedup)
 
 
-def batch_writer(sink: KeyedTable, schema=None, rejects=None):
+def stored_query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint: the same after every restart from it."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+
+
+def batch_writer(sink: KeyedTable, schema=None, rejects=None, checkpoint: str | None = None):
     """``foreachBatch`` function: idempotent write of one micro-batch.
 
     With a sink ``schema`` the batch is first cast to it and rows that would
@@ -51,12 +57,13 @@ def batch_writer(sink: KeyedTable, schema=None, rejects=None):
     failing the write.
     """
 
+    owner: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Every action on the batch re-runs the stateful plan, so cache it when
-        # more than one job will read it; a single write needs no cache.
-        cache = schema is not None or not sink.single_pass(batch.sparkSession)
-        if cache:
-            batch.persist()
+        if not owner:
+            owner.append(stored_query_id(batch.sparkSession, checkpoint) if checkpoint else DIRECT)
+        # every action on the batch re-runs the stateful plan, and more than one job reads it
+        batch.persist()
         try:
             out = batch
             if schema is not None:
@@ -69,12 +76,11 @@ def batch_writer(sink: KeyedTable, schema=None, rejects=None):
                 # batches have none and skip a write job
                 if rejects is not None and not bad.isEmpty():
                     rejects.append(
-                        bad.select("reason", F.to_json(F.struct(*schema.fieldNames())).alias("raw")), batch_id
+                        bad.select("reason", F.to_json(F.struct(*schema.fieldNames())).alias("raw")), batch_id, owner[0]
                     )
-            sink.append_new(out, batch_id)
+            sink.append_new(out, batch_id, owner[0])
         finally:
-            if cache:
-                batch.unpersist()
+            batch.unpersist()
 
     return write
 
@@ -100,7 +106,7 @@ def start_window_query(
     w = (
         windowed_stream(ticks, spec, dedup=dedup)
         .writeStream.outputMode("append")
-        .foreachBatch(batch_writer(sink, schema, rejects))
+        .foreachBatch(batch_writer(sink, schema, rejects, checkpoint))
         .option("checkpointLocation", checkpoint)
     )
     if query_name:
@@ -221,8 +227,12 @@ def start_quarantine_query(
         F.col("_reason").alias("reason"), F.col(raw_col).cast("string").alias("raw")
     )
 
+    owner: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink.append(batch, batch_id)
+        if not owner:
+            owner.append(stored_query_id(batch.sparkSession, checkpoint))
+        sink.append(batch, batch_id, owner[0])
 
     w = bad.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     if trigger:
