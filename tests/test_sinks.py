@@ -24,10 +24,10 @@ def test_conform_splits_violations(spark):
     df = hla_rows(
         spark,
         [
-            ("2025-06-19 17:50:00", "2025-06-19 17:55:00", "BTC", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-19 17:50:00", "2025-06-19 17:55:00", "AVERYLONGSYMBOL", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-19 17:50:00", None, "ETH", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-19 17:50:00", "2025-06-19 17:55:00", "SOL", "EUR", 3.0, 1.0, None),
+            ("2024-11-19 08:20:00", "2024-11-19 08:25:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-19 08:20:00", "2024-11-19 08:25:00", "AVERYLONGSYMBOL", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-19 08:20:00", None, "ETH", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-19 08:20:00", "2024-11-19 08:25:00", "SOL", "EUR", 3.0, 1.0, None),
         ],
     )
     ok, bad = conform(df, SINK_HLA)
@@ -39,7 +39,7 @@ def test_conform_splits_violations(spark):
 
 def test_conform_price_table_allows_null_end(spark):
     df = spark.createDataFrame(
-        [(ts("2025-06-19 18:41:00"), None, "BNB", "EUR", 559.1)],
+        [(ts("2024-11-19 09:07:00"), None, "CCC", "EUR", 12.5)],
         "window_start timestamp_ntz, window_end timestamp_ntz, from_currency string, to_currency string, rate double",
     )
     ok, bad = conform(df, SINK_PRICE)
@@ -53,7 +53,7 @@ def test_conform_missing_column_is_plan_error(spark):
 
 
 def test_duplicate_keys(spark):
-    row = ("2025-06-19 17:50:00", "2025-06-19 17:55:00", "BTC", "EUR", 3.0, 1.0, 2.0)
+    row = ("2024-11-19 08:20:00", "2024-11-19 08:25:00", "BTC", "EUR", 3.0, 1.0, 2.0)
     df = hla_rows(spark, [row, row])
     assert duplicate_keys(df).count() == 1
     with pytest.raises(ValueError):
@@ -65,17 +65,17 @@ def test_keyed_table_read_range_prunes_dates(spark):
     df = hla_rows(
         spark,
         [
-            ("2025-06-18 23:50:00", "2025-06-19 00:00:00", "BTC", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-19 00:00:00", "2025-06-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-20 10:00:00", "2025-06-20 10:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-18 23:50:00", "2024-11-19 00:00:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-19 00:00:00", "2024-11-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-20 10:00:00", "2024-11-20 10:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
         ],
     )
     sink = KeyedTable(shared_path(spark, "test-range"))
     sink.backfill(df)
     sink.backfill(df)  # dynamic overwrite: same dates replaced, not duplicated
     assert sink.read(spark).count() == 3
-    sel = sink.read_range(spark, "2025-06-19 00:00:00", "2025-06-19 23:59:59")
-    assert [r.window_start for r in sel.collect()] == [ts("2025-06-19 00:00:00")]
+    sel = sink.read_range(spark, "2024-11-19 00:00:00", "2024-11-19 23:59:59")
+    assert [r.window_start for r in sel.collect()] == [ts("2024-11-19 00:00:00")]
     plan = sel._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(window_date" in plan
 
@@ -91,21 +91,21 @@ def test_quarantine_replay_overwrites_its_batch(spark):
 
 def test_copy_text_roundtrip_with_nulls_and_terminator(spark, tmp_dir):
     text = (
-        "2025-06-19 17:50:00\t2025-06-19 18:00:00\tTRX\tEUR\t0.23843201654996707\t0.23832675556315944\t0.2383839795505318\n"
-        "2025-06-19 17:50:00\t\\N\tETH\tEUR\t2192.9588877698493\t2184.8699729190475\t2189.2747855103444\n"
+        "2024-11-19 08:20:00\t2024-11-19 08:30:00\tAAA\tEUR\t4.5\t4.25\t4.375\n"
+        "2024-11-19 08:20:00\t\\N\tETH\tEUR\t80.0\t70.0\t75.0\n"
         "\\.\n"
     )
     with open(os.path.join(tmp_dir, "rate_10min.tsv"), "w") as fh:
         fh.write(text)
     good, bad = load_copy_text(spark, tmp_dir, SINK_HLA)
     rows = good.collect()
-    assert len(rows) == 1 and rows[0].high_rate == 0.23843201654996707
-    assert rows[0].window_start == ts("2025-06-19 17:50:00")
+    assert len(rows) == 1 and rows[0].high_rate == 4.5
+    assert rows[0].window_start == ts("2024-11-19 08:20:00")
     assert sorted(r.reason for r in bad.collect()) == ["window_end is null or malformed", "window_start is null or malformed"]
 
 
 def test_copy_text_write_then_load(spark, tmp_dir):
-    df = hla_rows(spark, [("2025-06-19 17:50:00", "2025-06-19 17:55:00", "BTC", "EUR", 91227.78922582921, 91210.82237174187, 91222.6207022827)])
+    df = hla_rows(spark, [("2024-11-19 08:20:00", "2024-11-19 08:25:00", "BTC", "EUR", 120.25, 118.125, 119.0625)])
     path = os.path.join(tmp_dir, "out")
     write_copy_text(df, path)
     good, bad = load_copy_text(spark, path, SINK_HLA)
@@ -116,16 +116,16 @@ def test_streamed_table_is_idempotent_by_batch_id(spark):
     df = hla_rows(
         spark,
         [
-            ("2025-06-18 23:50:00", "2025-06-18 23:55:00", "BTC", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-19 00:00:00", "2025-06-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-19 00:05:00", "2025-06-19 00:10:00", "ETH", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-18 23:50:00", "2024-11-18 23:55:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-19 00:00:00", "2024-11-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-19 00:05:00", "2024-11-19 00:10:00", "ETH", "EUR", 3.0, 1.0, 2.0),
         ],
     )
     sink = KeyedTable(shared_path(spark, "test-by-batch"), by_batch=True)
     sink.append_new(df.limit(1), 7)  # a half-finished first attempt of batch 7
     sink.append_new(df, 7)  # the replay replaces batch 7's partitions
     sink.append_new(df, 7)
-    sink.append_new(df.where("from_currency = 'ETH'").withColumn("window_start", F.lit("2025-06-20 00:00:00").cast("timestamp_ntz")), 8)
+    sink.append_new(df.where("from_currency = 'ETH'").withColumn("window_start", F.lit("2024-11-20 00:00:00").cast("timestamp_ntz")), 8)
     out = sink.read(spark)
     assert out.columns == df.columns
     assert out.count() == 4
@@ -139,15 +139,15 @@ def test_read_range_lists_only_requested_dates(spark):
     df = hla_rows(
         spark,
         [
-            ("2025-06-18 23:50:00", "2025-06-18 23:55:00", "BTC", "EUR", 3.0, 1.0, 2.0),
-            ("2025-06-19 00:00:00", "2025-06-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-18 23:50:00", "2024-11-18 23:55:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+            ("2024-11-19 00:00:00", "2024-11-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
         ],
     )
     sink.write_batch(df, 0)
-    got = sink.read_range(spark, "2025-06-19 00:00:00", "2025-06-21 00:00:00")
-    assert [r.window_start for r in got.collect()] == [ts("2025-06-19 00:00:00")]
+    got = sink.read_range(spark, "2024-11-19 00:00:00", "2024-11-21 00:00:00")
+    assert [r.window_start for r in got.collect()] == [ts("2024-11-19 00:00:00")]
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "window_date=2025-06-18" not in plan
+    assert "window_date=2024-11-18" not in plan
     # no stored date in range: an empty result, not an error
     assert sink.read_range(spark, "2025-07-01 00:00:00", "2025-07-02 00:00:00").count() == 0
 
@@ -164,19 +164,19 @@ def test_publish_days_into_serving_table(spark):
 
     streamed = KeyedTable(shared_path(spark, "test-pub-src"), by_batch=True)
     rows = [
-        ("2025-06-19 00:00:00", "2025-06-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
-        ("2025-06-19 00:05:00", "2025-06-19 00:10:00", "BTC", "EUR", 4.0, 1.0, 2.5),
-        ("2025-06-20 00:00:00", "2025-06-20 00:05:00", "BTC", "EUR", 5.0, 1.0, 3.0),
+        ("2024-11-19 00:00:00", "2024-11-19 00:05:00", "BTC", "EUR", 3.0, 1.0, 2.0),
+        ("2024-11-19 00:05:00", "2024-11-19 00:10:00", "BTC", "EUR", 4.0, 1.0, 2.5),
+        ("2024-11-20 00:00:00", "2024-11-20 00:05:00", "BTC", "EUR", 5.0, 1.0, 3.0),
     ]
     for i, r in enumerate(rows):  # one micro-batch per row
         streamed.write_batch(hla_rows(spark, [r]), i)
     serving = KeyedTable(shared_path(spark, "test-pub-dst"))
-    publish_days(spark, streamed, serving, "2025-06-19", "2025-06-19")
-    publish_days(spark, streamed, serving, "2025-06-19", "2025-06-19")  # re-run: same result
+    publish_days(spark, streamed, serving, "2024-11-19", "2024-11-19")
+    publish_days(spark, streamed, serving, "2024-11-19", "2024-11-19")  # re-run: same result
     out = serving.read(spark)
     assert out.count() == 2 and out.columns == hla_rows(spark, rows[:1]).columns
     with pytest.raises(ValueError):
-        publish_days(spark, streamed, streamed, "2025-06-19", "2025-06-19")
+        publish_days(spark, streamed, streamed, "2024-11-19", "2024-11-19")
 
 
 DUMP = """--
@@ -186,14 +186,14 @@ DUMP = """--
 CREATE TABLE public.rate_10min (window_start timestamp without time zone NOT NULL);
 
 COPY public.rate_10min (window_start, window_end, from_currency, to_currency, high_rate, low_rate, avg_rate) FROM stdin;
-2025-06-19 17:50:00\t2025-06-19 18:00:00\tTRX\tEUR\t0.2384\t0.2383\t0.23835
-2025-06-19 17:50:00\t2025-06-19 18:00:00\tETH\tEUR\t2192.9\t2184.8\t2189.2
+2024-11-19 08:20:00\t2024-11-19 08:30:00\tAAA\tEUR\t4.5\t4.25\t4.375
+2024-11-19 08:20:00\t2024-11-19 08:30:00\tETH\tEUR\t80.0\t70.0\t75.0
 \\.
 
 COPY public.rate_1min (window_start, window_end, from_currency, to_currency, rate) FROM stdin;
-2025-06-19 18:41:00\t2025-06-19 18:42:00\tBNB\tEUR\t559.13
-2025-06-19 18:42:00\t\\N\tBNB\tEUR\t559.2
-2025-06-19 18:43:00\tbad-time\tBNB\tEUR\t559.3
+2024-11-19 09:07:00\t2024-11-19 09:08:00\tCCC\tEUR\t12.5
+2024-11-19 09:08:00\t\\N\tCCC\tEUR\t12.75
+2024-11-19 09:09:00\tbad-time\tCCC\tEUR\t13.0
 \\.
 """
 
@@ -205,12 +205,12 @@ def test_copy_blocks_from_a_dump(spark, tmp_dir):
     with open(path, "w") as fh:
         fh.write(DUMP)
     t10 = read_copy_block(spark, path, "rate_10min", SINK_HLA)
-    assert sorted(r.from_currency for r in t10.where("_reason IS NULL").collect()) == ["ETH", "TRX"]
+    assert sorted(r.from_currency for r in t10.where("_reason IS NULL").collect()) == ["AAA", "ETH"]
     t1 = read_copy_block(spark, path, "rate_1min", SINK_PRICE).collect()
     assert len(t1) == 3
     ok = [r for r in t1 if r._reason is None]
     # window_end is nullable in the 1-minute table (\N), but text that is no timestamp is rejected
-    assert [(r.rate, r.window_end) for r in ok] == [(559.13, ts("2025-06-19 18:42:00")), (559.2, None)]
+    assert [(r.rate, r.window_end) for r in ok] == [(12.5, ts("2024-11-19 09:08:00")), (12.75, None)]
     assert [r._reason for r in t1 if r._reason] == ["window_end malformed"]
     with pytest.raises(ValueError):
         read_copy_block(spark, path, "rate_5min", SINK_HLA)
@@ -218,14 +218,14 @@ def test_copy_blocks_from_a_dump(spark, tmp_dir):
 
 def test_copy_text_rejects_malformed_nullable_value(spark, tmp_dir):
     text = (
-        "2025-06-19 18:41:00\t2025-06-19 18:42:00\tBNB\tEUR\t559.13\n"
-        "2025-06-19 18:42:00\t\\N\tBNB\tEUR\t559.2\n"
-        "2025-06-19 18:43:00\tbad-time\tBNB\tEUR\t559.3\n"
+        "2024-11-19 09:07:00\t2024-11-19 09:08:00\tCCC\tEUR\t12.5\n"
+        "2024-11-19 09:08:00\t\\N\tCCC\tEUR\t12.75\n"
+        "2024-11-19 09:09:00\tbad-time\tCCC\tEUR\t13.0\n"
     )
     with open(os.path.join(tmp_dir, "rate_1min.tsv"), "w") as fh:
         fh.write(text)
     good, bad = load_copy_text(spark, tmp_dir, SINK_PRICE)
-    assert sorted(r.rate for r in good.collect()) == [559.13, 559.2]
+    assert sorted(r.rate for r in good.collect()) == [12.5, 12.75]
     assert [r.reason for r in bad.collect()] == ["malformed row"]
 
 
