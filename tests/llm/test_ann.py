@@ -52,3 +52,25 @@ def test_recall_of_the_query(spark):
             assert found == sorted(found)
             for s, i in found:
                 assert abs(s - np.linalg.norm(vectors[q] - vectors[i])) < 1e-12
+
+
+def test_recall_of_every_kind_of_query(spark):
+    """Rows in dense groups beside evenly spread ones, and norms that vary: no kind of query loses its neighbours."""
+    rng = np.random.default_rng(3)
+    n = 20000
+    even = rng.normal(size=(n, 64))
+    even /= np.linalg.norm(even, axis=1, keepdims=True)
+    grouped = rng.random(n) < 0.6
+    near = even[rng.integers(0, 300, n)] + 0.03 * rng.normal(size=(n, 64))
+    for vectors in (np.where(grouped[:, None], near, even), even * rng.lognormal(0, 0.5, (n, 1))):
+        rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+        got = _by_query(ann.search(spark.createDataFrame([(*r, 0.5) for r in rows], "vec_id long, embedding array<double>, score double"),
+                                   F.col("vec_id") % 100 == 0))
+        asked = np.arange(0, n, 100)
+        for kind in (asked[grouped[asked]], asked[~grouped[asked]]):
+            hits = 0
+            for q in kind:
+                away = np.linalg.norm(vectors - vectors[q], axis=1)
+                away[q] = np.inf
+                hits += len(set(np.argsort(away)[:10]) & {i for _, i in got[q]})
+            assert hits / (10 * len(kind)) >= 0.9
