@@ -99,3 +99,29 @@ def test_held_out_accuracy(spark):
     rows = got.filter("held_out").join(truth, "doc_id").collect()
     assert len(rows) > 200
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+
+
+def test_texts_that_fit_no_language(spark):
+    """Garble and scripts without labels fit no language; the labelled texts, short ones and those with a key do."""
+    import random
+
+    rnd = random.Random(4)
+    words = {"en": "the quick brown fox is not in house and dog of to a".split(), "de": "der hund ist nicht im haus und die katze auch".split()}
+    rows = [(i, " ".join(rnd.choices(words[lang], k=60)), lang) for i in range(200) for lang in words]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = langid.fit_halves(docs)
+    assert [sorted(m.limits) for m in models] == [["de", "en"]] * 2
+    good = [t for _, t, _ in rows] + ["the", "x", "haus", "the dog is 0123456789 in the house", "the%%% dog$$$ is!!! in### the&&& house " * 30]
+    key = "".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=400))
+    bad = [None, "", "12 --", key, "今天天气很好我们一起去公园散步吧" * 5, "Сегодня хорошая погода, мы идём гулять в парк " * 3]
+    odd = spark.createDataFrame([(i, t, None) for i, t in enumerate([*good, *bad])], docs.schema)
+    fits = {r.doc_id: r.language.fits for r in langid.judge(odd, models).collect()}
+    assert [fits[i] for i in range(len(good) + len(bad))] == [True] * len(good) + [False] * len(bad)
+    # garble with a label teaches only the model of the other half
+    taught = docs.unionByName(spark.createDataFrame([(-1, key, "en")], docs.schema))
+    fits = {r.doc_id: r.language.fits for r in langid.judge(taught, langid.fit_halves(taught)).collect()}
+    assert not fits.pop(-1) and all(fits.values())
+    few = langid.fit_halves(docs.limit(4))
+    assert few[0].limits == few[1].limits == {} and few[0].judge([key])[0][3]
+    for m in langid.fit_halves(docs.limit(0)):
+        assert m.judge(bad) == [("und", 0.0, None, True)] * len(bad)

@@ -42,3 +42,13 @@ def test_empty(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_language_stage_drops_garble_and_keeps_all_without_labels(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    odd = spark.createDataFrame([(-1, "今天天气很好我们一起去公园散步吧" * 9, "en", "s", 144), (-2, "Qx7/zK+9vB" * 20 + "w8Jq" * 50, "en", "s", 400)], docs.schema)
+    both = docs.unionByName(odd)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, both, SF).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+    bare = both.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, bare, SF).count() == both.count()

@@ -15,20 +15,30 @@ the most frequent, are kept; the others fall back to the next shorter order, as
 (that bounds the table at max_contexts x byte classes x languages x 4 bytes).
 Bytes not in the sample share one class.
 
+Whether a text fits a language (``judge``): rows are parted in halves by a hash of the id, and the
+sample of each half teaches a model for the other one, so no text, garble neither, is judged by
+what it taught.  Runs of anything but letters count as one space there: marks, digits and numbers
+tell nothing of a language.  From the bits per byte of the other half's sample under the best language comes
+a limit for each language, the greater of 2.5 medians and the upper quartile plus
+8 times its distance from the median.  A text fits if its code is not more than 512 bits longer
+than that limit allows (some 25 to 60 unknown bytes), so a key, a number or a name in a short text is no
+garble.  A language with fewer than 20 such rows has the limit of all rows together; with fewer than 20 in all, nothing is over a limit.
+
 Texts are folded with ``str.lower`` before they are coded, and coding starts after a run of
 line ends.  Long texts are coded in slices that overlap by one context, never cut short.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 (also if no
 language could be learned); ties go to the language that sorts first; the score is the
 posterior of the chosen language under equal priors; rows with a null label teach nothing;
-repeated rows are coded alike; columns other than the named ones are ignored.
+repeated rows are coded alike; ``bits`` is null where nothing is coded; a null text, or one
+without a letter, fits no language; if no language could be learned every text fits; columns other than the named ones are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -42,6 +52,8 @@ ORDER = 3
 _LETTER = re.compile(r"[^\W\d_]")
 _START = b"\n" * ORDER
 UNKNOWN = "und"
+_LEAST_ROWS = 20  # that a limit is fitted on
+_SPARE_BITS = 512.0  # over the limit that any text may cost
 
 
 def folded(text: str) -> bytes:
@@ -97,6 +109,7 @@ class Model:
     classes: np.ndarray  # byte -> class; class 0 for bytes not in the sample
     contexts: np.ndarray  # code of ORDER classes -> the longest kept context that serves it
     bits: np.ndarray  # (langs, contexts x classes)
+    limits: dict[str, float] = field(default_factory=dict)  # language -> bits per byte that a text may cost
 
     def _slots(self, data: bytes) -> np.ndarray:
         """For each byte from the ORDER-th on, its place in a row of ``bits``."""
@@ -125,14 +138,20 @@ class Model:
 
     def predict(self, texts: list[str | None], limit: int = 1 << 20) -> list[tuple[str, float]]:
         """(language, score) of each text; texts are coded together up to ``limit`` bytes."""
-        out = [(UNKNOWN, 0.0)] * len(texts)
+        return [found[:2] for found in self.judge(texts, limit)]
+
+    def judge(self, texts: list[str | None], limit: int = 1 << 20) -> list[tuple[str, float, float | None, bool]]:
+        """(language, score, bits per byte, whether it fits) of each text."""
+        out = [(UNKNOWN, 0.0, None, not self.langs)] * len(texts)
         if self.langs:
             some = ((i, _START + folded(t)) for i, t in enumerate(texts) if t is not None and _LETTER.search(t))
             for run in in_runs(some, lambda x: len(x[1]), limit):
-                for (i, _), lengths in zip(run, self._lengths_of_all([d for _, d in run])):
+                for (i, data), lengths in zip(run, self._lengths_of_all([d for _, d in run])):
                     best = int(np.argmin(lengths))
                     score = 1.0 / np.exp2(np.maximum(lengths[best] - lengths, -1000.0)).sum()
-                    out[i] = (self.langs[best], float(score))
+                    lang, n = self.langs[best], len(data) - ORDER
+                    bits = float(lengths[best] / n)
+                    out[i] = (lang, float(score), bits, bits <= self.limits.get(lang, np.inf) + _SPARE_BITS / n)
         return out
 
 
@@ -197,6 +216,24 @@ def build(counts: pd.DataFrame, max_contexts: int) -> Model:
     return Model(langs, classes, contexts, np.ascontiguousarray(bits))
 
 
+def _half(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("halves")), F.lit(2))
+
+
+def letters(text: Column) -> Column:
+    """The text with all that is no letter as single spaces."""
+    return F.regexp_replace(text, r"[^\p{L}\p{M}\p{Nl}\p{No}]+", " ")
+
+
+def _limits(model: Model, rows: DataFrame, text_col: str) -> dict[str, float]:
+    """The limit of each language from the bits per byte of rows that ``model`` has not seen."""
+    coded = predict(rows.select(text_col), model, text_col=text_col).select("language.lang", "language.bits").dropna()
+    marks = coded.rollup("lang").agg(F.percentile_approx("bits", [0.5, 0.75]).alias("q"), F.count(F.lit(1)).alias("n")).collect()
+    found = {r.lang: max(2.5 * r.q[0], r.q[1] + 8 * (r.q[1] - r.q[0])) for r in marks if r.n >= _LEAST_ROWS}
+    # the row without a language stands for all of them
+    return {lang: found.get(lang, found[None]) for lang in model.langs} if None in found else {}
+
+
 def fit(
     labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     docs_per_lang: int = 2000, max_contexts: int = 12000,
@@ -207,17 +244,52 @@ def fit(
     return build(gram_counts(chosen, text_col, lang_col).toPandas(), max_contexts)
 
 
-def predict(docs: DataFrame, model: Model, *, text_col: str = "text", result_col: str = "language") -> DataFrame:
-    """``docs`` with a struct column ``result_col`` of lang and score (0 to 1)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def fit_halves(
+    labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    docs_per_lang: int = 2000, max_contexts: int = 12000,
+) -> list[Model]:
+    """The models that judge the rows of each half, learned from the sample of the other one, with their limits."""
+    rows = labelled.select(F.col(id_col), F.col(text_col), F.col(lang_col))
+    chosen = sample(rows, id_col, lang_col, docs_per_lang).withColumn("__half", _half(id_col)).withColumn(
+        text_col, letters(F.col(text_col)))
+    counts = gram_counts(chosen.withColumn(lang_col, F.concat(F.col("__half").cast("string"), lang_col)), text_col, lang_col).toPandas()
+    half, counts["lang"] = counts["lang"].str[:1], counts["lang"].str[1:]
+    models = [build(counts[half == other], max_contexts) for other in "10"]
+    if not all(m.langs for m in models):  # one of them has learned nothing: no limits
+        return [build(counts, max_contexts)] * 2
+    for h, model in enumerate(models):
+        model.limits = _limits(model, chosen.filter(F.col("__half") == h), text_col)
+    return models
+
+
+def _judged(docs: DataFrame, models: list[Model], which: Column, text: Column, result_col: str) -> DataFrame:
+    held = docs.sparkSession.sparkContext.broadcast(models)
+
+    def run(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         own = held.value
-        for texts in parts:
-            langs, scores = zip(*own.predict(texts.to_pylist())) if len(texts) else ((), ())
+        for texts, chosen in parts:
+            found, texts, chosen = [None] * len(texts), texts.to_pylist(), chosen.to_pylist()
+            for w, model in enumerate(own):
+                at = [i for i, c in enumerate(chosen) if c == w]
+                for i, judged in zip(at, model.judge([texts[i] for i in at])):
+                    found[i] = judged
+            langs, scores, bits, fits = zip(*found) if found else ((), (), (), ())
             yield pa.StructArray.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
+                [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64()), pa.array(map(bool, fits), pa.bool_())],
+                names=["lang", "score", "bits", "fits"])
 
-    run.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    code: Column = F.arrow_udf(run, "lang string, score double").asNondeterministic()(F.col(text_col))
+    run.__annotations__ = {"parts": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    code: Column = F.arrow_udf(run, "lang string, score double, bits double, fits boolean").asNondeterministic()(text, which)
     return docs.withColumn(result_col, code)
+
+
+def predict(docs: DataFrame, model: Model, *, text_col: str = "text", result_col: str = "language") -> DataFrame:
+    """``docs`` with a struct column ``result_col`` of lang, score (0 to 1), bits (per byte) and fits."""
+    return _judged(docs, [model], F.lit(0).cast("bigint"), F.col(text_col), result_col)
+
+
+def judge(
+    docs: DataFrame, models: list[Model], *, id_col: str = "doc_id", text_col: str = "text", result_col: str = "language",
+) -> DataFrame:
+    """As ``predict``, by the models of ``fit_halves``, each row by that of its half."""
+    return _judged(docs, models, _half(id_col), letters(F.col(text_col)), result_col)
