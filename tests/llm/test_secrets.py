@@ -61,3 +61,19 @@ def test_query_equals_brute_force(spark):
     assert len(got) == len(texts)
     for r in got:
         assert r.base_sha256 == hashlib.sha256(brute(texts[r.doc_id]).encode()).hexdigest()
+
+
+def test_tokens_of_one_owner_in_many_documents_are_spans(spark):
+    own = "aB3" * 12
+    rows = [(i, f"{own} x", "me") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = secrets.scan(docs).select(secrets.span_list(F.col("secrets.spans")).alias("s")).collect()
+    assert [r.s for r in got] == ["token:0:36"] * 9
+
+
+def test_whole_keys_are_spans(spark):
+    keys = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLE/key", "aB3/" * 7 + "Z9==", "aB3xY" * 4 + "." + "cD4zW" * 4 + "." + "eF5_-" * 4,
+            "Ab+/12" * 4 + "QQ" + "==", "short/aB3=="]
+    docs = spark.createDataFrame([(i, f"id={k}. {k}, end ...", f"o{i}") for i, k in enumerate(keys)], "doc_id long, text string, source string")
+    found = secrets.scan(docs).select("doc_id", secrets.redact(F.col("text"), F.col("secrets.spans")).alias("t")).collect()
+    assert {r.doc_id: r.t for r in found} == {**{i: "id=[token]. [token], end ..." for i in range(4)}, 4: f"id={keys[4]}. {keys[4]}, end ..."}

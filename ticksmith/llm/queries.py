@@ -88,7 +88,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document; owners are the sources, and each document counts as one repository."""
+    """Secrets of every document; owners are the sources."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=["doc_id"])
     base = F.col("secrets.base")
     return found.select(

@@ -1,21 +1,19 @@
 """Secret scans by corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are the matches of the kinds below.  Every candidate's value is hashed, and over
-the whole corpus each hash is counted by distinct repositories and distinct owners.  A value
-of one owner (``max_owners``) in few repositories (``max_repos``) looks like a live
-credential; one that many hold is a copied example.  The exact kinds (``assign``, ``access``,
+the whole corpus each hash is counted by distinct owners.  A value of one owner
+(``max_owners``) looks like a live credential, in however many of its owner's rows it stands;
+one that more owners hold is a copied example.  The exact kinds (``assign``, ``access``,
 ``hex``) are always reported, with that class; the broad kind ``token`` (long runs of mixed
-characters, which prose identifiers and copied samples also give) is reported only where its
-value is owner-specific.
+characters, which prose identifiers, paths and copied samples also give) is reported only where
+its value is owner-specific.
 
-Counts are taken in two steps (distinct (hash, owner, repository), then per owner, then per
-hash), each combined before its shuffle, so a value held by a third of all rows is no hot
-group.  Live values are, by their definition, held by at most ``max_owners`` x ``max_repos``
-repositories; candidates are joined to them on (hash, salt).
+Counts are of distinct (hash, owner), combined before each shuffle, so a value held by a third
+of all rows is no hot group; candidates are joined to the live values on (hash, salt), as the
+rows of one owner may be many.
 
 Defined results: a null text is empty; a document without candidates has empty arrays; null
-owners and repositories count as one owner and one repository; repeated rows each keep their
-own result row (and count as one repository); columns of ``docs`` keep their names and the
+owners count as one owner; repeated rows each keep their own result row; columns of ``docs`` keep their names and the
 result is one struct column, so no name can clash but ``result_col`` itself.  Positions are
 code points, end exclusive, found as lengths of the text between matches.
 """
@@ -33,8 +31,9 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),  # a maximal run; shorter runs fail
 }
-#: The broad kind: a run of 28 or more of these, with a digit, a capital and a small letter.
-TOKEN = ("token", r"[A-Za-z0-9+_-]{28,}", 0, 28)
+#: The broad kind: a run of 28 or more of these, with a digit, a capital and a small letter.  Dots
+#: count between others (one at the end closes a sentence), up to two ``=`` at the end as padding.
+TOKEN = ("token", r"[A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{24,}[A-Za-z0-9+/_-]={0,2}", 0, 28)
 SALTS = 8
 
 _SPANS = "array<struct<start:bigint,end:bigint,kind:int,value:string>>"
@@ -76,15 +75,13 @@ def candidates(text: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, n_repos, n_owners) of a frame (hash, owner, repo): distinct holders over the whole corpus."""
-    held = found.select("hash", "owner", "repo").distinct()
-    per_owner = held.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return per_owner.groupBy("hash").agg(F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    """(hash, n_owners) of a frame (hash, owner): distinct holders over the whole corpus."""
+    return found.select("hash", "owner").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"))
 
 
 def scan(
-    docs: DataFrame, *, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id",
-    carry: list[str] | None = None, max_owners: int = 1, max_repos: int = 4, result_col: str = "secrets",
+    docs: DataFrame, *, text_col: str = "text", owner_col: str = "source", carry: list[str] | None = None,
+    max_owners: int = 1, result_col: str = "secrets",
 ) -> DataFrame:
     """The columns ``carry`` (default: all) with a struct column ``result_col`` of ``base`` and ``spans``.
 
@@ -95,12 +92,12 @@ def scan(
     carry = docs.columns if carry is None else carry
     kept = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(carry)]) if carry else F.lit(None)
     rows = staged(docs.select(
-        kept.alias("kept"), docs[owner_col].cast("string").alias("owner"), docs[repo_col].cast("string").alias("repo"),
+        kept.alias("kept"), docs[owner_col].cast("string").alias("owner"),
         candidates(docs[text_col]).alias("found"), F.monotonically_increasing_id().alias("row")), "secrets")
     names = F.array(*[F.lit(k) for k in [*BASE, TOKEN[0]]])
-    each = rows.select("row", "owner", "repo", F.explode("found").alias("s")).withColumn(
+    each = rows.select("row", "owner", F.explode("found").alias("s")).withColumn(
         "hash", F.sha2(F.col("s.value"), 256))
-    live = ownership(each).filter((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).select(
+    live = ownership(each).filter(F.col("n_owners") <= max_owners).select(
         F.col("hash").alias("live_hash"), F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("live_salt"))
     salted = each.withColumn("salt", (F.col("row") % SALTS).cast("int"))
     judged = salted.join(
