@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import ann, chat, decontam, htmltext, langid, packing, secrets, simhash, urlrules, warc
+from ticksmith.llm import ann, chat, decontam, htmltext, langid, packing, secrets, simhash, tokencount, urlrules, warc
 from ticksmith.llm.common import table
 
 
@@ -103,6 +103,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+#: The token budget of the counting query.
+TOKEN_LIMIT = 512
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every document, and how many of its first characters keep to the limit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tokencount.count_prefixes(docs, public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"], budgets=[TOKEN_LIMIT])
+    n_tokens = tokencount.tokens_of(F.col("tokens"))
+    return found.select(
+        "doc_id", "tokens.n_bytes", n_tokens.alias("n_tokens"), (n_tokens > TOKEN_LIMIT).alias("over_limit"),
+        F.col("tokens.longest")[0].alias("chars_in_limit"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash": op2_simhash,
@@ -114,6 +128,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE_SQL = {}
