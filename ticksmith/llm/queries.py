@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import ann, chat, decontam, htmltext, langid, packing, secrets, simhash, tokencount, urlrules, warc
+from ticksmith.llm import ann, chat, decontam, htmltext, langid, merkle, packing, secrets, simhash, tokencount, urlrules, warc
 from ticksmith.llm.common import table
 
 
@@ -103,6 +103,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and the root that its proof gives after some documents were tampered with."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    found = merkle.manifest(
+        docs, tampered={"n_chars": F.try_add(docs["n_chars"], F.lit(1))},
+        tamper_where=F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(merkle.siblings(F.col("proof")), ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 #: The token budget of the counting query.
 TOKEN_LIMIT = 512
 
@@ -128,6 +139,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_token_counts": op12_token_counts,
 }
 
@@ -164,3 +176,61 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hw.n_hit, 0) AS n
        coalesce(hw.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
 """
+
+# crc32 of a short decimal, bit by bit
+_CRC32 = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, CAST(3988292384 AS BIGINT) * (a & 1))))"""
+
+
+def _duck_crc32(text: str) -> str:
+    return f"xor({_CRC32.format(text)}, CAST(4294967295 AS BIGINT))"
+
+
+def _duck_field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _duck_leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_duck_field, ["doc_id", "source", "lang", n_chars, "text"])) + ")"
+
+
+ORACLE_SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {_duck_leaf("n_chars")} AS leaf,
+         CASE WHEN {_duck_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_duck_leaf("n_chars + 1")} ELSE {_duck_leaf("n_chars")} END AS start
+  FROM documents
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, row_number() OVER () AS rid FROM d
+), g AS (
+  SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) AS n FROM d GROUP BY lang
+), low(tree, lvl, p, n, h) AS (
+  SELECT tree, 0, pos, n, leaf FROM l JOIN g ON l.lang IS NOT DISTINCT FROM g.lang
+  UNION ALL
+  SELECT tree, lvl + 1, p // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY p))
+  FROM low WHERE n > 1 GROUP BY tree, lvl, p // 2
+), sub AS (SELECT tree, h, max(tree) OVER () + 1 AS n FROM low WHERE n = 1
+), high(tree, lvl, p, n, h) AS (
+  SELECT -1, 1000, tree, n, h FROM sub
+  UNION ALL
+  SELECT tree, lvl + 1, p // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY p))
+  FROM high WHERE n > 1 GROUP BY tree, lvl, p // 2
+), nodes AS (SELECT * FROM low UNION ALL SELECT * FROM high
+), walk(rid, tree, own, lvl, p, n, folded, proof) AS (
+  SELECT rid, tree, tree, 0, pos, n, start, '' FROM l JOIN g ON l.lang IS NOT DISTINCT FROM g.lang
+  UNION ALL
+  SELECT w.rid, CASE WHEN w.n > 1 THEN w.tree ELSE -1 END, w.own,
+         CASE WHEN w.n > 1 THEN w.lvl + 1 ELSE 1000 END,
+         CASE WHEN w.n > 1 THEN w.p // 2 ELSE w.own END,
+         CASE WHEN w.n > 1 THEN (w.n + 1) // 2 ELSE (SELECT any_value(n) FROM sub) END,
+         CASE WHEN w.n = 1 THEN w.folded WHEN s.h IS NULL THEN sha256(w.folded)
+              WHEN s.p < w.p THEN sha256(s.h || w.folded) ELSE sha256(w.folded || s.h) END,
+         w.proof || CASE WHEN w.n > 1 THEN coalesce(s.h, '') ELSE '' END
+  FROM walk w LEFT JOIN nodes s ON s.tree = w.tree AND s.lvl = w.lvl AND s.p = xor(w.p, 1) AND w.n > 1
+  WHERE w.n > 1 OR w.tree >= 0
+), ends AS (SELECT rid, folded, proof FROM walk WHERE tree = -1 AND n = 1
+), ids AS (
+  SELECT rid, doc_id, leaf, tree FROM l JOIN g ON l.lang IS NOT DISTINCT FROM g.lang
+), root AS (SELECT h FROM high WHERE n = 1)
+SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root.h AS verified
+FROM ids JOIN ends USING (rid) JOIN sub USING (tree), root
+"""
