@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.llm import ann, chat, decontam, htmltext, langid, merkle, packing, secrets, simhash, tokencount, urlrules, warc
+from ticksmith.llm import ann, chat, decontam, htmltext, langid, merkle, packing, prefixtrie, secrets, simhash, tokencount, urlrules, warc
 from ticksmith.llm.common import table
+from ticksmith.session import staged
 
 
 def _joined_sha256(items: Column) -> Column:
@@ -128,6 +129,18 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("tokens.longest")[0].alias("chars_in_limit"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt to begin as another one does."""
+    keys = staged(prefixtrie.keys_of(table(spark, sf_dir, "conversations")), "trie", "keys")
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    turns = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    begin = keys.filter("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.col("key").alias("begin"))
+    rebuilt = keys.withColumn("base", base).withColumn("turns", turns).join(begin, "base", "left").select(
+        "conv_id", F.concat(F.coalesce(prefixtrie.head(F.col("begin"), F.col("turns")), F.lit(b"")), prefixtrie.rest(F.col("key"), F.col("turns"))).alias("key"))
+    return prefixtrie.trie(rebuilt).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash": op2_simhash,
@@ -141,6 +154,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL = {}
@@ -234,3 +248,38 @@ WITH RECURSIVE d AS (
 SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root.h AS verified
 FROM ids JOIN ends USING (rid) JOIN sub USING (tree), root
 """
+
+ORACLE_SQL["op13_prefix_trie"] = f"""
+WITH o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS idx,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_duck_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)
+), r AS (
+  SELECT c.conv_id, 0 AS part, o.idx, o.role, o.text FROM c JOIN o ON o.conv_id = c.base AND o.idx <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.idx, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id AND o.idx > c.h
+), s AS (
+  SELECT c.conv_id, coalesce(list(sha256(strlen(role) || ':' || role || text) ORDER BY part, idx) FILTER (WHERE idx IS NOT NULL), []) AS turns,
+         coalesce(list(strlen(text) ORDER BY part, idx) FILTER (WHERE idx IS NOT NULL), []) AS lens
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id
+), m AS (
+  SELECT conv_id, d, len(turns) AS n_turns, sha256(array_to_string(turns[1:d], '')) AS sig,
+         CASE WHEN d > 0 THEN sha256(array_to_string(turns[1:d - 1], '')) END AS up, CASE WHEN d > 0 THEN lens[d] ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(generate_series(0, len(turns))) AS d FROM s)
+), n AS (
+  SELECT d, sig, any_value(up) AS up, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n_turns = d) AS ends
+  FROM m GROUP BY d, sig
+), k AS (SELECT d - 1 AS d, up AS sig, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+), f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (d, sig)
+), t AS (
+  SELECT m.d, m.sig, sum((f.n_convs - 1) * f.bytes) AS saved, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves
+  FROM f JOIN m ON m.conv_id = f.conv_id AND m.d <= f.d GROUP BY m.d, m.sig
+)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, t.n_leaves,
+       CAST(t.saved AS BIGINT) AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM f JOIN t USING (d, sig) LEFT JOIN n p ON p.d = f.d - 1 AND p.sig = f.up
+"""
