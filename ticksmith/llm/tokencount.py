@@ -27,6 +27,7 @@ pass through as they are, and one named like the result is an error.
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import json
 from collections.abc import Iterator, Sequence
@@ -100,11 +101,9 @@ class Counter:
 
     def _follows(self, a: int, b: int) -> bool:
         """Whether two tokens are the encoding of their joined text."""
-        found = self.pairs.get(a << 17 | b)
-        if found is None:
-            if len(self.pairs) >= self.memo:
-                self.pairs.clear()
-            found = self.pairs[a << 17 | b] = [m.id for m in self.merged(self.texts[a] + self.texts[b])] == [a, b]
+        if len(self.pairs) >= self.memo:
+            self.pairs.clear()
+        found = self.pairs[a << 17 | b] = [m.id for m in self.merged(self.texts[a] + self.texts[b])] == [a, b]
         return found
 
     def _rows(self, piece: str) -> list[tuple[int, int, int]]:
@@ -132,7 +131,12 @@ class Counter:
             width = end - at
             for length, token in enders:
                 count, last, _ = rows[end - length]
-                if not count or pairs.get(last << 17 | token) or self._follows(last, token):
+                if not count:
+                    break
+                follows = pairs.get(last << 17 | token)
+                if follows is None:
+                    follows = self._follows(last, token)
+                if follows:
                     break
             else:
                 raise AssertionError(f"no token ends {piece[:end]!r}")
@@ -201,6 +205,17 @@ class Counter:
         return np.concatenate([*out, self._ordinary(text[at:])[1:] + total]).astype(_INT)
 
 
+    def of_all(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        """:meth:`at_prefixes` of each text; no cycles are made, and the collector would walk through all that is remembered."""
+        running = gc.isenabled()
+        gc.disable()
+        try:
+            return [self.at_prefixes(t) for t in texts]
+        finally:
+            if running:
+                gc.enable()
+
+
 @functools.lru_cache(maxsize=2)
 def _counter(path: str, memo: int) -> Counter:
     return Counter(path, memo)
@@ -227,7 +242,7 @@ def count_prefixes(
         for batch in batches:
             texts, at = batch.column(batch.num_columns - 1), 0
             for some in in_runs((t.as_py() or "" for t in texts), len, 1 << 20):
-                counts = [counter.at_prefixes(t) for t in some]
+                counts = counter.of_all(some)
                 ends = np.concatenate([[0], np.cumsum([len(c) for c in counts])]).astype(np.int32)
                 longest = [int(np.flatnonzero(c <= b)[-1]) if b >= 0 else -1 for c in counts for b in limits]
                 each = np.arange(len(some) + 1, dtype=np.int32) * len(limits)
