@@ -125,3 +125,11 @@ def test_texts_that_fit_no_language(spark):
     assert few[0].limits == few[1].limits == {} and few[0].judge([key])[0][3]
     for m in langid.fit_halves(docs.limit(0)):
         assert m.judge(bad) == [("und", 0.0, None, True)] * len(bad)
+
+
+def test_number_signs_are_no_letters(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 30)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(0, "½"), (1, "² 12"), (2, "Ⅷ"), (3, "½ the")], "doc_id long, text string")
+    got = {r.doc_id: (r.language.lang, r.language.score) for r in langid.predict(asked, model).collect()}
+    assert [got[k] for k in range(3)] == [("und", 0.0)] * 3 and got[3][0] == "en"

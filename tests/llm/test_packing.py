@@ -61,7 +61,6 @@ def test_packer_keeps_every_id_once():
 
 def _ids(texts):
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
 
 
@@ -99,8 +98,13 @@ def test_remembered_words_give_the_ids_of_the_whole_text():
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         path = public_tokenizers.path(name)
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
         encode = packing._encoder(path, 2)
         for _ in range(400):
             text = "".join(rng.choice(pieces) + rng.choice([" ", "\n", "  ", ""]) for _ in range(rng.randint(0, 12)))
             assert encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids + [2], repr(text)
+
+
+def test_control_strings_in_texts_are_single_tokens():
+    encode = packing._encoder(public_tokenizers.path("word_bpe_49k.json"), 2)
+    assert encode("a <|endoftext|> b").tolist() == [320, 49407, 321, 2]
+    assert encode("x<|startoftext|>y").tolist() == _ids(["x<|startoftext|>y"])[0]

@@ -36,20 +36,20 @@ without a letter, fits no language; if no language could be learned every text f
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.llm.common import in_runs
 
 ORDER = 3
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _START = b"\n" * ORDER
 UNKNOWN = "und"
 _LEAST_ROWS = 20  # that a limit is fitted on
@@ -222,7 +222,7 @@ def _half(id_col: str) -> Column:
 
 def letters(text: Column) -> Column:
     """The text with all that is no letter as single spaces."""
-    return F.regexp_replace(text, r"[^\p{L}\p{M}\p{Nl}\p{No}]+", " ")
+    return F.regexp_replace(text, r"[^\p{L}\p{M}]+", " ")
 
 
 def _limits(model: Model, rows: DataFrame, text_col: str) -> dict[str, float]:

@@ -200,7 +200,6 @@ def _encoder(path: str, end: int, memo_words: int = 1 << 19):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     spec, last = json.loads(tokenizer.to_str()), np.array([end], "<i4").tobytes()
     if spec["normalizer"] != _WORD_NORMALIZER or spec["pre_tokenizer"] != _WORD_SPLIT or spec["post_processor"]:
         return lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [end], np.int32)
