@@ -1,14 +1,13 @@
 """Roll coarser tumbling windows up from stored partial aggregates.
 
 A coarse mean must never be a mean of finer means (SURVEY: ticks are not
-spread evenly over minutes).  It can be computed exactly from stored
-``(n, total)`` pairs: ``mean = sum(total) / sum(n)``; ``max``/``min`` roll up
-directly.  Partials at the finest width are one row per (window, key), far
+spread evenly over minutes).  It can be computed exactly from a stored count and
+the stored parts of an exact sum; ``max``/``min`` roll up directly.  Partials at the finest width are one row per (window, key), far
 fewer than ticks, so every coarser width costs a scan of the partials instead
 of a scan of the ticks.
 
-The roll-up merges partial sums in shuffle order, so a mean may differ from
-a direct tick-level mean in the last bits (floating-point summation order).
+A rolled-up mean equals the mean over the ticks bit for bit (see
+:mod:`ticksmith.operators.exactsum`).
 """
 
 from __future__ import annotations
@@ -21,15 +20,15 @@ from pyspark.sql import functions as F
 
 from ticksmith.config import TICK_KEYS
 from ticksmith.functions.timecols import interval_seconds
+from ticksmith.operators import exactsum
 from ticksmith.operators.tumbling import tumbling
 
-PARTIAL_AGGS = {"n": "count", "total": "sum", "high": "max", "low": "min"}
 OUT_KEYS = tuple(TICK_KEYS.values())
 
 
 def partials(ticks: DataFrame, width: str, **kw) -> DataFrame:
-    """``window_start, window_end, from_currency, to_currency, n, total, high, low``."""
-    return tumbling(ticks, width, PARTIAL_AGGS, **kw)
+    """``window_start, window_end, from_currency, to_currency, n``, the parts of the sum, ``high, low``."""
+    return tumbling(ticks, width, {"n": "count", "high": "max", "low": "min"}, more=exactsum.parts, **kw)
 
 
 def finest_width(widths) -> str:
@@ -48,20 +47,17 @@ def rollup(parts: DataFrame, width: str, aggs: Mapping[str, str], keys=OUT_KEYS)
     """
     merged = (
         parts.groupBy(F.window(F.col("window_start"), width).alias("w"), *keys)
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("total").alias("total"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-        )
+        .agg(F.sum("n").alias("n"), F.max("high").alias("high"), F.min("low").alias("low"),
+             *[c.alias(name) for name, c in exactsum.merged().items()])
         .where(F.col("n") > 0)
     )
+    total = exactsum.total({name: F.col(name) for name in exactsum.PARTS})
     exprs = {
-        "avg": F.col("total") / F.col("n"),
-        "mean": F.col("total") / F.col("n"),
+        "avg": total / F.col("n"),
+        "mean": total / F.col("n"),
         "max": F.col("high"),
         "min": F.col("low"),
-        "sum": F.col("total"),
+        "sum": total,
         "count": F.col("n"),
     }
     return merged.select(

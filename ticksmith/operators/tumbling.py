@@ -7,31 +7,33 @@ One function serves batch and Structured Streaming.  The plan Spark builds:
     Exchange hashpartitioning(window, keys)
     HashAggregate(final)
 
-All aggregates are algebraic (avg = sum/count), so a hot key costs at most one
+All aggregates are algebraic (mean = sum/count, the sum as five whole numbers), so a hot key costs at most one
 partial row per (window, key) per input partition before the shuffle: a key
 that holds a third of all rows does not make a third of the shuffle.  In a
 stream the partial states go to the state store instead
 (StateStoreRestore/Save), keyed by the same columns.
 
-The mean is tick-weighted.  Coarser windows must be computed from ticks (or
+The mean is tick-weighted, and the same bit for bit in whatever order, files
+and batches the ticks come (:mod:`ticksmith.operators.exactsum`).  Coarser windows must be computed from ticks (or
 from stored sum/count), never as a mean of finer means.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.config import HLA, TICK_KEYS
+from ticksmith.operators.exactsum import exact_mean, exact_sum
 
 _AGG_FUNCS = {
-    "avg": F.avg,
-    "mean": F.avg,
+    "avg": exact_mean,
+    "mean": exact_mean,
     "max": F.max,
     "min": F.min,
-    "sum": F.sum,
+    "sum": exact_sum,
     "count": F.count,
 }
 
@@ -59,6 +61,7 @@ def tumbling(
     dedup: bool = False,
     drop_null_values: bool = True,
     start_time: str | None = None,
+    more: Callable[[Column], Mapping[str, Column]] | None = None,
 ) -> DataFrame:
     """Aggregate ``value_col`` per tumbling window of ``width`` and key.
 
@@ -73,6 +76,7 @@ def tumbling(
     ``drop_null_values``: ticks without a value never reach the aggregate, so a
     window can never produce a NULL mean that a NOT NULL sink would refuse.
     ``start_time``: window alignment offset (windows align to the epoch).
+    ``more``: further aggregates of the value column, by name.
     """
     key_map = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     df = ticks
@@ -94,12 +98,13 @@ def tumbling(
         else F.window(time_col, width)
     )
     grouped = df.groupBy(win.alias("window"), *[F.col(k) for k in key_map])
-    out = grouped.agg(*agg_columns(aggs, value_col))
+    extra = more(F.col(value_col)) if more else {}
+    out = grouped.agg(*agg_columns(aggs, value_col), *[c.alias(name) for name, c in extra.items()])
     return out.select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
         *[F.col(k).alias(v) for k, v in key_map.items()],
-        *[F.col(name) for name in aggs],
+        *[F.col(name) for name in [*aggs, *extra]],
     )
 
 

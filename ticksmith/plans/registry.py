@@ -39,7 +39,9 @@ def register(name: str, sql: str | None = None):
 # Oracle SQL building blocks (DuckDB dialect)
 # --------------------------------------------------------------------------
 
-_DUCK_AGG = {"avg": "avg", "max": "max", "min": "min", "sum": "sum", "count": "count"}
+# The mean is the rounded exact sum by the count: values times 2**80 are whole numbers, and text to double rounds once.
+_DUCK_SUM = "CAST(CAST(sum(CAST(value * pow(2, 80) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, 80)"
+_DUCK_AGG = {"avg": f"{_DUCK_SUM} / count(value)", "max": "max(value)", "min": "min(value)", "sum": _DUCK_SUM, "count": "count(value)"}
 
 
 def duck_interval(width: str) -> str:
@@ -48,7 +50,7 @@ def duck_interval(width: str) -> str:
 
 def duck_tumbling_sql(width: str, aggs: dict, where: str = "TRUE", source: str = "events") -> str:
     iv = duck_interval(width)
-    agg_sql = ",\n       ".join(f"{_DUCK_AGG[fn]}(value) AS {name}" for name, fn in aggs.items())
+    agg_sql = ",\n       ".join(f"{_DUCK_AGG[fn]} AS {name}" for name, fn in aggs.items())
     return f"""
 SELECT time_bucket({iv}, ts) AS window_start,
        time_bucket({iv}, ts) + {iv} AS window_end,
@@ -111,13 +113,6 @@ def _ticks(spark, sf_dir, **kw):
     return read_ticks(spark, sf_dir, **kw)
 
 
-def _ticks_for_json(spark, sf_dir, **kw):
-    """Ticks feeding per-row JSON work, spread over the cores if the scan is narrow."""
-    from ticksmith.operators.partitioning import ensure_parallelism
-
-    return ensure_parallelism(_ticks(spark, sf_dir, **kw))
-
-
 def _ntz(col):
     return col.cast("timestamp_ntz")
 
@@ -171,8 +166,7 @@ for _suffix, (_width, _aggs) in STREAM_WIDTHS.items():
 
 
 _CLOSED_5M = (
-    "SELECT window_start, window_end, from_currency, to_currency, high_rate, low_rate, "
-    f"round(avg_rate, 9) AS avg_rate FROM ({duck_tumbling_sql('5 minutes', HLA)}) w "
+    f"SELECT * FROM ({duck_tumbling_sql('5 minutes', HLA)}) w "
     f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}"
 )
 
@@ -190,12 +184,6 @@ def _stream_5m(spark: SparkSession, ticks: DataFrame, run: str, checkpoint: str)
     return sink
 
 
-def _rounded_5m(sink, spark: SparkSession) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    return sink.read(spark).withColumn("avg_rate", F.round("avg_rate", 9))
-
-
 @register("restart_new_checkpoint_5m", _CLOSED_5M)
 def restart_new_checkpoint_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier half of the ticks, then all of them with a new checkpoint into the
@@ -210,7 +198,7 @@ def restart_new_checkpoint_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = stream_ticks(spark, sf_dir)
     if lo is not None:
         _stream_5m(spark, ticks.where(F.col("timestamp").cast("double") < (lo + hi) / 2), run, "first")
-    return _rounded_5m(_stream_5m(spark, ticks, run, "second"), spark)
+    return _stream_5m(spark, ticks, run, "second").read(spark)
 
 
 @register("stream_then_backfill_5m", _CLOSED_5M)
@@ -233,7 +221,7 @@ def stream_then_backfill_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
         closed = last - dt.timedelta(minutes=10)  # the day of the last closed window stays with the stream
         backfill_tables(read_ticks(spark, sf_dir, until=closed.replace(hour=0, minute=0, second=0, microsecond=0)),
                         [WindowSpec("5min", "5 minutes", "5 minutes", dict(HLA), "rate_5min")], run)
-    return _rounded_5m(sink, spark)
+    return sink.read(spark)
 
 
 def _land_text(df: DataFrame, path: str) -> str:
@@ -249,11 +237,7 @@ def _run_group(group) -> None:
             raise RuntimeError(f"stream job {name} failed: {q.exception()}")
 
 
-@register(
-    "message_stream_hla_5m",
-    f"SELECT * FROM ({duck_tumbling_sql('5 minutes', HLA)}) w "
-    f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}",
-)
+@register("message_stream_hla_5m", _CLOSED_5M)
 def message_stream_hla_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The streaming application end to end: events as flat JSON tick messages
     landed in files -> parse + quarantine -> 5-minute job -> keyed table."""
@@ -292,7 +276,7 @@ def response_stream_hla_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.streaming.jobs import start_response_jobs
 
     run = shared_path(spark, "app", "responses")
-    landing = _land_text(_landed(spark, sf_dir, spread=False).select("body"), f"{run}/landing")
+    landing = _land_text(_landed(spark, sf_dir).select("body"), f"{run}/landing")
     spec = WindowSpec("10min", "10 minutes", "10 minutes", dict(HLA), "rate_10min")
     group = start_response_jobs(
         read_landed(spark, landing, streaming=True, one_document_per_file=False),
@@ -302,24 +286,14 @@ def response_stream_hla_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group.tables["10min"].read(spark)
 
 
-@register(
-    "stream_dedup_hla_5m",
-    "SELECT window_start, window_end, from_currency, to_currency, high_rate, low_rate, "
-    f"round(avg_rate, 9) AS avg_rate FROM ({duck_tumbling_sql('5 minutes', HLA)}) w "
-    f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}",
-)
+@register("stream_dedup_hla_5m", _CLOSED_5M)
 def stream_dedup_hla_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5-minute job with repeated ticks dropped within the watermark
     (``dropDuplicatesWithinWatermark`` on symbol, target and event time);
-    ``events`` holds no repeats, so the result equals the plain job's.  The
-    dedup shuffle reorders each window's ticks before summation, so the mean
-    is rounded to 9 decimals on both sides."""
-    from pyspark.sql import functions as F
-
+    ``events`` holds no repeats, so the result equals the plain job's."""
     from ticksmith.sources.tables import read_windowed
 
-    out = read_windowed(spark, run_stream_job(spark, sf_dir, "5 minutes", HLA, "dedup_hla_5m", dedup=True))
-    return out.withColumn("avg_rate", F.round("avg_rate", 9))
+    return read_windowed(spark, run_stream_job(spark, sf_dir, "5 minutes", HLA, "dedup_hla_5m", dedup=True))
 
 
 # --------------------------------------------------------------------------
@@ -340,7 +314,7 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.functions.ticks_json import tag_ticks, tick_json
     from ticksmith.operators.quality import split
 
-    msgs = _ticks_for_json(spark, sf_dir).select(tick_json().cast("binary").alias("value"))
+    msgs = _ticks(spark, sf_dir).select(tick_json().cast("binary").alias("value"))
     good, _ = split(tag_ticks(msgs))
     return good.select("from", "to", _ntz(F.col("timestamp")).alias("timestamp"), "rate")
 
@@ -360,8 +334,6 @@ def null_time_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.functions.ticks_json import parse_ticks, tick_json
     from ticksmith.operators.tumbling import tumbling
 
-    # Not spread over the cores: the mean below must sum each window's ticks in
-    # scan order to match a single-threaded oracle bit for bit.
     ticks = _ticks(spark, sf_dir, keep=("props",))
     k = F.get_json_object("props", "$.k").try_cast("int")
     ts_text = F.when(k >= BAD_TIME_BELOW_K, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).otherwise(
@@ -387,7 +359,7 @@ def tick_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.functions.ticks_json import tag_ticks, tick_json
     from ticksmith.operators.quality import split
 
-    ticks = _ticks_for_json(spark, sf_dir, keep=("props",))
+    ticks = _ticks(spark, sf_dir, keep=("props",))
     k = F.get_json_object("props", "$.k").try_cast("int")
     ts_text = F.when(k >= BAD_TIME_BELOW_K, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")).otherwise(
         F.lit(BAD_TIME_TEXT)
@@ -402,13 +374,12 @@ def tick_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, sf_dir: str, spread: bool = True):
+def _landed(spark: SparkSession, sf_dir: str):
     from pyspark.sql import functions as F
 
     from ticksmith.sources.responses import land_responses
 
-    ticks = _ticks_for_json(spark, sf_dir) if spread else _ticks(spark, sf_dir)
-    return land_responses(ticks, failed=F.col("from") == F.lit(FAILED_SYMBOL))
+    return land_responses(_ticks(spark, sf_dir), failed=F.col("from") == F.lit(FAILED_SYMBOL))
 
 
 def _flattened(spark: SparkSession, sf_dir: str):
@@ -457,7 +428,7 @@ def quote_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.operators.quality import split
     from ticksmith.sources.responses import land_responses
 
-    ticks = _ticks_for_json(spark, sf_dir).withColumn("requested_at", _ntz(F.col("timestamp")))
+    ticks = _ticks(spark, sf_dir).withColumn("requested_at", _ntz(F.col("timestamp")))
     landed = land_responses(ticks, failed=F.col("from") == F.lit(FAILED_SYMBOL), keep=("requested_at",))
     _, bad = split(flatten_requested(landed, keep=("requested_at",)), good_columns=None)
     return bad.select("from", "to", "reason", "requested_at")
@@ -683,22 +654,14 @@ def stored_panel_price_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_series(sink.read_range(spark, start, end), PANEL_COIN, start, end)
 
 
-@register(
-    "backfill_rollup_10m",
-    "SELECT window_start, window_end, from_currency, to_currency, high_rate, low_rate, "
-    f"round(avg_rate, 9) AS avg_rate FROM ({duck_tumbling_sql('10 minutes', HLA)})",
-)
+@register("backfill_rollup_10m", duck_tumbling_sql("10 minutes", HLA))
 def backfill_rollup_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-minute table rebuilt from staged 1-minute partials (one tick scan for
-    every width).  The mean is sum/count of the partials; it is rounded to 9
-    decimals on both sides because partial sums merge in shuffle order."""
-    from pyspark.sql import functions as F
-
+    every width); the mean comes from the exact sums of the partials."""
     from ticksmith.config import DEFAULT_JOBS
     from ticksmith.plans.backfill import rolled_up
 
-    t10 = rolled_up(_ticks(spark, sf_dir), DEFAULT_JOBS)["10min"]
-    return t10.withColumn("avg_rate", F.round("avg_rate", 9))
+    return rolled_up(_ticks(spark, sf_dir), DEFAULT_JOBS)["10min"]
 
 
 @register("tsv_load", duck_tumbling_sql("10 minutes", HLA))
