@@ -13,6 +13,12 @@ def nearest(values):
     return exact.numerator / exact.denominator  # Python's division of whole numbers rounds correctly
 
 
+def summed(df):
+    """{g: (sum, count)} of a frame of g and v."""
+    cols = [c.alias(n) for n, c in exactsum.parts("v").items()]
+    return {r.g: (r.s, r.n) for r in exactsum.with_total(df.groupBy("g").agg(F.count("v").alias("n"), *cols), "s").collect()}
+
+
 def groups():
     rng = random.Random(4)
     kinds = [
@@ -30,24 +36,22 @@ def test_nearest_double_in_any_order_and_split(spark):
     for seed, n in ((1, 1), (2, 4), (3, 7)):
         random.Random(seed).shuffle(rows)
         df = spark.createDataFrame(rows, "g int, v double").repartition(n)
-        got = df.groupBy("g").agg(exactsum.exact_sum(F.col("v")).alias("s"), exactsum.exact_mean(F.col("v")).alias("m")).collect()
-        assert {r.g: r.s for r in got} == want
-        assert {r.g: r.m for r in got} == {g: s / len(data[g]) for g, s in want.items()}
+        assert summed(df) == {g: (t, len(data[g])) for g, t in want.items()}
 
 
 def test_stored_parts_merge_to_the_same_sum(spark):
     data = groups()
     df = spark.createDataFrame([(g, i % 3, v) for g, vs in enumerate(data) for i, v in enumerate(vs)], "g int, k int, v double")
-    parts = df.groupBy("g", "k").agg(*[c.alias(n) for n, c in exactsum.parts(F.col("v")).items()])
+    parts = df.groupBy("g", "k").agg(*[c.alias(n) for n, c in exactsum.parts("v").items()])
     merged = parts.groupBy("g").agg(*[c.alias(n) for n, c in exactsum.merged().items()])
-    got = merged.select("g", exactsum.total({n: F.col(n) for n in exactsum.PARTS}).alias("s")).collect()
+    got = exactsum.with_total(merged, "s").collect()
     assert {r.g: r.s for r in got} == {g: nearest(vs) for g, vs in enumerate(data)}
 
 
 def test_values_without_digits_and_nulls(spark):
     rows = [(1, float("nan")), (1, 1.0), (2, float("inf")), (2, 5.0), (3, float("inf")), (3, float("-inf")), (4, 2.0**62), (4, 1.5), (5, None),
             (6, None), (6, 2.5), (7, 1e300), (8, 5e-324), (8, 5e-324)]
-    got = {r.g: r.s for r in spark.createDataFrame(rows, "g int, v double").groupBy("g").agg(exactsum.exact_sum(F.col("v")).alias("s")).collect()}
+    got = {g: s if n else None for g, (s, n) in summed(spark.createDataFrame(rows, "g int, v double")).items()}
     assert math.isnan(got[1]) and got[2] == math.inf and math.isnan(got[3]) and got[4] == 2.0**62 + 1.5
     assert got[5] is None and got[6] == 2.5 and got[7] == 1e300 and 0 <= got[8] <= 1e-29
 

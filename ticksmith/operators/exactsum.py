@@ -9,85 +9,73 @@ once, at the end: the result is the double nearest to the true sum.
 A value at or beyond 2**62, infinite or not a number has no such digits: those are added as doubles beside
 the others.  What lies below 2**-96 (1e-29) of a value is added as a double too.  Nothing is left out.
 
-All is built-in expressions within code generation: five long sums in place of one double sum.
+All is built-in expressions within code generation: five long sums in place of one double sum.  They are
+written as SQL text, and finished in steps, as trees of hundreds of nodes cost more to plan than to run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BASE, DIGITS = 2.0**32, 5
-LIMIT = 2.0**62
+DIGITS = 5
 #: The columns of a stored sum.
 PARTS = (*(f"sum_{i}" for i in range(DIGITS)), "sum_rest", "sum_beyond")
+_BASE, _LIMIT = f"{2.0**32!r}D", f"{2.0**62!r}D"
 
 
-def _digits(value: Column) -> tuple[list[Column], Column]:
-    """The digits of a value below LIMIT as longs, the highest first, and what is left of it in units of the last."""
-    rest = value % BASE
-    out = [(value - rest) / BASE]
-    for i in range(1, DIGITS):
-        if i > 1:
-            rest = rest * BASE
-        below = rest % 1.0
-        out.append(rest - below)
-        rest = below
-    return [d.cast("long") for d in out], rest
+def _power(n: int) -> str:
+    return f"{2.0**n!r}D"
 
 
-def parts(value: Column) -> dict[str, Column]:
-    """The aggregates that hold the sum of ``value``, by the names in PARTS."""
-    inside = F.when(F.abs(value) < LIMIT, value)  # not a number is above all numbers
-    digits, rest = _digits(inside)
-    beyond = F.when(~(F.abs(value) < LIMIT), value)
-    return dict(zip(PARTS, [*map(F.sum, digits), F.sum(rest), F.sum(beyond)]))
+def parts(value: str) -> dict[str, Column]:
+    """The aggregates that hold the sum of a column, by the names in PARTS."""
+    value = f"`{value}`"
+    inside = f"CASE WHEN abs({value}) < {_LIMIT} THEN {value} END"  # not a number is above all numbers
+    rest = f"(({inside}) % {_BASE})"
+    digits = [f"(({inside}) - {rest}) / {_BASE}"]
+    for i in range(1, DIGITS):
+        if i > 1:
+            rest = f"({rest} * {_BASE})"
+        digits.append(f"{rest} - {rest} % 1D")
+        rest = f"({rest} % 1D)"
+    beyond = f"CASE WHEN NOT abs({value}) < {_LIMIT} THEN {value} END"
+    texts = [*(f"sum(CAST({d} AS BIGINT))" for d in digits), f"sum({rest})", f"sum({beyond})"]
+    return {name: F.expr(text) for name, text in zip(PARTS, texts)}
 
 
-def merged(column: Callable[[str], Column] = F.col) -> dict[str, Column]:
+def merged() -> dict[str, Column]:
     """The aggregates that add up stored sums."""
-    return {name: F.sum(column(name)) for name in PARTS}
-
-
-def total(sums: Mapping[str, Column]) -> Column:
-    """The sum as a double, rounded once."""
-    low, high = F.lit(2**32 - 1), 32
-    digits = [F.coalesce(sums[f"sum_{i}"], F.lit(0).cast("long")) for i in range(DIGITS)]
-    for i in range(DIGITS - 1, 0, -1):  # every digit but the first from 0 to 2**32 - 1
-        digits[i - 1] = digits[i - 1] + F.shiftright(digits[i], high)
-        digits[i] = digits[i].bitwiseAND(low)
-    base = F.lit(2**32).cast("decimal(10,0)")
-
-    def number(upto: int) -> Column:
-        found = digits[0].cast("decimal(20,0)")
-        for d in digits[1:upto]:
-            found = (found * base + d.cast("decimal(10,0)")).cast("decimal(38,0)")
-        return found
-
-    def sticky(upto: int) -> Column:
-        """Whole digits, and a half for all that is below them: it decides a tie and nothing else."""
-        any_below = digits[upto]
-        for d in digits[upto + 1:]:
-            any_below = any_below.bitwiseOR(d)
-        return number(upto).cast("decimal(38,1)") + F.when(any_below != 0, F.lit(0.5)).otherwise(F.lit(0.0)).cast("decimal(2,1)")
-
-    size = F.abs(digits[0])
-    small = (size < 2) & (F.abs(digits[0] * 2**32 + digits[1]) < 2**21)
-    exact = (
-        F.when(small, number(5).cast("double") * F.lit(2.0**-96))
-        .when(size < 2**24, sticky(4).cast("double") * F.lit(2.0**-64))
-        .otherwise(sticky(2).cast("double")))
-    rest = F.coalesce(sums["sum_rest"], F.lit(0.0)) * F.lit(2.0**-96)
-    return F.when(sums["sum_beyond"].isNull(), exact + rest).otherwise(sums["sum_beyond"] + exact)
-
-
-def exact_sum(value: Column) -> Column:
-    """The sum of ``value`` over a group; null if it has no value."""
-    return F.when(F.count(value) > 0, total(parts(value)))
-
-
-def exact_mean(value: Column) -> Column:
-    """The mean of ``value`` over a group: the rounded sum by the count."""
-    return F.when(F.count(value) > 0, total(parts(value)) / F.count(value))
+    return {name: F.sum(name) for name in PARTS}
+
+
+def with_total(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the sum that their PARTS columns hold, rounded once, in place of them; 0 if they hold no value."""
+    if name in rows.columns:
+        raise ValueError(f"a column is named like the result: {name}")
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in PARTS]
+    # every digit but the first from 0 to 2**32 - 1
+    carried, texts = [f"coalesce(sum_{i}, 0L)" for i in range(DIGITS)], []
+    for i in range(DIGITS - 1, 0, -1):
+        texts.append(f"{carried[i]} & 4294967295L AS __d{i}")
+        carried[i - 1] = f"({carried[i - 1]} + shiftright({carried[i]}, 32))"
+    rows = rows.select(*kept, F.expr(f"{carried[0]} AS __d0"), *map(F.expr, texts), "sum_rest", "sum_beyond")
+    rows = rows.select(*kept, *[f"__d{i}" for i in range(DIGITS)], "sum_rest", "sum_beyond", F.expr(
+        "CASE WHEN abs(__d0) < 2 THEN __d0 * 4294967296L + __d1 END AS __whole"))
+
+    def number(upto: int) -> str:
+        found = "CAST(__d0 AS DECIMAL(20, 0))"
+        for i in range(1, upto):
+            found = f"CAST({found} * CAST(4294967296L AS DECIMAL(10, 0)) + CAST(__d{i} AS DECIMAL(10, 0)) AS DECIMAL(38, 0))"
+        # whole digits, and a half for all that is below them: it decides a tie and nothing else
+        below = " | ".join(f"__d{i}" for i in range(upto, DIGITS))
+        return f"CAST(CAST({found} AS DECIMAL(38, 1)) + CASE WHEN ({below}) != 0 THEN 0.5BD ELSE 0.0BD END AS DOUBLE)"
+
+    # two whole doubles, of which the upper has up to 53 bits and the lower those below: their sum rounds once
+    below_one = (f"(CAST(__whole * {2**53}L + __d2 * {2**21}L + shiftright(__d3, 11) AS DOUBLE)"
+                 f" + CAST((__d3 & {2**11 - 1}L) * {2**32}L + __d4 AS DOUBLE) * {_power(-43)}) * {_power(-53)}")
+    usual = (f"(CAST(__whole * {2**32}L + __d2 AS DOUBLE)"
+             f" + CAST(__d3 * 2L + CASE WHEN __d4 != 0 THEN 1L ELSE 0L END AS DOUBLE) * {_power(-33)}) * {_power(-32)}")
+    exact = (f"CASE WHEN __whole IN (0L, -1L) THEN {below_one} WHEN abs(__whole) < {2**20}L THEN {usual}"
+             f" WHEN abs(__d0) < {2**24}L THEN {number(4)} * {_power(-64)} ELSE {number(2)} END")
+    return rows.select(*kept, F.expr(f"coalesce(sum_beyond, coalesce(sum_rest, 0D) * {_power(-96)}) + {exact}").alias(name))

@@ -28,7 +28,7 @@ OUT_KEYS = tuple(TICK_KEYS.values())
 
 def partials(ticks: DataFrame, width: str, **kw) -> DataFrame:
     """``window_start, window_end, from_currency, to_currency, n``, the parts of the sum, ``high, low``."""
-    return tumbling(ticks, width, {"n": "count", "high": "max", "low": "min"}, more=exactsum.parts, **kw)
+    return tumbling(ticks, width, {"n": "count", "high": "max", "low": "min"}, keep_sums=True, **kw)
 
 
 def finest_width(widths) -> str:
@@ -51,13 +51,13 @@ def rollup(parts: DataFrame, width: str, aggs: Mapping[str, str], keys=OUT_KEYS)
              *[c.alias(name) for name, c in exactsum.merged().items()])
         .where(F.col("n") > 0)
     )
-    total = exactsum.total({name: F.col(name) for name in exactsum.PARTS})
+    merged = exactsum.with_total(merged, "total")
     exprs = {
-        "avg": total / F.col("n"),
-        "mean": total / F.col("n"),
+        "avg": F.col("total") / F.col("n"),
+        "mean": F.col("total") / F.col("n"),
         "max": F.col("high"),
         "min": F.col("low"),
-        "sum": total,
+        "sum": F.col("total"),
         "count": F.col("n"),
     }
     return merged.select(

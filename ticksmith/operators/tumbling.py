@@ -20,33 +20,16 @@ from stored sum/count), never as a mean of finer means.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.config import HLA, TICK_KEYS
-from ticksmith.operators.exactsum import exact_mean, exact_sum
+from ticksmith.operators import exactsum
 
-_AGG_FUNCS = {
-    "avg": exact_mean,
-    "mean": exact_mean,
-    "max": F.max,
-    "min": F.min,
-    "sum": exact_sum,
-    "count": F.count,
-}
-
-
-def agg_columns(aggs: Mapping[str, str], value_col: str = "rate") -> list[Column]:
-    """Aggregate expressions for a layout such as ``{"avg_rate": "avg"}``."""
-    cols = []
-    for name, fn in aggs.items():
-        try:
-            cols.append(_AGG_FUNCS[fn](F.col(value_col)).alias(name))
-        except KeyError:
-            raise ValueError(f"unknown aggregate {fn!r} for column {name!r}") from None
-    return cols
+_AGG_FUNCS = {"max": F.max, "min": F.min, "count": F.count}
+_SUMMED = ("avg", "mean", "sum")
 
 
 def tumbling(
@@ -61,7 +44,7 @@ def tumbling(
     dedup: bool = False,
     drop_null_values: bool = True,
     start_time: str | None = None,
-    more: Callable[[Column], Mapping[str, Column]] | None = None,
+    keep_sums: bool = False,
 ) -> DataFrame:
     """Aggregate ``value_col`` per tumbling window of ``width`` and key.
 
@@ -76,7 +59,7 @@ def tumbling(
     ``drop_null_values``: ticks without a value never reach the aggregate, so a
     window can never produce a NULL mean that a NOT NULL sink would refuse.
     ``start_time``: window alignment offset (windows align to the epoch).
-    ``more``: further aggregates of the value column, by name.
+    ``keep_sums``: add the columns of the exact sum, for a roll-up to merge.
     """
     key_map = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     df = ticks
@@ -98,13 +81,28 @@ def tumbling(
         else F.window(time_col, width)
     )
     grouped = df.groupBy(win.alias("window"), *[F.col(k) for k in key_map])
-    extra = more(F.col(value_col)) if more else {}
-    out = grouped.agg(*agg_columns(aggs, value_col), *[c.alias(name) for name, c in extra.items()])
+    unknown = {name: fn for name, fn in aggs.items() if fn not in _AGG_FUNCS and fn not in _SUMMED}
+    if unknown:
+        raise ValueError(f"unknown aggregates: {unknown}")
+    summed = [name for name, fn in aggs.items() if fn in _SUMMED]
+    cols = [_AGG_FUNCS[fn](F.col(value_col)).alias(name) for name, fn in aggs.items() if fn in _AGG_FUNCS]
+    if summed or keep_sums:
+        cols += [F.count(F.col(value_col)).alias("__n"), *[c.alias(name) for name, c in exactsum.parts(value_col).items()]]
+    out = grouped.agg(*cols)
+    results = {name: F.col(name) for name in aggs}
+    if summed:
+        if keep_sums:
+            raise ValueError("a roll-up gets its sums and means from the stored sums")
+        out = exactsum.with_total(out, "__total")
+        has = F.col("__n") > 0
+        for name in summed:
+            results[name] = F.when(has, F.col("__total") if aggs[name] == "sum" else F.col("__total") / F.col("__n"))
     return out.select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
         *[F.col(k).alias(v) for k, v in key_map.items()],
-        *[F.col(name) for name in [*aggs, *extra]],
+        *[c.alias(name) for name, c in results.items()],
+        *[F.col(name) for name in exactsum.PARTS if keep_sums],
     )
 
 
