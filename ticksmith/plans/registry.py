@@ -224,6 +224,96 @@ def stream_then_backfill_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
+# Late data: the ticks land in four batches, by the quarter of the month they fall in, but for those
+# held back.  Cheap views of the second quarter come with the fourth (late: dropped); sign-ups of the last
+# minutes of a quarter come with the next (in time: counted).
+_HELD_SYMBOL, _HELD_BELOW = "view", 20.0
+_SLOW_SYMBOL, _SLOW_SECONDS = "signup", 200
+_LATE_SQL = f"""
+WITH bounds AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events
+), quarters AS (
+  SELECT ts, event_type, value, least(3, 4 * (epoch_us(ts) - lo) // (hi - lo)) AS quarter FROM events, bounds
+), lasts AS (SELECT quarter, max(ts) AS last FROM quarters GROUP BY quarter
+), held AS (
+  SELECT ts, event_type, value, CAST(CASE
+    WHEN quarter = 1 AND event_type = '{_HELD_SYMBOL}' AND value < {_HELD_BELOW} THEN 3
+    WHEN quarter < 3 AND event_type = '{_SLOW_SYMBOL}' AND ts > last - INTERVAL '{_SLOW_SECONDS} seconds' THEN quarter + 1
+    ELSE quarter END AS INTEGER) AS batch
+  FROM quarters JOIN lasts USING (quarter)
+), marks AS (
+  SELECT b.batch, max(h.ts) - INTERVAL '5 minutes' AS watermark
+  FROM (SELECT DISTINCT batch FROM held) b LEFT JOIN held h ON h.batch < b.batch GROUP BY b.batch
+), judged AS (
+  SELECT held.*, coalesce(time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' <= watermark, FALSE) AS late
+  FROM held JOIN marks USING (batch)
+)"""
+
+
+def _late_drop(spark: SparkSession, sf_dir: str):
+    """The 5-minute job over four landed batches, restarted from its checkpoint for each."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.config import WindowSpec
+    from ticksmith.session import shared_path
+    from ticksmith.sinks.keyed import KeyedTable
+    from ticksmith.sources.events import read_table
+    from ticksmith.streaming.jobs import start_window_jobs
+    from ticksmith.streaming.replay import landed_stream, replay
+
+    run = shared_path(spark, "stream", "late")
+    micros = F.unix_micros(F.col("timestamp"))
+    ticks = _ticks(spark, sf_dir)
+    bounds = read_table(spark, sf_dir, "events").agg(
+        F.unix_micros(F.min("ts").cast("timestamp")).alias("lo"), F.unix_micros(F.max("ts").cast("timestamp")).alias("hi")).first()
+    lo, hi = bounds.lo or 0, bounds.hi or 1
+    quarter = F.least(F.lit(3).cast("long"), F.expr(f"4 * (unix_micros(timestamp) - {lo}L) div {max(1, hi - lo)}L"))
+    quarters = ticks.withColumn("quarter", quarter)
+    lasts = {r.quarter: r.last for r in quarters.groupBy("quarter").agg(F.max(micros).alias("last")).collect()}
+    slow = F.lit(False)
+    for q, last in lasts.items():
+        slow = slow | ((F.col("quarter") == q) & (F.lit(q) < 3) & (micros > last - _SLOW_SECONDS * 1_000_000))
+    batch = (
+        F.when((F.col("quarter") == 1) & (F.col("from") == _HELD_SYMBOL) & (F.col("rate") < _HELD_BELOW), 3)
+        .when((F.col("from") == _SLOW_SYMBOL) & slow, F.col("quarter") + 1)
+        .otherwise(F.col("quarter")))
+    landed = quarters.withColumn("batch", batch).drop("quarter")
+    spec = WindowSpec("5min", "5 minutes", "5 minutes", dict(HLA), "rate_5min")
+    sink = KeyedTable(f"{run}/rate_5min", by_batch=True)
+
+    def to_the_end():
+        group = start_window_jobs(
+            landed_stream(spark, f"{run}/landed", ticks.schema), [spec], {"5min": sink}, f"{run}/checkpoints", trigger={"availableNow": True})
+        group.await_all()
+        return group
+
+    group = replay(spark, [landed.where(F.col("batch") == k).drop("batch") for k in range(4)], f"{run}/landed", to_the_end)
+    return sink, group
+
+
+@register(
+    "late_drop_5m",
+    _LATE_SQL + duck_tumbling_sql("5 minutes", HLA, where="NOT late", source="judged").join(["SELECT * FROM (", ") w "])
+    + f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}",
+)
+def late_drop_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of a stream with late ticks, as they count: those held back too long are not in them."""
+    return _late_drop(spark, sf_dir)[0].read(spark)
+
+
+@register(
+    "late_drop_counts",
+    _LATE_SQL + """
+SELECT '5min' AS name, count(DISTINCT batch) AS data_batches, count(*) AS input_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT batch, event_type, time_bucket(INTERVAL '5 minutes', ts) FROM judged WHERE late)) AS dropped_rows
+FROM judged""",
+)
+def late_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log of all four runs has: batches, ticks read, and windows (with their key) that late ticks were dropped for."""
+    from ticksmith.streaming.progress import totals
+
+    return totals(_late_drop(spark, sf_dir)[1].log.read())
+
+
 def _land_text(df: DataFrame, path: str) -> str:
     """Write one text column as landed files (the source's own partitioning)."""
     df.write.mode("overwrite").text(path)

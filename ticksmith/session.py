@@ -150,6 +150,50 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> bool:
+    """Write a small file under a temporary name and rename it, so that no reader meets half of it.
+
+    Without ``replace`` a file of that name stays as it is; False says that there was one.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}.tmp")
+    files = target.getFileSystem(conf)
+    stream = files.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE if replace else kind.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(
+            files.makeQualified(draft), files.makeQualified(target), options)
+    except Exception as e:
+        files.delete(draft, False)
+        if not replace and files.exists(target):
+            return False
+        raise e
+    return True
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     """Whether a path is a folder or a file; one that does not exist is an error."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

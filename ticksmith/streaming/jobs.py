@@ -37,6 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ticksmith.config import WindowSpec
 from ticksmith.operators.tumbling import tumbling
 from ticksmith.sinks.keyed import DIRECT, KeyedTable
+from ticksmith.streaming.progress import ProgressLog
 
 
 def windowed_stream(ticks: DataFrame, spec: WindowSpec, dedup: bool = False) -> DataFrame:
@@ -122,20 +123,42 @@ class JobGroup:
 
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     tables: dict = field(default_factory=dict)
+    log: ProgressLog | None = None
+
+    def add(self, name: str, query: StreamingQuery) -> None:
+        self.queries[name] = query
+        if self.log is not None:
+            self.log.watch(name, query)
+
+    def _ended(self) -> None:
+        """Write what the queries have reported last."""
+        if self.log is not None:
+            for q in self.queries.values():
+                self.log.catch_up(q)
+            if not any(q.isActive for q in self.queries.values()):
+                self.log.close()
 
     def await_all(self, timeout: float | None = None) -> None:
-        """Wait for every query (e.g. ``availableNow`` runs); re-raise the first failure."""
+        """Wait for every query (e.g. ``availableNow`` runs); re-raise the first failure.
+
+        Raises ``TimeoutError`` naming the queries that still run when the time is up; they go on.
+        """
         deadline = None if timeout is None else time.monotonic() + timeout
-        for name, q in self.queries.items():
-            left = None if deadline is None else max(0.0, deadline - time.monotonic())
-            try:
-                if left is None:
-                    q.awaitTermination()
-                else:
-                    q.awaitTermination(left)
-            except Exception as e:
-                self.stop_all()
-                raise RuntimeError(f"window job {name!r} failed") from e
+        try:
+            for name, q in self.queries.items():
+                try:
+                    if deadline is None:
+                        q.awaitTermination()
+                    else:
+                        q.awaitTermination(max(0.1, deadline - time.monotonic()))
+                except Exception as e:
+                    self.stop_all()
+                    raise RuntimeError(f"window job {name!r} failed") from e
+        finally:
+            self._ended()
+        late = [name for name, q in self.queries.items() if q.isActive]
+        if late:
+            raise TimeoutError(f"still running after {timeout} seconds: {', '.join(late)}")
 
     def await_any(self, timeout: float | None = None, poll: float = 1.0) -> str | None:
         """Block until one of *these* queries ends; return its name (None on timeout).
@@ -161,18 +184,14 @@ class JobGroup:
         for q in self.queries.values():
             if q.isActive:
                 q.stop()
+        self._ended()
 
     def dropped_late_rows(self) -> dict[str, int]:
-        """Rows dropped by the watermark so far, per query (from progress reports)."""
-        out = {}
-        for name, q in self.queries.items():
-            n = 0
-            for p in q.recentProgress:
-                for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-                    val = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-                    n += int(val or 0)
-            out[name] = n
-        return out
+        """Rows dropped by the watermark, per query, since its checkpoint began: from the log of all runs."""
+        if self.log is None:
+            raise ValueError("these queries have no progress log")
+        self._ended()
+        return {name: n for name, n in self.log.dropped_late_rows().items() if name in self.queries}
 
 
 def start_window_jobs(
@@ -183,29 +202,32 @@ def start_window_jobs(
     trigger: dict | None = None,
     dedup: bool = False,
     rejects_root: str | None = None,
+    group: JobGroup | None = None,
 ) -> JobGroup:
     """Fan out: one independent query per spec from the same tick stream.
 
     Each query gets its own source reader, watermark, state and checkpoint
     (``<checkpoint_root>/<spec.name>``).  With ``rejects_root`` every batch is
     held to its sink schema; violating rows go to ``<rejects_root>/<name>``.
+    Every batch of every query is logged under ``<checkpoint_root>/progress``.
     """
     from ticksmith.schema import sink_schema_for
     from ticksmith.sinks.keyed import QuarantineTable
 
-    group = JobGroup()
+    root = checkpoint_root.rstrip("/")
+    group = group or JobGroup(log=ProgressLog(ticks.sparkSession, f"{root}/progress"))
     for spec in specs:
-        group.queries[spec.name] = start_window_query(
+        group.add(spec.name, start_window_query(
             ticks,
             spec,
             sinks[spec.name],
-            f"{checkpoint_root.rstrip('/')}/{spec.name}",
+            f"{root}/{spec.name}",
             trigger=trigger,
             query_name=None,
             dedup=dedup,
             schema=sink_schema_for(spec.aggs) if rejects_root else None,
             rejects=QuarantineTable(f"{rejects_root.rstrip('/')}/{spec.name}") if rejects_root else None,
-        )
+        ))
     return group
 
 
@@ -267,13 +289,13 @@ def start_tagged_jobs(
         good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup, rejects_root=f"{root}/rejects"
     )
     if quarantine:
-        group.queries["quarantine"] = start_quarantine_query(
+        group.add("quarantine", start_quarantine_query(
             tagged,
             QuarantineTable(f"{root}/quarantine"),
             f"{checkpoint_root.rstrip('/')}/quarantine",
             trigger=trigger,
             raw_col=raw_col,
-        )
+        ))
     group.tables = sinks
     return group
 
