@@ -79,7 +79,7 @@ def batch_writer(sink: KeyedTable, schema=None, rejects=None, checkpoint: str |
                     rejects.append(
                         bad.select("reason", F.to_json(F.struct(*schema.fieldNames())).alias("raw")), batch_id, owner[0]
                     )
-            sink.append_new(out, batch_id, owner[0])
+            sink.append_new(out, batch_id, owner[0], unique=True)  # a window and its key are one row of the batch
         finally:
             batch.unpersist()
 
@@ -284,7 +284,8 @@ def start_tagged_jobs(
     specs = list(specs)
     good, _ = split(tagged)
     root = table_root.rstrip("/")
-    sinks = {s.name: KeyedTable(f"{root}/{s.sink_table}", by_batch=True) for s in specs}
+    sinks = {
+        s.name: KeyedTable(f"{root}/{s.sink_table}", by_batch=True, conflicts=QuarantineTable(f"{root}/conflicts/{s.name}")) for s in specs}
     group = start_window_jobs(
         good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup, rejects_root=f"{root}/rejects"
     )
