@@ -1,0 +1,70 @@
+import os
+
+from conftest import ORACLE_DIR
+from test_streaming import land, msg, rows_1m
+
+from ticksmith.config import DEFAULT_JOBS
+from ticksmith.plans import registry
+from ticksmith.session import shared_path
+from ticksmith.sources.landing import read_messages
+from ticksmith.streaming.jobs import parsed_rejects, start_message_jobs
+from ticksmith.streaming.progress import totals
+
+
+def test_the_source_is_read_and_parsed_once(spark):
+    group, root = registry._fan_out(spark, ORACLE_DIR)
+    bad = parsed_rejects(spark, f"{root}/parsed").count()
+    read = {r.name: r.input_rows for r in totals(group.log.read()).collect()}
+    assert 0 < bad < 10_000
+    assert read == {"parse": 10_000, "1min": 10_000 - bad, "5min": 10_000 - bad, "10min": 10_000 - bad}  # ticks alone, no rejects
+    plan = group.queries["5min"]._jsq.explainInternal(False)
+    assert "from_json" not in plan and "jsontostructs" not in plan.lower()
+
+
+def run(spark, landing, root, **kw):
+    group = start_message_jobs(read_messages(spark, landing, max_files_per_trigger=1), DEFAULT_JOBS[:1], f"{root}/tables", f"{root}/checkpoints",
+                               trigger={"availableNow": True}, parse_once=True, **kw)
+    group.await_all(timeout=300)
+    return group
+
+
+def test_restart_goes_on_where_it_was(spark, tmp_dir):
+    landing, root = os.path.join(tmp_dir, "landing"), shared_path(spark, "test-fan")
+    os.makedirs(landing)
+    land(landing, 0, [msg("00:10", 1), msg("00:50", 3), "not json"])
+    run(spark, landing, root)
+    land(landing, 1, [msg("02:30", 7)])
+    run(spark, landing, root)
+    land(landing, 2, [msg("04:10", 5), "nor this"])
+    run(spark, landing, root)
+    assert rows_1m(spark, f"{root}/tables") == {"12:00": 2.0, "12:02": 7.0}
+    assert sorted(r.raw for r in parsed_rejects(spark, f"{root}/tables/parsed").collect()) == ["nor this", "not json"]
+
+
+def test_files_of_an_uncommitted_batch_are_not_read(spark, tmp_dir):
+    """A parse that broke off before its commit leaves files that no job takes for ticks."""
+    landing, root = os.path.join(tmp_dir, "landing"), shared_path(spark, "test-fan")
+    os.makedirs(landing)
+    land(landing, 0, [msg("00:10", 1), msg("05:00", 3)])
+    left = spark.createDataFrame([("BTC", "EUR", 900.0)], "`from` string, `to` string, rate double").selectExpr(
+        "`from`", "`to`", "timestamp'2025-06-19 12:00:20' AS timestamp", "rate", "CAST(NULL AS STRING) AS reason", "CAST(NULL AS STRING) AS raw")
+    left.write.parquet(f"{root}/tables/parsed/kind=tick")
+    run(spark, landing, root)
+    assert rows_1m(spark, f"{root}/tables") == {"12:00": 1.0}
+
+
+def test_jobs_may_start_before_the_first_batch(spark, tmp_dir):
+    landing, root = os.path.join(tmp_dir, "landing"), shared_path(spark, "test-fan")
+    os.makedirs(landing)
+    group = start_message_jobs(read_messages(spark, landing), DEFAULT_JOBS[:1], f"{root}/tables", f"{root}/checkpoints",
+                               trigger={"processingTime": "1 second"}, parse_once=True)
+    try:
+        land(landing, 0, [msg("00:10", 1), msg("05:00", 3)])
+        for _ in range(40):
+            for q in group.queries.values():
+                q.processAllAvailable()
+            if group.tables["1min"].exists(spark):
+                break
+        assert rows_1m(spark, f"{root}/tables") == {"12:00": 1.0}
+    finally:
+        group.stop_all()

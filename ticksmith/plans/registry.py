@@ -249,8 +249,8 @@ WITH bounds AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM eve
 )"""
 
 
-def _late_drop(spark: SparkSession, sf_dir: str):
-    """The 5-minute job over four landed batches, restarted from its checkpoint for each."""
+def _late_drop(spark: SparkSession, sf_dir: str, after=None):
+    """The 5-minute job over four landed batches, restarted from its checkpoint for each; ``after(runs so far, table)``."""
     from pyspark.sql import functions as F
 
     from ticksmith.config import WindowSpec
@@ -278,28 +278,47 @@ def _late_drop(spark: SparkSession, sf_dir: str):
         .otherwise(F.col("quarter")))
     landed = quarters.withColumn("batch", batch).drop("quarter")
     spec = WindowSpec("5min", "5 minutes", "5 minutes", dict(HLA), "rate_5min")
-    sink = KeyedTable(f"{run}/rate_5min", by_batch=True)
+    sink, runs = KeyedTable(f"{run}/rate_5min", by_batch=True), []
 
     def to_the_end():
         group = start_window_jobs(
             landed_stream(spark, f"{run}/landed", ticks.schema), [spec], {"5min": sink}, f"{run}/checkpoints", trigger={"availableNow": True})
         group.await_all()
+        runs.append(group)
+        if after is not None:
+            after(len(runs), sink)
         return group
 
     group = replay(spark, [landed.where(F.col("batch") == k).drop("batch") for k in range(4)], f"{run}/landed", to_the_end)
     return sink, group
 
 
-@register(
-    "late_drop_5m",
-    _LATE_SQL + duck_tumbling_sql("5 minutes", HLA, where="NOT late", source="judged").join(["SELECT * FROM (", ") w "])
-    + f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}",
-)
+_LATE_5M = (
+    _LATE_SQL + f" SELECT * FROM ({duck_tumbling_sql('5 minutes', HLA, where='NOT late', source='judged')}) w "
+    f"WHERE window_end <= (SELECT max(ts) FROM events) - {duck_interval('5 minutes')}")
+
+
+@register("late_drop_5m", _LATE_5M)
 def late_drop_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windows of a stream with late ticks, as they count: those held back too long are not in them."""
     return _late_drop(spark, sf_dir)[0].read(spark)
 
 
+@register("compacted_5m", _LATE_5M)
+def compacted_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table, compacted after each of the first three runs and cleaned up after the second:
+    the last run's batches lie beside compacted dates, and some dates have been compacted more than once."""
+    import datetime as dt
+
+    def after(runs, sink):
+        if runs < 4:
+            sink.compact(spark, dt.date.min, dt.date.max)
+        if runs == 2:
+            sink.vacuum(spark)
+
+    return _late_drop(spark, sf_dir, after)[0].read(spark)
+
+
 @register(
     "late_drop_counts",
     _LATE_SQL + """
@@ -348,6 +367,66 @@ def message_stream_hla_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group.tables["5min"].read(spark)
 
 
+_GOOD_TIME = f"TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) >= {BAD_TIME_BELOW_K}"
+_FAN_OUT_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS job, window_start, window_end, from_currency, to_currency, {columns} "
+    f"FROM ({duck_tumbling_sql(width, aggs, where=_GOOD_TIME)}) w "
+    f"WHERE window_end <= (SELECT max(ts) FROM events WHERE {_GOOD_TIME}) - {duck_interval(width)}"
+    for name, width, aggs, columns in (
+        ("1min", "1 minute", PRICE, "rate AS high_rate, rate AS low_rate, rate AS avg_rate"),
+        ("5min", "5 minutes", HLA, "high_rate, low_rate, avg_rate"), ("10min", "10 minutes", HLA, "high_rate, low_rate, avg_rate")))
+
+
+def _fan_out(spark: SparkSession, sf_dir: str):
+    """The three jobs behind one parse of the tick messages, some with a bad time; the group, ended, and its folder."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.config import DEFAULT_JOBS
+    from ticksmith.functions.ticks_json import tick_json
+    from ticksmith.session import shared_path
+    from ticksmith.sources.landing import read_messages
+    from ticksmith.streaming.jobs import start_message_jobs
+
+    run = shared_path(spark, "app", "fanout")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    ts_text = F.when(k >= BAD_TIME_BELOW_K, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).otherwise(F.lit(BAD_TIME_TEXT))
+    landing = _land_text(_ticks(spark, sf_dir, keep=("props",)).select(tick_json("from", "to", ts_text, "rate").alias("value")), f"{run}/landing")
+    group = start_message_jobs(
+        read_messages(spark, landing), DEFAULT_JOBS, f"{run}/tables", f"{run}/checkpoints", trigger={"availableNow": True}, parse_once=True)
+    _run_group(group)
+    return group, f"{run}/tables"
+
+
+@register("fanout_1_5_10m", _FAN_OUT_SQL)
+def fanout_1_5_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of all three jobs, which read the ticks that one query has parsed (the 1-minute table has a mean alone)."""
+    from pyspark.sql import functions as F
+
+    group, _ = _fan_out(spark, sf_dir)
+    out = None
+    for name, sink in group.tables.items():
+        t = sink.read(spark)
+        high, low, avg = ("rate",) * 3 if "rate" in t.columns else ("high_rate", "low_rate", "avg_rate")
+        t = t.select(F.lit(name).alias("job"), "window_start", "window_end", "from_currency", "to_currency",
+                     F.col(high).alias("high_rate"), F.col(low).alias("low_rate"), F.col(avg).alias("avg_rate"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@register("fanout_rejects", f"""
+SELECT 'missing or unparseable timestamp' AS reason, event_type AS "from", count(*) AS n
+FROM events WHERE NOT {_GOOD_TIME} GROUP BY ALL""")
+def fanout_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that the one parse has set aside."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.streaming.jobs import parsed_rejects
+
+    _, root = _fan_out(spark, sf_dir)
+    return parsed_rejects(spark, f"{root}/parsed").groupBy("reason", F.get_json_object("raw", "$.from").alias("from")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 _NOT_FAILED = f"event_type <> '{FAILED_SYMBOL}'"
 
 
@@ -727,6 +806,81 @@ def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
+# Two overlapping batches of windows: those before the 20th day, and those from the 10th day on, in which
+# purchases before the 20th day have other values, clicks stand twice and sign-ups of the last day have two versions.
+_DAY = "(SELECT date_trunc('day', min(ts)) FROM events) + INTERVAL {} DAY"
+_LAST_DAY = "(SELECT date_trunc('day', max(ts)) FROM events)"
+_KEYED_SQL = f"""
+WITH first AS ({duck_tumbling_sql("5 minutes", HLA, where=f"ts < {_DAY.format(20)}")}
+), fresh AS (
+  SELECT ts, event_type, CASE WHEN event_type = 'purchase' AND ts < {_DAY.format(20)} THEN value * 2 ELSE value END AS value
+  FROM events WHERE ts >= {_DAY.format(10)}
+), plain AS ({duck_tumbling_sql("5 minutes", HLA, source="fresh")}
+), second AS (
+  SELECT *, from_currency = 'signup' AND window_start >= {_LAST_DAY} AS two FROM plain
+)"""
+_SAME = "f.window_start = s.window_start AND f.from_currency = s.from_currency AND f.to_currency = s.to_currency"
+
+
+def _two_batches(spark: SparkSession, sf_dir: str):
+    """The keyed table and its conflicts after both batches."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.session import shared_path
+    from ticksmith.sinks.keyed import KeyedTable, QuarantineTable
+    from ticksmith.sources.events import read_table
+
+    run = shared_path(spark, "sink", "conflicts")
+    lo, hi = read_table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    start, last = (t.replace(hour=0, minute=0, second=0, microsecond=0) if t else dt.datetime(1970, 1, 1) for t in (lo, hi))
+    early, late = start + dt.timedelta(days=10), start + dt.timedelta(days=20)
+    fresh = _ticks(spark, sf_dir, since=early)
+    changed = (F.col("from") == "purchase") & (_ntz(F.col("timestamp")) < F.lit(late.isoformat(sep=" ")).cast("timestamp_ntz"))
+    plain = tumbling(fresh.withColumn("rate", F.when(changed, F.col("rate") * 2).otherwise(F.col("rate"))), "5 minutes", HLA)
+    twice = plain.where((F.col("from_currency") == "signup") & (F.col("window_start") >= F.lit(last.isoformat(sep=" ")).cast("timestamp_ntz")))
+    second = plain.unionByName(plain.where(F.col("from_currency") == "click")).unionByName(twice.withColumn("high_rate", F.col("high_rate") + 1))
+    sink = KeyedTable(f"{run}/rate_5min", conflicts=QuarantineTable(f"{run}/conflicts"))
+    for i, batch in enumerate((tumbling(_ticks(spark, sf_dir, until=late), "5 minutes", HLA), second)):
+        batch = batch.persist()
+        try:
+            sink.append_new(batch, i)
+            sink.append_new(batch, i)  # and replayed
+        finally:
+            batch.unpersist()
+    return sink
+
+
+@register("duplicate_keys", _KEYED_SQL + f"""
+SELECT * FROM first
+UNION ALL
+SELECT * EXCLUDE (two) FROM second s WHERE NOT two AND NOT EXISTS (SELECT 1 FROM first f WHERE {_SAME})""")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after two overlapping batches: every undisputed key once, as it was first stored."""
+    return _two_batches(spark, sf_dir).read(spark)
+
+
+@register("duplicate_keys_conflicts", _KEYED_SQL + f"""
+SELECT s.* EXCLUDE (two), 'differs from the stored row' AS reason, CAST(1 AS BIGINT) AS batch_id
+FROM second s JOIN first f ON {_SAME}
+WHERE (s.high_rate, s.low_rate, s.avg_rate) IS DISTINCT FROM (f.high_rate, f.low_rate, f.avg_rate)
+UNION ALL
+SELECT window_start, window_end, from_currency, to_currency, high_rate + plus, low_rate, avg_rate, 'differs within the batch', 1
+FROM second, (VALUES (0), (1)) v(plus) WHERE two""")
+def duplicate_keys_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the second batch that are not stored, as another row has their key."""
+    sink = _two_batches(spark, sf_dir)
+    return sink.conflicts.read(spark).drop("query_id").withColumn("batch_id", _long("batch_id"))
+
+
+def _long(name: str):
+    from pyspark.sql import functions as F
+
+    return F.col(name).cast("long")
+
+
 @register(
     "stored_panel_price_1m",
     f"SELECT from_currency AS currency, rate, window_start AS time FROM ({_panel_where('1 minute', PRICE)})",

@@ -46,6 +46,8 @@ def parse_args(argv=None):
     p.add_argument("--trigger", help="processing-time trigger such as '30 seconds'; default back to back")
     p.add_argument("--available-now", action="store_true", help="work off available input, then stop")
     p.add_argument("--dedup", action="store_true", help="drop repeated ticks within the watermark")
+    p.add_argument("--parse-once", action="store_true",
+                   help="one query reads and parses the source, the window jobs read what it commits")
     p.add_argument("--state-partitions", type=int, help="state store partitions (fixed at first start)")
     return p.parse_args(argv)
 
@@ -81,18 +83,18 @@ def main(argv=None) -> int:
         ticks = events_as_ticks(raw, args.target, symbol_col=args.symbol_col, time_col=args.time_col,
                                 value_col=args.value_col)
         group = start_tagged_jobs(tag_ticks_table(ticks), DEFAULT_JOBS, args.tables, ckpt,
-                                  trigger=trigger, dedup=args.dedup)
+                                  trigger=trigger, dedup=args.dedup, parse_once=args.parse_once)
     elif args.source == "responses":
         from ticksmith.sources.responses import read_landed
 
         group = start_response_jobs(
             read_landed(spark, args.path, streaming=True, max_files_per_trigger=args.max_files_per_trigger),
             DEFAULT_JOBS, args.tables, ckpt,
-            trigger=trigger, dedup=args.dedup,
+            trigger=trigger, dedup=args.dedup, parse_once=args.parse_once,
         )
     else:
         group = start_message_jobs(
-            messages(spark, args), DEFAULT_JOBS, args.tables, ckpt, trigger=trigger, dedup=args.dedup
+            messages(spark, args), DEFAULT_JOBS, args.tables, ckpt, trigger=trigger, dedup=args.dedup, parse_once=args.parse_once
         )
 
     def stop(*_):

@@ -36,6 +36,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ticksmith.config import WindowSpec
 from ticksmith.operators.tumbling import tumbling
+from ticksmith.session import make_folder
 from ticksmith.sinks.keyed import DIRECT, KeyedTable
 from ticksmith.streaming.progress import ProgressLog
 
@@ -262,6 +263,43 @@ def start_quarantine_query(
     return w.start()
 
 
+PARSED = "`from` string, `to` string, timestamp timestamp, rate double, reason string, raw string, kind string"
+TICK, REJECT = "tick", "reject"
+
+
+def start_parse_query(tagged: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, raw_col: str = "_raw") -> StreamingQuery:
+    """The one query that reads and parses the source: ticks and rejects to the folders of ``path`` by ``kind``.
+
+    It writes through Spark's file sink, whose log names the files of every committed batch: readers of the folder
+    (stream or batch) see whole batches and each once, also after a crash in the middle of one.
+    """
+    from pyspark.sql import functions as F
+
+    bad = F.col("_reason").isNotNull()
+    rows = tagged.select(
+        "from", "to", "timestamp", "rate", F.col("_reason").alias("reason"),
+        F.when(bad, F.col(raw_col).cast("string")).alias("raw"), F.when(bad, REJECT).otherwise(TICK).alias("kind"))
+    # with its log in place a reader never takes the folder for one of plain files, not even before the first batch
+    make_folder(tagged.sparkSession, f"{path}/_spark_metadata")
+    w = rows.writeStream.outputMode("append").format("parquet").partitionBy("kind").option("path", path).option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+def parsed_ticks(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The stream of ticks that a parse query has committed (rejects are not read)."""
+    reader = spark.readStream.schema(PARSED)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(path).where(f"kind = '{TICK}'").select("from", "to", "timestamp", "rate")
+
+
+def parsed_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``reason, raw`` of the rejects that a parse query has committed."""
+    return spark.read.schema(PARSED).parquet(path).where(f"kind = '{REJECT}'").select("reason", "raw")
+
+
 def start_tagged_jobs(
     tagged: DataFrame,
     specs: Iterable[WindowSpec],
@@ -271,23 +309,36 @@ def start_tagged_jobs(
     dedup: bool = False,
     quarantine: bool = True,
     raw_col: str = "_raw",
+    parse_once: bool = False,
 ) -> JobGroup:
     """Window jobs + quarantine over a tagged tick stream.
 
     ``tagged`` has ``from, to, timestamp, rate``, a ``_reason`` (NULL = good)
     and the raw record in ``raw_col``.  Tables go to
     ``<table_root>/<sink_table>``, checkpoints to ``<checkpoint_root>/<name>``.
+
+    Each job reads and parses the source for itself, unless ``parse_once``: then one
+    query does, and commits ticks and rejects to ``<table_root>/parsed``, which the window
+    jobs read (:func:`start_parse_query`; the rejects lie there, not in a quarantine table).
     """
     from ticksmith.operators.quality import split
     from ticksmith.sinks.keyed import QuarantineTable
 
     specs = list(specs)
-    good, _ = split(tagged)
     root = table_root.rstrip("/")
+    group = JobGroup(log=ProgressLog(tagged.sparkSession, f"{checkpoint_root.rstrip('/')}/progress"))
+    if parse_once:
+        parsed, quarantine = f"{root}/parsed", False
+        group.add("parse", start_parse_query(tagged, parsed, f"{checkpoint_root.rstrip('/')}/parse", trigger, raw_col))
+        if trigger and trigger.get("availableNow"):
+            group.await_all()  # the others work off what it has committed
+        good = parsed_ticks(tagged.sparkSession, parsed)
+    else:
+        good, _ = split(tagged)
     sinks = {
         s.name: KeyedTable(f"{root}/{s.sink_table}", by_batch=True, conflicts=QuarantineTable(f"{root}/conflicts/{s.name}")) for s in specs}
     group = start_window_jobs(
-        good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup, rejects_root=f"{root}/rejects"
+        good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup, rejects_root=f"{root}/rejects", group=group
     )
     if quarantine:
         group.add("quarantine", start_quarantine_query(
