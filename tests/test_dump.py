@@ -1,0 +1,85 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ticksmith.sources.tsv import copy_lines, escaped, load_copy_dump, read_copy_block, unescaped
+
+SCHEMA = T.StructType([T.StructField("k", T.LongType(), False), T.StructField("t", T.StringType()), T.StructField("x", T.DoubleType())])
+
+
+def dump(folder, name, text):
+    with open(os.path.join(folder, name), "w", newline="") as fh:
+        fh.write(text)
+
+
+def load(spark, folder):
+    good, bad = load_copy_dump(spark, folder, "t1", SCHEMA)
+    return sorted(map(tuple, good.collect())), sorted(r.reason for r in bad.collect())
+
+
+FIRST = """-- COPY t1 (k, t, x) FROM stdin; is no header here
+COPY public.t1 (k, t, x) FROM stdin;
+1\ta\\tb\\\\c\\nd\t1.5
+2\t\\N\t\\N
+3\tCOPY t1 (x) FROM stdin;\t2
+COPY t2 (k) FROM stdin;
+4\t\\303\\251\\x41\\q\t3
+\\.
+COPY t2 (k, t) FROM stdin;
+8\tnot ours
+COPY t1 (k) FROM stdin;
+\\.
+COPY t1 (x, "k") FROM stdin WITH (FORMAT text);
+0.25\t5
+oops\t6
+\\N\t\\N
+\\.
+"""
+
+
+def test_blocks_columns_escapes_and_reasons(spark, tmp_dir):
+    dump(tmp_dir, "a.sql", FIRST)
+    dump(tmp_dir, "b.sql", 'COPY "public"."t1" (t, k, extra) FROM stdin;\r\nlast\t7\tz\r\n')  # cut short, without an end
+    dump(tmp_dir, "c.sql", "8\tno header\t1\n\\.\n")
+    good, bad = load(spark, tmp_dir)
+    assert good == [(1, "a\tb\\c\nd", 1.5), (2, None, None), (3, "COPY t1 (x) FROM stdin;", 2.0), (4, "éAq", 3.0), (5, None, 0.25), (7, "last", None)]
+    assert bad == ["expected 3 fields", "k is null", "x malformed"]
+
+
+def test_any_cut_into_splits_gives_the_same_rows(spark, tmp_dir):
+    rows = "".join(f"{i}\tname {i}\t{i}.5\n" for i in range(400))
+    for f in range(3):
+        dump(tmp_dir, f"{f}.sql", f"-- {f}\nCOPY t0 (k) FROM stdin;\n" + rows[:rows.index("100\t")] + "\\.\n\nCOPY t1 (k, t, x) FROM stdin;\n" + rows
+             + "\\.\nCOPY t1 (t, k) FROM stdin;\n" + "".join(f"more\t{i}\n" for i in range(1000, 1050)) + "\\.\n")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("512", "3000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            good, bad = load(spark, tmp_dir)
+            assert len(good) == 3 * 450 and not bad
+            assert sum(k for k, _, _ in good) == 3 * (sum(range(400)) + sum(range(1000, 1050)))
+            assert sum(t == "more" for _, t, _ in good) == 150
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_texts_come_back_as_they_were(spark):
+    texts = ["", "plain", "\t\n\r\\", "\\N", "a\\tb", "é\\303", "\\", "x" * 1000 + "\\", "\\x4", "\b\f\v", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", unescaped(escaped(F.col("t"))).alias("u")).collect()
+    assert all(r.t == r.u for r in got) and len(got) == len(texts)
+
+
+def test_fractions_of_a_second_are_written(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-05-01 10:00:00.25' AS a, timestamp_ntz'2024-05-01 10:00:00' AS b, CAST(NULL AS STRING) AS c, '\\tx' AS d, 1.5D AS e")
+    assert copy_lines(df).first().value == "2024-05-01 10:00:00.250000\t2024-05-01 10:00:00\t\\N\t\\tx\t1.5"
+
+
+def test_a_missing_table_is_an_error(spark, tmp_dir):
+    dump(tmp_dir, "a.sql", FIRST)
+    with pytest.raises(ValueError):
+        read_copy_block(spark, tmp_dir, "t3", SCHEMA)
+    assert [r.k for r in read_copy_block(spark, tmp_dir, "t1", SCHEMA).where("_reason IS NULL").collect()] == [1, 2, 3, 4, 5]

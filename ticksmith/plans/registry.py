@@ -922,6 +922,49 @@ def tsv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good
 
 
+# Two kinds of dump blocks, by the date: columns in the order of the schema, or turned round and quoted.  Purchases
+# have no window end, and a note holds tabs, line ends and backslashes.
+_NOTE_SQL = "from_currency || chr(9) || 'a\\b' || chr(10) || chr(92) || 'N ' || strftime(window_start, '%H:%M')"
+
+
+@register("dump_block_load", f"""
+SELECT window_start, CASE WHEN from_currency <> 'purchase' THEN window_end END AS window_end, from_currency, to_currency, rate,
+       {_NOTE_SQL} AS note
+FROM ({duck_tumbling_sql("10 minutes", PRICE)}) w""")
+def dump_block_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-minute means written as dumps, with a block for each date among blocks of another table, and loaded back."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from ticksmith.operators.tumbling import tumbling
+    from ticksmith.schema import SINK_PRICE
+    from ticksmith.session import shared_path
+    from ticksmith.sources.tsv import copy_lines, load_copy_dump
+
+    schema = T.StructType([*SINK_PRICE.fields, T.StructField("note", T.StringType())])
+    note = F.concat("from_currency", F.lit("\ta\\b\n\\N "), F.date_format("window_start", "HH:mm"))
+    rows = tumbling(_ticks(spark, sf_dir), "10 minutes", PRICE).withColumns(
+        {"window_end": F.when(F.col("from_currency") != "purchase", F.col("window_end")), "note": note, "day": F.to_date("window_start")})
+    names = schema.fieldNames()
+    turned = F.dayofmonth("day") % 2 == 0
+    lines = [
+        copy_lines(part.select("day", *columns), keep=("day",)).withColumn("place", F.lit(3))
+        for part, columns in ((rows.where(~turned), names), (rows.where(turned), names[::-1]))]
+    headers = (f"COPY public.rate_10min ({', '.join(names)}) FROM stdin;",
+               "COPY rate_10min (" + ", ".join(f'"{n}"' for n in names[::-1]) + ") FROM stdin;")
+    days = rows.select("day").distinct()
+    # a block of another table, in which a line looks like a header
+    around = [(0, F.lit("COPY public.notes (day, note) FROM stdin;")), (1, F.lit(headers[0] + "\tx")), (1, F.lit(headers[0])), (2, F.lit("\\.")),
+              (2.5, F.when(turned, F.lit(headers[1])).otherwise(F.lit(headers[0]))), (4, F.lit("\\.")), (5, F.lit("-- end"))]
+    out = lines[0].unionByName(lines[1])
+    for place, value in around:
+        out = out.unionByName(days.select("day", value.alias("value"), F.lit(place).alias("place")))
+    path = shared_path(spark, "dump", "rate_10min")
+    # whole dates to a file, several of them in most
+    out.repartition(4, "day").sortWithinPartitions("day", "place").select("value").write.text(path)
+    return load_copy_dump(spark, path, "rate_10min", schema)[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
