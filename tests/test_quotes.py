@@ -9,7 +9,7 @@ from ticksmith.operators.quality import split
 from conftest import ts
 
 
-def resp(sym="BTC", cur="EUR", price=60000.12, updated="2025-06-04T12:34:56.000Z", status=None, extra_elem=False, raw=None):
+def resp(sym="BTC", cur="EUR", price=41235.75, updated="2023-03-08T09:17:42.000Z", status=None, extra_elem=False, raw=None):
     if raw is not None:
         return raw
     doc = {"status": status if status is not None else {"error_code": 0, "error_message": None}}
@@ -28,9 +28,9 @@ def test_good_response_and_first_element_only(spark):
     out = flatten(spark, [(1, "BTC", "EUR", resp()), (2, "BTC", "EUR", resp(extra_elem=True))])
     for i in (1, 2):
         r = out[i]
-        assert (r["from"], r["to"], r.rate, r._reason) == ("BTC", "EUR", 60000.12, None)
-        assert r.timestamp == ts("2025-06-04 12:34:56")
-        assert r.timestamp_text == "2025-06-04T12:34:56.000Z"
+        assert (r["from"], r["to"], r.rate, r._reason) == ("BTC", "EUR", 41235.75, None)
+        assert r.timestamp == ts("2023-03-08 09:17:42")
+        assert r.timestamp_text == "2023-03-08T09:17:42.000Z"
 
 
 @pytest.mark.parametrize(
@@ -68,8 +68,8 @@ def test_flatten_all_without_request(spark):
     doc = {
         "status": {"error_code": 0},
         "data": {
-            "BTC": [{"quote": {"EUR": {"price": 1.0, "last_updated": "2025-06-04T12:00:00Z"},
-                               "USD": {"price": 2.0, "last_updated": "2025-06-04T12:00:00Z"}}}],
+            "BTC": [{"quote": {"EUR": {"price": 1.0, "last_updated": "2023-03-08T12:00:00Z"},
+                               "USD": {"price": 2.0, "last_updated": "2023-03-08T12:00:00Z"}}}],
             "ETH": [],
         },
     }
@@ -92,7 +92,7 @@ def test_landed_roundtrip(spark, tmp_dir):
         fh.write(resp())
     landed = read_landed(spark, tmp_dir)
     good, bad = split(Q.flatten_requested(landed))
-    assert sorted((r["from"], r.rate) for r in good.collect()) == [("BTC", 60000.12), ("ETH", 2000.5)]
+    assert sorted((r["from"], r.rate) for r in good.collect()) == [("BTC", 41235.75), ("ETH", 2000.5)]
     assert [r.reason for r in bad.collect()] == [Q.R_NO_REQUEST]
 
 
@@ -100,9 +100,9 @@ def test_land_responses_builds_service_shape(spark):
     from ticksmith.sources.responses import land_responses
 
     ticks = spark.createDataFrame(
-        [("BTC", "EUR", ts("2025-06-04 12:34:56"), 1.5), ("ERR", "EUR", ts("2025-06-04 12:34:56"), 2.0)],
+        [("BTC", "EUR", ts("2023-03-08 09:17:42"), 1.5), ("ERR", "EUR", ts("2023-03-08 09:17:42"), 2.0)],
         "from string, to string, timestamp timestamp, rate double",
     )
     rows = {r.symbol: json.loads(r.body) for r in land_responses(ticks, failed=F.col("from") == "ERR").collect()}
-    assert rows["BTC"]["data"]["BTC"][0]["quote"]["EUR"] == {"price": 1.5, "last_updated": "2025-06-04T12:34:56.000Z"}
+    assert rows["BTC"]["data"]["BTC"][0]["quote"]["EUR"] == {"price": 1.5, "last_updated": "2023-03-08T09:17:42.000Z"}
     assert rows["ERR"]["status"]["error_code"] != 0 and "data" not in rows["ERR"]

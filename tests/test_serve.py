@@ -79,15 +79,13 @@ def test_sql_panel_prunes_stored_table_partitions(spark):
 
 def test_symbol_table_broadcast_only_within_bound(spark):
     df = spark.createDataFrame([("BTC", 1.0), ("XYZ", 2.0), ("DOGE", 3.0)], "from string, rate double")
-    syms = spark.createDataFrame([("BTC",), ("DOGE",)], "symbol string")
+    syms = spark.createDataFrame([("BTC",), ("DOGE",), ("BTC",)], "symbol string")
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our explicit hint may broadcast
-    try:
-        small = symbols_in_table(df, syms)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        big = symbols_in_table(df, syms, max_broadcast_rows=1)  # over the bound: shuffled join
-        plan = big._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-        assert sorted(r["from"] for r in big.collect()) == ["BTC", "DOGE"]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    for bound, join in (("10m", "BroadcastHashJoin"), ("1b", "SortMergeJoin"), ("-1", "SortMergeJoin")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        try:
+            found = symbols_in_table(df, syms)
+            assert sorted(r["from"] for r in found.collect()) == ["BTC", "DOGE"]
+            assert join in found._jdf.queryExecution().executedPlan().toString(), bound
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

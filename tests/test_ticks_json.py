@@ -8,7 +8,7 @@ from ticksmith.operators.quality import reason_counts, split
 
 from conftest import ts
 
-GOOD = '{"from":"BTC","to":"EUR","timestamp":"2025-06-04T12:34:56.000Z","rate":60000.12}'
+GOOD = '{"from":"BTC","to":"EUR","timestamp":"2023-03-08T09:17:42.000Z","rate":41235.75}'
 
 
 def tagged(spark, values):
@@ -18,8 +18,8 @@ def tagged(spark, values):
 
 def test_good_message(spark):
     r = tagged(spark, [GOOD])[GOOD]
-    assert (r["from"], r["to"], r["rate"], r["_reason"]) == ("BTC", "EUR", 60000.12, None)
-    assert r["timestamp"] == ts("2025-06-04 12:34:56")
+    assert (r["from"], r["to"], r["rate"], r["_reason"]) == ("BTC", "EUR", 41235.75, None)
+    assert r["timestamp"] == ts("2023-03-08 09:17:42")
 
 
 @pytest.mark.parametrize(
@@ -29,9 +29,9 @@ def test_good_message(spark):
         ("[]", TJ.R_NOT_OBJECT),
         ('{"from":"BTC","to":"EUR","timestamp":"nope","rate":1.0}', TJ.R_NO_TIME),
         ('{"from":"BTC","to":"EUR","rate":1.0}', TJ.R_NO_TIME),
-        ('{"from":"BTC","to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":"2.5"}', TJ.R_NO_RATE),
-        ('{"from":"BTC","to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":null}', TJ.R_NO_RATE),
-        ('{"to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":1.0}', TJ.R_NO_SYMBOL),
+        ('{"from":"BTC","to":"EUR","timestamp":"2023-03-08T09:17:42Z","rate":"2.5"}', TJ.R_NO_RATE),
+        ('{"from":"BTC","to":"EUR","timestamp":"2023-03-08T09:17:42Z","rate":null}', TJ.R_NO_RATE),
+        ('{"to":"EUR","timestamp":"2023-03-08T09:17:42Z","rate":1.0}', TJ.R_NO_SYMBOL),
     ],
 )
 def test_bad_messages_get_a_reason(spark, value, reason):
@@ -45,17 +45,17 @@ def test_null_message(spark):
 
 def test_lenient_values(spark):
     vals = [
-        '{"from":"A","to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":1}',
-        '{"from":"B","to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":1e3}',
-        '{"from":"C","to":"EUR","timestamp":"2025-06-04T14:34:56.123456+02:00","rate":1.5}',
-        '{"from":"D","to":"EUR","timestamp":"2025-06-04T12:34:56Z","rate":1.5,"extra":true}',
-        '{"from":"E","to":"EUR","timestamp":1749040496,"rate":2.0}',
+        '{"from":"A","to":"EUR","timestamp":"2023-03-08T09:17:42Z","rate":1}',
+        '{"from":"B","to":"EUR","timestamp":"2023-03-08T09:17:42Z","rate":1e3}',
+        '{"from":"C","to":"EUR","timestamp":"2023-03-08T11:17:42.123456+02:00","rate":1.5}',
+        '{"from":"D","to":"EUR","timestamp":"2023-03-08T09:17:42Z","rate":1.5,"extra":true}',
+        '{"from":"E","to":"EUR","timestamp":1678267062,"rate":2.0}',
     ]
     out = {r["from"]: r for r in tagged(spark, vals).values()}
     assert out["A"]["rate"] == 1.0 and out["B"]["rate"] == 1000.0
-    assert out["C"]["timestamp"] == ts("2025-06-04 12:34:56.123456")
+    assert out["C"]["timestamp"] == ts("2023-03-08 09:17:42.123456")
     assert out["D"]["_reason"] is None
-    assert out["E"]["timestamp"] == ts("2025-06-04 12:34:56")  # integer = epoch seconds
+    assert out["E"]["timestamp"] == ts("2023-03-08 09:17:42")  # integer = epoch seconds
 
 
 def test_binary_value_and_split(spark):
@@ -68,11 +68,11 @@ def test_binary_value_and_split(spark):
 
 def test_tick_json_shape(spark):
     df = spark.createDataFrame(
-        [("BTC", "EUR", ts("2025-06-04 12:34:56.789123"), 60000.12)],
+        [("BTC", "EUR", ts("2023-03-08 09:17:42.789123"), 41235.75)],
         "from string, to string, timestamp timestamp, rate double",
     )
     text = df.select(TJ.tick_json().alias("v")).first().v
-    assert text == '{"from":"BTC","to":"EUR","timestamp":"2025-06-04T12:34:56.789Z","rate":60000.12}'
+    assert text == '{"from":"BTC","to":"EUR","timestamp":"2023-03-08T09:17:42.789Z","rate":41235.75}'
     assert list(json.loads(text)) == ["from", "to", "timestamp", "rate"]
 
 

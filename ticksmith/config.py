@@ -18,8 +18,7 @@ TARGET_CURRENCY = "EUR"
 KEY_SEPARATOR = "_"
 # The only escaping applied to a symbol before it goes into a request URL.
 URL_SPACE = (" ", "%20")
-# Dashboard defaults: coin variable and relative time range.
-DEFAULT_COIN = "DOGE"
+# Dashboard default: relative time range.
 DEFAULT_LOOKBACK = "3 hours"
 # Sink column limit: from_currency / to_currency are varchar(10).
 CURRENCY_MAX_LEN = 10

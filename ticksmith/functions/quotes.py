@@ -3,8 +3,8 @@
 A response document looks like::
 
     {"status": {"error_code": 0, "error_message": null},
-     "data": {"BTC": [ {"quote": {"EUR": {"price": 60000.12,
-                                           "last_updated": "2025-06-04T12:34:56.000Z"}}} ]}}
+     "data": {"BTC": [ {"quote": {"EUR": {"price": 41235.75,
+                                           "last_updated": "2023-03-08T09:17:42.000Z"}}} ]}}
 
 With the requested symbol and currency known (one request per row), the quote
 is looked up by key; only the first element of the symbol's array counts.
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.functions.ticks_json import fenced
+from ticksmith.functions.ticks_json import fenced, is_blank, is_number
 from ticksmith.schema import RAW_RESPONSE
 
 R_EMPTY = "empty response"
@@ -48,14 +48,14 @@ def _status_reason(r: Column) -> Column:
     return F.when(r.isNull() | (r["status"].isNull() & r["data"].isNull()), F.lit(R_FORMAT)).when(
         r["status"].isNull(), F.lit(R_FORMAT)
     ).when(
-        ~r["status"]["error_code"].eqNullSafe(F.lit(0)),
+        ~r["status"]["error_code"].try_cast("double").eqNullSafe(F.lit(0.0)),
         F.concat(F.lit(R_API), F.coalesce(r["status"]["error_message"], F.lit(""))),
     )
 
 
 def _quote_reason(price: Column, updated: Column, ts: Column) -> Column:
     return (
-        F.when(price.isNull(), F.lit(R_NO_PRICE))
+        F.when(~is_number(price), F.lit(R_NO_PRICE))
         .when(updated.isNull(), F.lit(R_NO_UPDATED))
         .when(ts.isNull(), F.lit(R_BAD_UPDATED))
     )
@@ -88,7 +88,7 @@ def flatten_requested(
     ts = to_instant(updated)
     reason = (
         F.when(F.col("_body").isNull(), F.lit(R_EMPTY))
-        .when(sym.isNull() | cur.isNull(), F.lit(R_NO_REQUEST))
+        .when(is_blank(sym) | is_blank(cur), F.lit(R_NO_REQUEST))
         .otherwise(_status_reason(r))
     )
     reason = F.coalesce(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ticksmith.schema import TICK
 
 # Message timestamps are written as ISO-8601 with milliseconds and a zone,
-# e.g. 2025-06-04T12:34:56.000Z.
+# e.g. 2023-03-08T09:17:42.000Z.
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 JSON_OPTIONS = {"timestampFormat": JSON_TS_FORMAT, "timeZone": "UTC"}
 
@@ -28,6 +28,16 @@ R_NO_TIME = "missing or unparseable timestamp"
 R_NO_RATE = "missing or non-numeric rate"
 
 
+def is_number(value: Column) -> Column:
+    """Whether a double is a finite number (JSON readers take a bare ``NaN`` or ``Infinity`` too)."""
+    return F.coalesce(F.abs(value) < F.lit(float("inf")), F.lit(False))
+
+
+def is_blank(name: Column) -> Column:
+    """Whether a symbol or currency is missing or empty."""
+    return F.coalesce(F.trim(name) == "", F.lit(True))
+
+
 def as_text(col: str | Column) -> Column:
     """Binary (or any) message value as a string: ``CAST(value AS STRING)``."""
     c = F.col(col) if isinstance(col, str) else col
@@ -93,9 +103,9 @@ def tag_ticks(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = (
             ),
             F.lit(R_NOT_OBJECT),
         )
-        .when(t["from"].isNull() | t["to"].isNull(), F.lit(R_NO_SYMBOL))
+        .when(is_blank(t["from"]) | is_blank(t["to"]), F.lit(R_NO_SYMBOL))
         .when(t["timestamp"].isNull(), F.lit(R_NO_TIME))
-        .when(t["rate"].isNull(), F.lit(R_NO_RATE))
+        .when(~is_number(t["rate"]), F.lit(R_NO_RATE))
     )
     return parsed.select(
         *[F.col(c) for c in keep],

@@ -39,15 +39,11 @@ def symbols_in(df: DataFrame, symbols: Iterable[str], col: str = "from") -> Data
     return df.where(F.col(col).isin(list(symbols)))
 
 
-def symbols_in_table(df: DataFrame, symbols: DataFrame, col: str = "from", symbol_col: str = "symbol",
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def symbols_in_table(df: DataFrame, symbols: DataFrame, col: str = "from", symbol_col: str = "symbol") -> DataFrame:
     """Membership against a symbol table (left semi join).
 
-    The symbol list is broadcast only when its row count is checked to be
-    bounded; otherwise both sides shuffle on the symbol (sort-merge semi join).
+    Nothing is counted beforehand: Spark broadcasts the symbols if they turn out to be smaller than
+    ``spark.sql.autoBroadcastJoinThreshold``, else both sides shuffle on the symbol and a
+    hot symbol's rows are split (AQE).
     """
-    keys = symbols.select(F.col(symbol_col).alias(col)).distinct()
-    n = keys.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
-        keys = F.broadcast(keys)
-    return df.join(keys, on=col, how="left_semi")
+    return df.join(symbols.select(F.col(symbol_col).alias(col)).distinct(), on=col, how="left_semi")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticksmith.functions.ticks_json import is_blank, is_number
+
 TICK_COLUMNS = ("from", "to", "timestamp", "rate")
 
 
@@ -43,9 +45,9 @@ def tag_ticks_table(ticks: DataFrame) -> DataFrame:
     """Tag an already-typed tick relation (``from, to, timestamp, rate``):
     ``_reason`` names a missing field, ``_raw`` keeps the row as JSON."""
     reason = (
-        F.when(F.col("from").isNull() | F.col("to").isNull(), F.lit("missing from/to"))
+        F.when(is_blank(F.col("from")) | is_blank(F.col("to")), F.lit("missing from/to"))
         .when(F.col("timestamp").isNull(), F.lit("missing timestamp"))
-        .when(F.col("rate").isNull(), F.lit("missing rate"))
+        .when(~is_number(F.col("rate")), F.lit("missing rate"))
     )
     return ticks.select(
         *TICK_COLUMNS,

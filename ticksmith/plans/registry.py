@@ -628,16 +628,19 @@ def kafka_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_type AS symbol, 'EUR' AS currency, event_type || '_EUR' AS key,
        printf('https://quotes.invalid/v2/quotes/latest?symbol=%s&convert=%s',
               replace(event_type, ' ', '%20'), 'EUR') AS url
-FROM (SELECT DISTINCT event_type FROM events)
+FROM (SELECT DISTINCT event_type FROM events UNION ALL SELECT DISTINCT 'new ' || event_type || ' x y' FROM events)
 """.strip(),
 )
 def request_grid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every distinct symbol x target currency, with message key and request URL."""
+    """Every distinct symbol, and one with spaces beside it, x target currency, with message key and request URL."""
+    from pyspark.sql import functions as F
+
     from ticksmith.sources.events import read_table
     from ticksmith.sources.grid import request_grid
 
     symbols = read_table(spark, sf_dir, "events").select("event_type").distinct()
-    return request_grid(symbols, symbol_col="event_type")
+    spaced = symbols.select(F.concat(F.lit("new "), F.col("event_type"), F.lit(" x y")).alias("event_type"))
+    return request_grid(symbols.unionByName(spaced), symbol_col="event_type")
 
 
 @register(
@@ -673,6 +676,135 @@ def quote_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reason_counts(bad)
 
 
+# Responses as text, of every kind that a service may send, by the payload field k of the event.
+_K = "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)"
+_REASONS_SQL = f"""
+WITH kinds AS (
+  SELECT event_type AS sym, value, CASE {_K}
+    WHEN 1 THEN 'data.' || event_type || ' not found' WHEN 2 THEN 'quote.EUR not found' WHEN 3 THEN 'data.' || event_type || ' is empty'
+    WHEN 4 THEN 'price missing or not a number' WHEN 5 THEN 'price missing or not a number' WHEN 6 THEN 'price missing or not a number'
+    WHEN 7 THEN 'last_updated missing' WHEN 8 THEN 'last_updated is not a timestamp' WHEN 9 THEN 'API error: no "plan" for {{this}}'
+    WHEN 10 THEN 'API error: ' WHEN 12 THEN 'API error: unknown response format' WHEN 13 THEN 'API error: unknown response format'
+    WHEN 14 THEN 'empty response' WHEN 15 THEN 'API error: ' WHEN 16 THEN 'requested symbol or currency unknown' ELSE 'good' END AS reason,
+    {_K} AS k
+  FROM events
+)
+SELECT CASE WHEN k = 16 THEN '' ELSE sym END AS "from", reason, count(*) AS n,
+       max(CASE WHEN reason = 'good' THEN value ELSE -1 END) AS highest
+FROM kinds GROUP BY ALL"""
+
+
+def _odd_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``symbol, currency, body, k`` for each event, the document written here as text."""
+    from pyspark.sql import functions as F
+
+    rows = _ticks(spark, sf_dir, keep=("props",))
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    sym, price = F.col("from"), F.col("rate").cast("string")
+    at = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    ok = '{"status": {"error_code": 0, "error_message": null}, "data": {"%s": [%s]}}'
+    quote = '{"quote": {"%s": {"price": %s, "last_updated": %s}}}'
+
+    def doc(symbol, entries):
+        return F.format_string(ok, symbol, entries)
+
+    def entry(p, updated, currency="EUR"):
+        return F.format_string(quote, F.lit(currency), p, updated)
+
+    stamp = F.concat(F.lit('"'), at, F.lit('"'))
+    good = doc(sym, entry(price, stamp))
+    bodies = {
+        0: F.replace(good, F.lit('"error_code": 0'), F.lit('"error_code": "0"')),
+        1: doc(F.lit("OTHER"), entry(price, stamp)),
+        2: doc(sym, entry(price, stamp, "XYZ")),
+        3: doc(sym, F.lit("")),
+        4: doc(sym, entry(F.lit("null"), stamp)),
+        5: doc(sym, entry(F.concat(F.lit('"'), price, F.lit('"')), stamp)),
+        6: doc(sym, entry(F.lit("NaN"), stamp)),
+        7: doc(sym, entry(price, F.lit("null"))),
+        8: doc(sym, entry(price, F.lit('"soon"'))),
+        9: F.lit('{"status": {"error_code": 400, "error_message": "no \\"plan\\" for {this}"}}'),
+        10: F.lit('{"status": {"error_code": 500}}'),
+        11: doc(sym, F.concat(entry(price, stamp), F.lit(", "), entry(F.lit("1e9"), stamp))),  # the second does not count
+        12: F.lit("502 Bad Gateway"),
+        13: F.regexp_replace(good, '"status": [{][^}]*[}], ', ""),
+        14: F.lit(None).cast("string"),
+        15: F.lit('{"status": {"error_code": "7", "error_message": null}, "data": null}'),
+    }
+    body = good
+    for n, text in bodies.items():
+        body = F.when(k == n, text).otherwise(body)
+    return rows.select(F.when(k == 16, F.lit("")).otherwise(sym).alias("symbol"), F.col("to").alias("currency"), body.alias("body"), k.alias("k"))
+
+
+@register("quote_reasons", _REASONS_SQL)
+def quote_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many responses of each symbol were taken or set aside, for which reason, and the highest price taken."""
+    from ticksmith.functions.quotes import flatten_requested
+
+    return _by_reason(flatten_requested(_odd_responses(spark, sf_dir)))
+
+
+def _by_reason(tagged: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    reason = F.coalesce("_reason", F.lit("good"))
+    return tagged.groupBy(F.coalesce("from", F.lit("")).alias("from"), reason.alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("_reason").isNull(), F.col("rate")).otherwise(-1.0)).alias("highest"))
+
+
+@register("publish_to_files", f"""
+SELECT event_type || '_EUR' AS key,
+       '{{"from":"' || event_type || '","to":"EUR","timestamp":"'
+         || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","rate":' || CAST(value AS VARCHAR) || '}}' AS value
+FROM events WHERE {_K} NOT IN (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 13, 14, 15)
+UNION ALL
+SELECT 'OTHER_EUR', '{{"from":"OTHER","to":"EUR","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","rate":' || CAST(value AS VARCHAR) || '}}'
+FROM events WHERE {_K} = 1
+UNION ALL
+SELECT event_type || '_XYZ', '{{"from":"' || event_type || '","to":"XYZ","timestamp":"'
+         || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","rate":' || CAST(value AS VARCHAR) || '}}'
+FROM events WHERE {_K} = 2""")
+def publish_to_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The producer as a streaming job: responses landed as JSON lines -> keyed messages in files."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.session import shared_path
+    from ticksmith.sources.responses import read_landed
+    from ticksmith.streaming.jobs import start_publish_job
+
+    run = shared_path(spark, "app", "publish")
+    landing = _land_text(_odd_responses(spark, sf_dir).select(F.coalesce("body", F.lit("")).alias("body")), f"{run}/landing")
+    q = start_publish_job(read_landed(spark, landing, streaming=True, one_document_per_file=False), {"path": f"{run}/messages"},
+                          f"{run}/checkpoint", fmt="json", trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.schema("key string, value string").json(f"{run}/messages")
+
+
+@register("responses_multi", f"""
+WITH kinds AS (
+  SELECT CASE WHEN {_K} = 1 THEN 'OTHER' WHEN {_K} IN (9, 10, 12, 13, 15) THEN '' ELSE event_type END AS "from", value, CASE {_K}
+    WHEN 3 THEN 'data.' || event_type || ' is empty' WHEN 4 THEN 'price missing or not a number' WHEN 5 THEN 'price missing or not a number'
+    WHEN 6 THEN 'price missing or not a number' WHEN 7 THEN 'last_updated missing' WHEN 8 THEN 'last_updated is not a timestamp'
+    WHEN 9 THEN 'API error: no "plan" for {{this}}' WHEN 10 THEN 'API error: ' WHEN 12 THEN 'API error: unknown response format'
+    WHEN 13 THEN 'API error: unknown response format' WHEN 15 THEN 'API error: ' ELSE 'good' END AS reason
+  FROM events WHERE {_K} <> 14
+)
+SELECT "from", reason, count(*) AS n, max(CASE WHEN reason = 'good' THEN value ELSE -1 END) AS highest FROM kinds GROUP BY ALL""")
+def responses_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of hundreds of responses, one after another on one line, each its own row again; counts by symbol and reason."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions.quotes import flatten_all
+    from ticksmith.session import shared_path
+    from ticksmith.sources.responses import read_landed
+
+    path = shared_path(spark, "app", "multi")
+    body = F.when(F.col("k") == 12, F.lit('["502 Bad Gateway"]')).otherwise(F.col("body")).alias("body")
+    _odd_responses(spark, sf_dir).select(body).where("body IS NOT NULL").write.option("lineSep", " ").option("maxRecordsPerFile", 400).text(path)
+    return _by_reason(flatten_all(read_landed(spark, path).select("body")))
+
+
 # --------------------------------------------------------------------------
 # Read side: dashboard panels over windowed tables
 # --------------------------------------------------------------------------

@@ -43,7 +43,7 @@ RAW_RESPONSE = T.StructType(
             "status",
             T.StructType(
                 [
-                    T.StructField("error_code", T.IntegerType()),
+                    T.StructField("error_code", T.StringType()),  # a number, or a number as text
                     T.StructField("error_message", T.StringType()),
                 ]
             ),

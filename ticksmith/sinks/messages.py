@@ -29,16 +29,14 @@ def kafka_sink_options(bootstrap_servers: str, topic: str, **extra: str) -> dict
     return opts
 
 
-def write_messages(frame: DataFrame, options: dict[str, str]) -> None:
-    """Publish a batch frame to Kafka."""
-    frame.write.format("kafka").options(**options).save()
-
-
-def stream_messages(frame: DataFrame, options: dict[str, str], checkpoint: str):
-    """Publish a streaming frame to Kafka; returns the running query."""
-    return (
-        frame.writeStream.format("kafka")
-        .options(**options)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+def write_messages(frame: DataFrame, options: dict[str, str], fmt: str = "kafka") -> None:
+    """Publish a batch frame to Kafka, or to files of another format (``path`` among the options)."""
+    frame.write.format(fmt).options(**options).save()
+
+
+def stream_messages(frame: DataFrame, options: dict[str, str], checkpoint: str, fmt: str = "kafka", trigger: dict | None = None):
+    """Publish a streaming frame to Kafka, or through Spark's file sink (whole batches, each once); returns the running query."""
+    w = frame.writeStream.outputMode("append").format(fmt).options(**options).option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()

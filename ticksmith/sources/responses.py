@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticksmith.functions.documents import documents
 from ticksmith.functions.ticks_json import JSON_TS_FORMAT
 
 API_ERROR_CODE = 1001
@@ -33,11 +34,12 @@ def read_landed(
     one_document_per_file: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """``symbol, currency, body, source_file`` for every landed response.
+    """``symbol, currency, body, source_file, document`` for every landed response.
 
     ``one_document_per_file`` reads each file whole (``wholetext``) and takes
-    the request from the file name; otherwise every line is one document
-    (JSON lines) and the output is ``body, source_file``.
+    the request from the file name; a file with more documents than one gives a row for each (``document``
+    counts them from 0, see :func:`~ticksmith.functions.documents.split_documents`).  Otherwise every line
+    is one document (JSON lines) and the output is ``body, source_file``.
     """
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("text").option("wholetext", str(one_document_per_file).lower())
@@ -48,13 +50,15 @@ def read_landed(
     if not one_document_per_file:
         # JSON lines carry no request; every quote in a document is used.
         return df.select(F.col("value").alias("body"), name.alias("source_file"))
-    sym = F.regexp_extract(name, _NAME_RE, 1)
-    cur = F.regexp_extract(name, _NAME_RE, 2)
-    return df.select(
+    sym = F.regexp_extract("source_file", _NAME_RE, 1)
+    cur = F.regexp_extract("source_file", _NAME_RE, 2)
+    df = df.select(documents(F.col("value")).alias("_documents"), name.alias("source_file"))
+    return df.select("source_file", F.posexplode("_documents").alias("document", "body")).select(
         F.when(sym != "", sym).alias("symbol"),
         F.when(cur != "", cur).alias("currency"),
-        F.col("value").alias("body"),
-        name.alias("source_file"),
+        "body",
+        "source_file",
+        "document",
     )
 
 

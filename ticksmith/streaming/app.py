@@ -46,8 +46,12 @@ def parse_args(argv=None):
     p.add_argument("--trigger", help="processing-time trigger such as '30 seconds'; default back to back")
     p.add_argument("--available-now", action="store_true", help="work off available input, then stop")
     p.add_argument("--dedup", action="store_true", help="drop repeated ticks within the watermark")
+    p.add_argument("--json-lines", action="store_true", help="response files: a document on each line, without a request in the file name")
     p.add_argument("--parse-once", action="store_true",
                    help="one query reads and parses the source, the window jobs read what it commits")
+    p.add_argument("--max-seconds", type=float, help="stop after so many seconds, when what has come is worked off")
+    p.add_argument("--drain-seconds", type=float, default=30.0, help="how long jobs may work off what has come before they are stopped")
+    p.add_argument("--restarts", type=int, help="start a failed job again from its checkpoint, so often at most")
     p.add_argument("--state-partitions", type=int, help="state store partitions (fixed at first start)")
     return p.parse_args(argv)
 
@@ -88,7 +92,8 @@ def main(argv=None) -> int:
         from ticksmith.sources.responses import read_landed
 
         group = start_response_jobs(
-            read_landed(spark, args.path, streaming=True, max_files_per_trigger=args.max_files_per_trigger),
+            read_landed(spark, args.path, streaming=True, one_document_per_file=not args.json_lines,
+                        max_files_per_trigger=args.max_files_per_trigger),
             DEFAULT_JOBS, args.tables, ckpt,
             trigger=trigger, dedup=args.dedup, parse_once=args.parse_once,
         )
@@ -105,6 +110,10 @@ def main(argv=None) -> int:
     except ValueError:  # not the main thread: the caller owns signal handling
         pass
     try:
+        if args.max_seconds is not None or args.restarts is not None:
+            reports = group.supervise(args.max_seconds, args.restarts or 0, args.drain_seconds)
+            print(json.dumps({"jobs": {name: vars(r) for name, r in reports.items()}, "dropped_late_rows": group.dropped_late_rows()}))
+            return int(any(r.state in ("failed", "late") for r in reports.values()))
         if args.available_now:
             group.await_all()
             print(json.dumps({"dropped_late_rows": group.dropped_late_rows()}))

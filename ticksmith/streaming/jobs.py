@@ -26,9 +26,10 @@ heap.
 
 from __future__ import annotations
 
+import functools
 import json
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,6 +119,19 @@ def start_window_query(
     return w.start()
 
 
+@dataclass
+class JobReport:
+    """How a supervised job came out: ``ended``, ``failed``, ``stopped`` (it had nothing left to do) or ``late`` (it had)."""
+
+    state: str = "running"
+    restarts: int = 0
+    error: str | None = None
+
+
+def _busy(query: StreamingQuery) -> bool:
+    return query.isActive and (query.status["isDataAvailable"] or query.status["isTriggerActive"])
+
+
 @dataclass
 class JobGroup:
     """Several streaming queries started together (fan-out from one source)."""
@@ -125,9 +139,12 @@ class JobGroup:
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     tables: dict = field(default_factory=dict)
     log: ProgressLog | None = None
+    starters: dict[str, Callable[[], StreamingQuery]] = field(default_factory=dict)
 
-    def add(self, name: str, query: StreamingQuery) -> None:
-        self.queries[name] = query
+    def add(self, name: str, start: Callable[[], StreamingQuery]) -> None:
+        """Start a query, and keep how: it can be started again from its checkpoint."""
+        self.starters[name] = start
+        query = self.queries[name] = start()
         if self.log is not None:
             self.log.watch(name, query)
 
@@ -181,6 +198,53 @@ class JobGroup:
                 return None
             time.sleep(poll)
 
+    def supervise(
+        self, seconds: float | None = None, restarts: int = 0, drain: float = 30.0, poll: float = 0.2,
+    ) -> dict[str, JobReport]:
+        """Watch the jobs until all have ended, one has failed for good or the time is up; then drain and stop the rest.
+
+        A job that fails starts again from its checkpoint, ``restarts`` times at most.  Draining gives the jobs
+        that still run up to ``drain`` seconds to work off what has come.
+        """
+        reports = {name: JobReport() for name in self.queries}
+        deadline = None if seconds is None else time.monotonic() + seconds
+
+        def look(name: str, may_restart: bool) -> None:
+            query, report = self.queries[name], reports[name]
+            if report.state != "running" or query.isActive:
+                return
+            error = query.exception()
+            if error is None:
+                report.state = "ended"
+                return
+            report.error = str(error)
+            if may_restart and report.restarts < restarts:
+                report.restarts += 1
+                if self.log is not None:
+                    self.log.catch_up(query)
+                self.add(name, self.starters[name])
+            else:
+                report.state = "failed"
+
+        while True:
+            for name in reports:
+                look(name, True)
+            states = [r.state for r in reports.values()]
+            if "running" not in states or "failed" in states or (deadline is not None and time.monotonic() >= deadline):
+                break
+            time.sleep(poll)
+        limit = time.monotonic() + drain
+        for name, report in reports.items():
+            query = self.queries[name]
+            while report.state == "running" and _busy(query) and time.monotonic() < limit:
+                time.sleep(poll)
+            look(name, False)
+            if report.state == "running":
+                report.state = "late" if _busy(query) else "stopped"
+                query.stop()
+        self._ended()
+        return reports
+
     def stop_all(self) -> None:
         for q in self.queries.values():
             if q.isActive:
@@ -218,7 +282,8 @@ def start_window_jobs(
     root = checkpoint_root.rstrip("/")
     group = group or JobGroup(log=ProgressLog(ticks.sparkSession, f"{root}/progress"))
     for spec in specs:
-        group.add(spec.name, start_window_query(
+        group.add(spec.name, functools.partial(
+            start_window_query,
             ticks,
             spec,
             sinks[spec.name],
@@ -329,7 +394,8 @@ def start_tagged_jobs(
     group = JobGroup(log=ProgressLog(tagged.sparkSession, f"{checkpoint_root.rstrip('/')}/progress"))
     if parse_once:
         parsed, quarantine = f"{root}/parsed", False
-        group.add("parse", start_parse_query(tagged, parsed, f"{checkpoint_root.rstrip('/')}/parse", trigger, raw_col))
+        group.add("parse", functools.partial(
+            start_parse_query, tagged, parsed, f"{checkpoint_root.rstrip('/')}/parse", trigger, raw_col))
         if trigger and trigger.get("availableNow"):
             group.await_all()  # the others work off what it has committed
         good = parsed_ticks(tagged.sparkSession, parsed)
@@ -341,7 +407,8 @@ def start_tagged_jobs(
         good, specs, sinks, checkpoint_root, trigger=trigger, dedup=dedup, rejects_root=f"{root}/rejects", group=group
     )
     if quarantine:
-        group.add("quarantine", start_quarantine_query(
+        group.add("quarantine", functools.partial(
+            start_quarantine_query,
             tagged,
             QuarantineTable(f"{root}/quarantine"),
             f"{checkpoint_root.rstrip('/')}/quarantine",
@@ -375,3 +442,17 @@ def start_response_jobs(responses: DataFrame, specs: Iterable[WindowSpec], table
     else:
         tagged = flatten_all(body, keep=("_raw",))
     return start_tagged_jobs(tagged, specs, table_root, checkpoint_root, **kw)
+
+
+def start_publish_job(responses: DataFrame, options: dict[str, str], checkpoint: str, fmt: str = "kafka", trigger: dict | None = None) -> StreamingQuery:
+    """The producer as a job: landed responses -> status check and quote -> keyed messages, to a topic or (``fmt="json"``) to files.
+
+    The quote's own time goes into the message as it stands; responses that are set aside give no message.
+    """
+    from ticksmith.functions.quotes import flatten_all, flatten_requested
+    from ticksmith.operators.quality import split
+    from ticksmith.sinks.messages import message_frame, stream_messages
+
+    flat = flatten_requested(responses) if {"symbol", "currency"} <= set(responses.columns) else flatten_all(responses)
+    good, _ = split(flat, good_columns=("from", "to", "timestamp_text", "rate"))
+    return stream_messages(message_frame(good, ts_col="timestamp_text"), options, checkpoint, fmt, trigger)
