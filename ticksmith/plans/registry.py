@@ -128,23 +128,25 @@ STREAM_WIDTHS = {
 }
 
 
+STREAM_BATCHES = 3
+
+
 def run_stream_job(spark: SparkSession, sf_dir: str, width: str, aggs: dict, tag: str, dedup: bool = False) -> str:
-    """Run one window job over the events files to completion; return the table path."""
+    """Run one window job over the ticks, landed in the order of time for STREAM_BATCHES batches; return the table path."""
     from ticksmith.config import WindowSpec
     from ticksmith.session import shared_path
     from ticksmith.sinks.keyed import KeyedTable
-    from ticksmith.sources.events import stream_ticks
-    from ticksmith.streaming.jobs import start_window_query
+    from ticksmith.streaming.jobs import start_window_jobs
+    from ticksmith.streaming.replay import land_in_order, ordered_stream
 
     run = shared_path(spark, "stream", tag)
     spec = WindowSpec(tag, width, width, dict(aggs))
     sink = KeyedTable(f"{run}/table", by_batch=True)
-    q = start_window_query(
-        stream_ticks(spark, sf_dir), spec, sink, f"{run}/checkpoint", trigger={"availableNow": True}, dedup=dedup
-    )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"stream job {tag} failed: {q.exception()}")
+    ticks, files = _ticks(spark, sf_dir), max(2, spark.sparkContext.defaultParallelism)
+    land_in_order(ticks, f"{run}/landed", "timestamp", STREAM_BATCHES * files)
+    stream = ordered_stream(spark, f"{run}/landed", ticks.schema, files)
+    group = start_window_jobs(stream, [spec], {tag: sink}, f"{run}/checkpoint", trigger={"availableNow": True}, dedup=dedup)
+    _run_group(group)
     return sink.path
 
 
@@ -905,6 +907,35 @@ def coin_list_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coin_list(tumbling(_ticks(spark, sf_dir), "1 minute", PRICE))
 
 
+@register(
+    "panel_order_5m",
+    "SELECT currency, high, low, time, row_number() OVER (ORDER BY time, currency) - 1 AS position FROM ("
+    f"SELECT from_currency AS currency, high_rate AS high, low_rate AS low, window_start AS time FROM ({duck_tumbling_sql('5 minutes', HLA)}) w)",
+)
+def panel_order_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The high/low rows of all coins, each with its place in the order of time and currency."""
+    from pyspark.sql import functions as F
+
+    from ticksmith.operators.ordering import positioned
+    from ticksmith.operators.tumbling import tumbling
+
+    rows = tumbling(_ticks(spark, sf_dir), "5 minutes", HLA).select(
+        F.col("from_currency").alias("currency"), F.col("high_rate").alias("high"), F.col("low_rate").alias("low"), F.col("window_start").alias("time"))
+    return positioned(rows, ["time", "currency"])
+
+
+@register(
+    "coin_list_order",
+    "SELECT from_currency, row_number() OVER (ORDER BY from_currency) - 1 AS position FROM ("
+    "SELECT DISTINCT event_type AS from_currency FROM events WHERE ts IS NOT NULL AND value IS NOT NULL)",
+)
+def coin_list_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard's coins, each with its place in the list."""
+    from ticksmith.operators.ordering import positioned
+
+    return positioned(coin_list_query(spark, sf_dir), ["from_currency"])
+
+
 # --------------------------------------------------------------------------
 # Sinks: contract, idempotent keyed append, stored-table scans, TSV load
 # --------------------------------------------------------------------------

@@ -157,6 +157,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def set_times(spark: SparkSession, paths: list[str], first: int) -> None:
+    """Set the files' modification times (ms since 1970) a second apart, in the order given."""
+    for i, path in enumerate(paths):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(p, first + 1000 * i, -1)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
