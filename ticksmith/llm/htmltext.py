@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,12 +39,17 @@ HOLDERS = frozenset(
 RAW = frozenset("script style noscript template textarea iframe svg select object canvas math title xmp noembed noframes".split())
 FURNITURE = frozenset("nav footer header aside form menu dialog head button label fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words of class, id and role that name furniture.
-_NAMES = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|captcha|comments?|commentlist|complementary|contentinfo|cookies?|consent|disclaimer|disqus|"
-    r"dropdown|footer|footnav|form|gdpr|header|login|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|notification|pager|pagination|"
-    r"popup|promo\w*|recommend\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|sitemap|social|sponsor\w*|subscri\w*|"
-    r"teasers?|toolbar|topbar|widgets?)(?![a-z])")
+#: Words of class, id and role that name furniture; the second ones whatever share of a page they hold.
+_LAYOUT = (
+    r"banner|breadcrumbs?|complementary|contentinfo|dropdown|footer|footnav|form|header|masthead|menus?|nav|navbar|navigation|pager|pagination|search|"
+    r"sidebar|sitemap|toolbar|topbar|widgets?")
+_NEVER = (
+    r"ads?|advert\w*|adsense|captcha|comments?|commentlist|cookies?|consent|disclaimer|disqus|gdpr|login|modal|newsletter|notices?|notification|popup|"
+    r"promo\w*|recommend\w*|related|replies|reply|respond|share|sharing|signup|social|sponsor\w*|subscri\w*|teasers?")
+#: Words that say what a page has, and where a part of it stands; they do not name the part.
+_STATES = r"has|no|not|with|without|is|show|hide|enable|enabled|disable|disabled|wp|js"
+_PLACES = r"left|right|top|bottom|main|primary|secondary|area|section|wrapper|wrap|container|box|block|list|inner|outer|item|items|links?|bar|text|\d+"
+_NAME = re.compile(rf"(?!(?:{_STATES})-)(?:[a-z0-9]+-)*?(?:(?P<layout>{_LAYOUT})|(?P<never>{_NEVER}))(?:-(?:{_PLACES}))*")
 _ATTR = re.compile(r"""(?:^|[\s"'])(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _TAG = re.compile(
     r"""<!--(?:.*?--!?>|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*'|["'])*+)(?:>|\Z)""", re.S)
@@ -57,27 +63,50 @@ class Block:
     heading: bool
     inside: bool
     furniture: bool
+    wrapper: int = -1  # the innermost layout wrapper around it
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
+    @property
+    def unlinked(self) -> int:
+        return self.words - self.linked
+
+
+#: What a tag's names say: nothing, the name of a part of the layout, or of what is never main text.
+NONE, LAYOUT, NEVER = 0, 1, 2
 
-def _camel(name: str) -> str:
-    return re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()
 
+def _tokens(attrs: str) -> Iterator[str]:
+    for m in _ATTR.finditer(attrs):
+        for token in "".join(m.groups("")).split():
+            yield re.sub(r"[_:.-]+", "-", re.sub(r"([a-z])([A-Z])", r"\1-\2", token)).strip("-").lower()
 
-def _named_furniture(attrs: str) -> bool:
-    return any(_NAMES.search(_camel("".join(m.groups("")))) for m in _ATTR.finditer(attrs)) if attrs.strip() else False
+
+def _named(attrs: str) -> int:
+    """The most that a whole class token, id or role says: ``has-sidebar`` names no sidebar."""
+    found = NONE
+    for token in _tokens(attrs) if attrs.strip() else ():
+        m = _NAME.fullmatch(token)
+        if m:
+            found = max(found, NEVER if m["never"] else LAYOUT)
+    return found
 
 
 def blocks(page: str) -> list[Block]:
-    """The non-empty blocks of a page, in order."""
+    """The non-empty blocks of a page, in order.
+
+    A wrapper named like a part of the layout (or a form) that holds nearly all unlinked words of the page is
+    none: its mark does not count.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # open holders, and whether they are furniture
+    stack: list[tuple[str, str]] = []  # open holders, and their marks: firm (furniture whatever it holds) or layout
+    count: Counter[str] = Counter()  # of the open holders, and of their marks
+    around: list[int] = []  # of each layout wrapper: the one around it
+    wrapper = -1  # the innermost open one
     parts: list[tuple[str, bool]] = []
-    state = {"furniture": 0, "main": 0, "links": 0}
-    own = heading = button = False
+    links, own, heading, button = 0, False, False, False
 
     def close() -> None:
         if parts:
@@ -86,20 +115,24 @@ def blocks(page: str) -> list[Block]:
             words = whole.split()
             if words:
                 linked = sum(len(html.unescape(p).split()) for p, link in parts if link)
-                out.append(Block(" ".join(words), len(words), min(linked, len(words)), heading, state["main"] > 0, own or state["furniture"] > 0))
+                inside = count["article"] + count["main"] > 0
+                out.append(Block(" ".join(words), len(words), min(linked, len(words)), heading, inside, own or count["firm"] > 0, wrapper))
             parts.clear()
 
     def pop() -> None:
-        tag, furniture = stack.pop()
-        state["furniture"] -= furniture
-        state["main"] -= tag in ("article", "main")
+        nonlocal wrapper
+        tag, mark = stack.pop()
+        count[tag] -= 1
+        count[mark] -= 1
+        if mark == "layout":
+            wrapper = around[wrapper]
 
     at, end = 0, len(page)
     while at < end:
         tag = _TAG.search(page, at)
         stop = tag.start() if tag else end
         if stop > at and not button:
-            parts.append((page[at:stop], state["links"] > 0))
+            parts.append((page[at:stop], links > 0))
         if not tag:
             break
         at = tag.end()
@@ -113,40 +146,61 @@ def blocks(page: str) -> list[Block]:
                 done = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 at = done.end() if done else end
         elif name == "a":
-            state["links"] = 0 if closing else 1
+            links = 0 if closing else 1
         elif name == "button":
             button = not closing
         elif name == "br":
             parts.append((" ", False))
         elif name in BREAKS:
             close()
-            own = heading = False
+            own = heading = button = False  # a button that was left open ends with its block
             if name not in HOLDERS:
                 if not closing:
-                    heading, own = name in HEADINGS, _named_furniture(attrs)
+                    heading = name in HEADINGS
+                    own = not heading and _named(attrs) > NONE  # the id of a heading names its section
             elif closing:
-                if any(t == name for t, _ in stack):
+                if count[name]:
                     while stack[-1][0] != name:
                         pop()
                     pop()
-                    state["links"] = 0
+                    links = 0
             elif not attrs.endswith("/"):
                 if name in ("article", "main"):
-                    while any(t in ("nav", "header", "head") for t, _ in stack):
+                    while count["nav"] + count["header"] + count["head"]:
                         pop()
-                mark = name in FURNITURE and not (name == "header" and state["main"]) or name not in ("html", "body", "main") and _named_furniture(attrs)
+                by_name = _named(attrs) if name not in ("html", "body", "main") else NONE
+                by_tag = name in FURNITURE and not (name == "header" and count["article"] + count["main"])
+                mark = ""
+                if by_name == NEVER or by_tag and name != "form":
+                    mark = "firm"
+                elif by_name or by_tag:
+                    mark = "layout"
+                    around.append(wrapper)
+                    wrapper = len(around) - 1
                 stack.append((name, mark))
-                state["furniture"] += mark
-                state["main"] += name in ("article", "main")
-        elif name in ("label", "legend", "input") and not closing:
+                count[name] += 1
+                count[mark] += 1
+        elif name in ("label", "legend") and not closing:
             own = True
     close()
+    held = [0] * (len(around) + 1)  # the last stands for none
+    for b in out:
+        held[b.wrapper] += b.unlinked
+    total = sum(held)
+    for w in range(len(around) - 1, -1, -1):
+        held[around[w]] += held[w] if around[w] >= 0 else 0
+    for b in out:
+        # a wrapper around holds as much at least: if the innermost one is none, they all are
+        b.furniture = b.furniture or b.wrapper >= 0 and held[b.wrapper] * NEARLY_ALL[1] <= total * NEARLY_ALL[0]
     return out
 
 
+#: A layout wrapper that holds more than this share of a page's unlinked words is none.
+NEARLY_ALL = (3, 4)
+
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "heading", "place", "furniture")
 #: The labelled table: the features of a block and whether it is main text.
-#: place: 1 inside an article or main element, -1 outside on a page that has one, 0 on a page without.
+#: place: 1 inside an article or main element, -1 outside on a page whose text is in one, 0 on a page without.
 LABELLED = [
     # inside an article: paragraphs, short ones, headings, list entries
     ((60, 0.0, 80, 0.0, 70, 0.0, 0, 1, 0), 1), ((1, 0.0, 60, 0.0, 50, 0.0, 0, 1, 0), 1), ((1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 0), 1),
@@ -210,10 +264,12 @@ def decide(tree, features: tuple) -> int:
 
 
 def features(found: list[Block]) -> Iterator[tuple]:
-    any_main = any(b.inside for b in found)
+    within = sum(b.unlinked for b in found if b.inside and not b.furniture)
+    beside = sum(b.unlinked for b in found if not b.inside and not b.furniture)
+    any_main = within > 0 and 2 * within >= beside  # a teaser in an article beside long text is not the page's article
     none = Block("", 0, 0, False, False, False)
     for before, b, after in zip([none, *found], found, [*found[1:], none]):
-        place = 1 if b.inside else -1 if any_main else 0
+        place = (1 if b.inside else -1) if any_main else 0
         yield (b.words, b.density, before.words, before.density, after.words, after.density, int(b.heading), place, int(b.furniture))
 
 
