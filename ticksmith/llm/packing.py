@@ -145,6 +145,7 @@ _WORD_SPLIT = {"type": "Sequence", "pretokenizers": [
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: Letters that no normal form joins or changes when alone, then marks that no contraction begins with.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿА-ЯЁа-яё]+)([.,;:!?]*)")
+_MARKS = re.compile("[.,;:!?]+")
 
 
 class _Levels(dict):
@@ -172,16 +173,23 @@ class _Words(dict):
         super().__init__()
         self.tokenizer, self.limit, self.levels, self.merged = tokenizer, limit, _Levels(), tokenizer.model.tokenize
 
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __missing__(self, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
         if plain:
             letters, marks = plain.groups()
-            ids = [t.id for t in self.merged(letters.lower().translate(self.levels))]
-            if marks:
-                ids += [t.id for t in self.merged(marks)]
+            low = letters.lower()
+            if low != word:  # the same word stands elsewhere without marks and capitals
+                found = self[low] + (self[marks] if marks else b"")
+            else:
+                found = self._packed([t.id for t in self.merged(low.translate(self.levels))])
+        elif _MARKS.fullmatch(word):
+            found = self._packed([t.id for t in self.merged(word)])
         else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = struct.pack(f"<{len(ids)}I", *ids)
+            found = self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         if len(word) <= 64:
             if len(self) >= self.limit:
                 self.clear()
@@ -190,7 +198,7 @@ class _Words(dict):
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(path: str, end: int, memo_words: int = 1 << 19):
+def _encoder(path: str, end: int, memo_words: int = 1 << 20):
     """Texts to id arrays; the file is read, and words are remembered, once per worker.
 
     A vocabulary whose file has the split above drops white space and never joins across it, so a
@@ -214,7 +222,7 @@ def _encoder(path: str, end: int, memo_words: int = 1 << 19):
 
 def pack(
     docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end: int = 2,
-    capacity: int = CAPACITY, pool_tokens: int = 1 << 20, memo_words: int = 1 << 19,
+    capacity: int = CAPACITY, pool_tokens: int = 1 << 20, memo_words: int = 1 << 20,
 ) -> DataFrame:
     """One row per piece: the id column, start, length, ids, doc_tokens, sequence_id and offset.
 
