@@ -17,7 +17,7 @@ def plan_of(spark, name):
 def test_tumbling_is_partial_aggregate_with_one_shuffle(spark, name):
     plan = plan_of(spark, name)
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
-    assert "partial_avg" in plan
+    assert "partial_sum" in plan
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
     assert "Expand" not in plan  # tumbling windows need no Expand
 
