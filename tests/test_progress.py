@@ -53,6 +53,34 @@ def test_small_files_are_replaced_or_kept_whole(spark):
     assert not put_text(spark, path, "three", replace=False) and read_text(spark, path) == "two"
 
 
+def test_reports_of_two_threads_at_once(spark):
+    """The listener and a query that is caught up with write the same batches."""
+    import threading
+    from types import SimpleNamespace
+
+    from ticksmith.streaming.progress import ProgressLog
+
+    log = ProgressLog(spark, shared_path(spark, "test-threads"))
+    log.names["q"] = "job"
+    reports = [SimpleNamespace(id="q", runId="r", batchId=b, timestamp=f"2024-01-01T00:00:{b:02d}", numInputRows=b, stateOperators=[], eventTime=None)
+               for b in range(20)]
+    failed = []
+
+    def write():
+        try:
+            for r in reports:
+                log.put(r)
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+
+    threads = [threading.Thread(target=write) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed and {(r.batch_id, r.input_rows) for r in log.read().collect()} == {(b, b) for b in range(20)}
+
+
 def test_the_time_limit_names_what_still_runs(spark, tmp_dir):
     landing, root = os.path.join(tmp_dir, "landing"), shared_path(spark, "test-limit")
     os.makedirs(landing)

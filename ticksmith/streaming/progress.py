@@ -12,6 +12,7 @@ meet the state, so it counts a window and key of late ticks once a batch, howeve
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ class ProgressLog(StreamingQueryListener):
         self.names: dict[str, str] = {}
         self._written: dict[tuple[str, int], str] = {}
         self._listening = False
+        self._lock = threading.Lock()  # reports come from the listener's thread and from those that catch up
 
     # -- writing -------------------------------------------------------------
     def watch(self, name: str, query: StreamingQuery) -> None:
@@ -51,6 +53,10 @@ class ProgressLog(StreamingQueryListener):
             self._listening = False
 
     def put(self, progress) -> None:
+        with self._lock:
+            self._put(progress)
+
+    def _put(self, progress) -> None:
         query_id, batch_id = str(progress.id), int(progress.batchId)
         name, at = self.names.get(query_id), str(progress.timestamp)
         if name is None or self._written.get((query_id, batch_id), "") >= at:
