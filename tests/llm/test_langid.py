@@ -127,6 +127,30 @@ def test_texts_that_fit_no_language(spark):
         assert m.judge(bad) == [("und", 0.0, None, True)] * len(bad)
 
 
+def test_every_labelled_row_teaches_the_halves(spark):
+    """Models and limits are those of all rows of a half, also where a language has thousands of them."""
+    import random
+
+    rnd = random.Random(6)
+    words = {"en": "the quick brown fox is not in house and dog of to a".split(), "de": "der hund ist nicht im haus und die katze auch".split()}
+    rows = [(2 * i + k, " ".join(rnd.choices(words[lang], k=8)) + f" {lang}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", lang)
+            for i in range(5000) for k, lang in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    halves = docs.select("text", "lang", langid._half("doc_id").alias("half")).collect()
+    for max_contexts in (12000, 40):
+        models = langid.fit_halves(docs, max_contexts=max_contexts)
+        for h, model in enumerate(models):
+            taught = spark.createDataFrame([(r.text, r.lang) for r in halves if r.half != h], "text string, lang string")
+            want = langid.build(langid.gram_counts(taught, "text", "lang").toPandas(), max_contexts)
+            assert model.langs == want.langs and (model.classes == want.classes).all() and (model.contexts == want.contexts).all()
+            assert (model.bits == want.bits).all()
+            judged = [(lang, bits) for lang, _, bits, _ in want.judge([r.text for r in halves if r.half == h])]
+            for lang in words:
+                bits = sorted(b for of, b in judged if of == lang)
+                half, quarter = (bits[math.ceil(len(bits) * q) - 1] for q in (0.5, 0.75))
+                assert model.limits[lang] == pytest.approx(max(2.5 * half, quarter + 8 * (quarter - half)), abs=1e-3)
+
+
 def test_number_signs_are_no_letters(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 30)]
     model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))

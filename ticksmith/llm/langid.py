@@ -8,18 +8,18 @@ statistics frozen, the cost of a byte depends on its context alone, so the whole
 unrolled once into a table (context, byte) -> bits per language and the exact code length of
 a text is a sum over its bytes.  The shortest code names the language.
 
-Fitting: the labelled texts are a sample of about ``docs_per_lang`` documents per language
+Fitting (``fit``): the labelled texts are a sample of about ``docs_per_lang`` documents per language
 (a documented bound; all, where there are fewer), taken by a hash of the document id, whose
 n-gram counts are summed by Spark.  At most ``max_contexts`` contexts of the highest order,
 the most frequent, are kept; the others fall back to the next shorter order, as if never seen
 (that bounds the table at max_contexts x byte classes x languages x 4 bytes).
 Bytes not in the sample share one class.
 
-Whether a text fits a language (``judge``): rows are parted in halves by a hash of the id, and the
-sample of each half teaches a model for the other one, so no text, garble neither, is judged by
-what it taught.  Runs of anything but letters count as one space there: marks, digits and numbers
-tell nothing of a language.  From the bits per byte of the other half's sample under the best language comes
-a limit for each language, the greater of 2.5 medians and the upper quartile plus
+Whether a text fits a language (``judge``): rows are parted in halves by a hash of the id, and all
+labelled rows of each half teach a model for the other one, so no text, garble neither, is judged by
+what it taught.  Spark sums and prunes their n-gram counts; what is left of them is bounded by contexts and bytes.  Runs of anything but letters count as one space there: marks, digits and numbers
+tell nothing of a language.  From the bits per byte of all labelled rows of the other half under the best language
+(in steps of 1/10,000) comes a limit for each language, the greater of 2.5 medians and the upper quartile plus
 8 times its distance from the median.  A text fits if its code is not more than 512 bits longer
 than that limit allows (some 25 to 60 unknown bytes), so a key, a number or a name in a short text is no
 garble.  A language with fewer than 20 such rows has the limit of all rows together; with fewer than 20 in all, nothing is over a limit.
@@ -43,10 +43,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticksmith.llm.common import in_runs
+from ticksmith.session import staged
 
 ORDER = 3
 _LETTER = regex.compile(r"\p{L}")
@@ -89,13 +90,19 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return rows.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def sample(docs: DataFrame, id_col: str, lang_col: str, docs_per_lang: int) -> DataFrame:
-    """About ``docs_per_lang`` rows of each language, all where there are fewer, by a hash of the id."""
-    space = 1 << 20
+def _shares(docs: DataFrame, lang_col: str) -> list:
+    """(language, rows), one row per language label."""
     share = docs.filter(F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect()
-    # one row per language label; more labels than this are not languages
+    # more labels than this are not languages
     if len(share) > 1000:
         raise ValueError(f"{len(share)} different language labels")
+    return share
+
+
+def sample(docs: DataFrame, id_col: str, lang_col: str, docs_per_lang: int) -> DataFrame:
+    """About ``docs_per_lang`` rows of each language, all where there are fewer, by a hash of the id."""
+    space = 1 << 20
+    share = _shares(docs, lang_col)
     limits = F.create_map(*[F.lit(x) for r in share for x in (r[0], min(space, -(-space * docs_per_lang // r[1])))])
     if not share:
         return docs.limit(0)
@@ -175,8 +182,19 @@ def _level(ctx: np.ndarray, row: np.ndarray, x, lang, n, base) -> np.ndarray:
     return np.concatenate(out)
 
 
+def pruned(counts: DataFrame, max_contexts: int) -> DataFrame:
+    """(lang, gram, n) as ``build`` needs them of summed counts: runs of ORDER + 1 bytes whose context it keeps, the
+    others added up without their first byte, which is then written -1."""
+    context = F.shiftright("gram", 8).alias("context")
+    kept = counts.groupBy(context).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "context").limit(max_contexts)
+    marked = counts.select("*", context).join(kept.select("context", F.lit(True).alias("kept")), "context", "left")
+    short = F.lit(-1 << 24) + F.col("gram").bitwiseAND(F.lit((1 << 24) - 1))
+    return marked.select("lang", F.when(F.col("kept"), F.col("gram")).otherwise(short).alias("gram"), "n").groupBy(
+        "lang", "gram").agg(F.sum("n").alias("n"))
+
+
 def build(counts: pd.DataFrame, max_contexts: int) -> Model:
-    """The model of a frame (lang, gram, n) of summed counts of runs of ORDER + 1 bytes."""
+    """The model of a frame (lang, gram, n) of summed counts of runs of ORDER + 1 bytes, or of those ``pruned``."""
     langs = sorted(counts["lang"].unique())
     if not langs:
         return Model([], np.zeros(256, np.int64), np.zeros(1, np.int32), np.zeros((0, 1), np.float32))
@@ -188,11 +206,12 @@ def build(counts: pd.DataFrame, max_contexts: int) -> Model:
     k = len(seen) + 1
     a, b, c, x = (classes[(gram >> s) & 255] for s in (24, 16, 8, 0))
     code = (a * k + b) * k + c
+    whole = gram >= 0
     # contexts of 0, 1 and 2 bytes, all that were seen, and the most frequent of 3
-    often = pd.Series(n).groupby(code).sum().sort_index().sort_values(ascending=False, kind="stable")
+    often = pd.Series(n[whole]).groupby(code[whole]).sum().sort_index().sort_values(ascending=False, kind="stable")
     orders = [np.zeros(1, np.int64), np.unique(c), np.unique(b * k + c),
               np.sort(often.index.to_numpy(np.int64)[:max_contexts])]
-    held = np.isin(code, orders[3])
+    held = whole & np.isin(code, orders[3])
     levels: list[np.ndarray] = []
     for j, ctx in enumerate(orders):
         use = held if j == ORDER else np.ones(len(n), bool)
@@ -227,8 +246,15 @@ def letters(text: Column) -> Column:
 
 def _limits(model: Model, rows: DataFrame, text_col: str) -> dict[str, float]:
     """The limit of each language from the bits per byte of rows that ``model`` has not seen."""
-    coded = predict(rows.select(text_col), model, text_col=text_col).select("language.lang", "language.bits").dropna()
-    marks = coded.rollup("lang").agg(F.percentile_approx("bits", [0.5, 0.75]).alias("q"), F.count(F.lit(1)).alias("n")).collect()
+    coded = predict(rows.select(text_col), model, text_col=text_col).select("language.lang", F.round("language.bits", 4).alias("bits"))
+    each = staged(coded.dropna().groupBy("lang", "bits").agg(F.count(F.lit(1)).alias("n")), "language", "bits")
+    both = each.unionByName(each.groupBy("bits").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(None).cast("string")))
+    # a language has at most as many different values as there are steps, whatever the number of rows
+    upto = Window.partitionBy("lang").orderBy("bits")
+    ranked = both.select(
+        "lang", "bits", F.sum("n").over(upto).alias("upto"), F.sum("n").over(Window.partitionBy("lang")).alias("n"))
+    at = [F.min(F.when(F.col("upto") >= F.col("n") * share, F.col("bits"))) for share in (0.5, 0.75)]
+    marks = ranked.groupBy("lang").agg(F.array(*at).alias("q"), F.first("n").alias("n")).collect()
     found = {r.lang: max(2.5 * r.q[0], r.q[1] + 8 * (r.q[1] - r.q[0])) for r in marks if r.n >= _LEAST_ROWS}
     # the row without a language stands for all of them
     return {lang: found.get(lang, found[None]) for lang in model.langs} if None in found else {}
@@ -245,20 +271,24 @@ def fit(
 
 
 def fit_halves(
-    labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    docs_per_lang: int = 2000, max_contexts: int = 12000,
+    labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_contexts: int = 12000,
 ) -> list[Model]:
-    """The models that judge the rows of each half, learned from the sample of the other one, with their limits."""
-    rows = labelled.select(F.col(id_col), F.col(text_col), F.col(lang_col))
-    chosen = sample(rows, id_col, lang_col, docs_per_lang).withColumn("__half", _half(id_col)).withColumn(
-        text_col, letters(F.col(text_col)))
-    counts = gram_counts(chosen.withColumn(lang_col, F.concat(F.col("__half").cast("string"), lang_col)), text_col, lang_col).toPandas()
-    half, counts["lang"] = counts["lang"].str[:1], counts["lang"].str[1:]
-    models = [build(counts[half == other], max_contexts) for other in "10"]
+    """The models that judge the rows of each half, learned from all labelled rows of the other one, with their limits."""
+    rows = labelled.select(F.col(id_col), F.col(text_col), F.col(lang_col)).filter(F.col(lang_col).isNotNull())
+    _shares(rows, lang_col)
+    rows = rows.withColumn("__half", _half(id_col)).withColumn(text_col, letters(F.col(text_col)))
+    counts = staged(
+        gram_counts(rows.withColumn(lang_col, F.concat(F.col("__half").cast("string"), lang_col)), text_col, lang_col).select(
+            F.substring("lang", 1, 1).alias("half"), F.expr("substring(lang, 2)").alias("lang"), "gram", "n"), "language", "grams")
+
+    def model_of(part: DataFrame) -> Model:
+        return build(pruned(part.select("lang", "gram", "n"), max_contexts).toPandas(), max_contexts)
+
+    models = [model_of(counts.filter(F.col("half") == other)) for other in "10"]
     if not all(m.langs for m in models):  # one of them has learned nothing: no limits
-        return [build(counts, max_contexts)] * 2
+        return [next((m for m in models if m.langs), models[0])] * 2
     for h, model in enumerate(models):
-        model.limits = _limits(model, chosen.filter(F.col("__half") == h), text_col)
+        model.limits = _limits(model, rows.filter(F.col("__half") == h), text_col)
     return models
 
 
