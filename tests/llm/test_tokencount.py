@@ -29,6 +29,17 @@ def test_every_prefix_has_the_count_of_its_own_encoding(library):
             assert counter.at_prefixes(text).tolist() == [library(text[:k]) for k in range(len(text) + 1)], repr(text)
 
 
+def test_plain_texts_are_split_as_the_library_does():
+    """Each plain character among letters, numbers, marks and white space, and steps that are forgotten all the time."""
+    counter, one = tokencount.Counter(PATH), tokencount.Counter(PATH, 1)
+    plain = [c for c in map(chr, range(0x10000)) if counter.plain(c)]
+    assert len(plain) > 30_000
+    for k in range(0, len(plain), 100):
+        text = "".join(f"a{c}b {c} 1{c}1{c}{c}\n {c}  !{c}'{c}" for c in plain[k:k + 100])
+        assert counter.split(text) == [text[a:b] for _, (a, b) in counter.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+    assert one.at_prefixes("the others' theory 12 été").tolist() == counter.at_prefixes("the others' theory 12 été").tolist()
+
+
 def test_long_runs_are_counted_whole(library):
     counter = tokencount.Counter(PATH)
     for text in ("a" * 200_000, " " * 100_000 + "x", "ab" * 100_000, "0123456789abcdef" * 20_000, "日本語" * 30_000):

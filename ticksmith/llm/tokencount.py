@@ -30,6 +30,7 @@ import functools
 import gc
 import itertools
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -43,13 +44,31 @@ from ticksmith.llm.common import in_runs
 #: The split of the vocabularies served, as their files have it, and its white space.
 _SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028-\u2029\u202f\u205f\u3000"
-_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 #: Contractions whose first letter alone makes no contraction.
 _CUT = ("'re", "'ve", "'ll")
 #: Characters on whose kind all versions of Unicode agree; a text with any other is split by the library.
 _PLAIN = (r"[\x00-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u04ff\u2000-\u2064\u2066-\u206f\u20a0-\u20bf\u2190-\u21ff"
           r"\u3000-\u3002\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
 
+
+def _plain_pieces() -> str:
+    """``_PIECES`` for plain texts, with their letters and numbers written out: the standard library splits faster."""
+    import regex
+
+    plain = "".join(c for c in map(chr, range(0x10000)) if regex.fullmatch(_PLAIN, c))
+
+    def spans(kind: str) -> str:
+        """All characters of a kind as ranges, to stand inside brackets."""
+        found = [m.span() for m in regex.finditer(rf"\p{{{kind}}}+", plain)]
+        chars = [plain[k] for a, b in found for k in range(a, b)]
+        runs = [[c for _, c in run] for _, run in itertools.groupby(enumerate(chars), lambda x: ord(x[1]) - x[0])]
+        return "".join(f"\\u{ord(r[0]):04x}-\\u{ord(r[-1]):04x}" for r in runs)
+
+    letters, numbers = spans("L"), spans("N")
+    return (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{_SPACE}{letters}{numbers}]+"
+            rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+
+
 _INT = np.dtype("<i4")
 #: Pieces of at most so many bytes are remembered, with a byte for each count.
 SHORT = 64
@@ -79,10 +98,11 @@ class Counter:
         # only a token that is the encoding of its own text can stand in an encoding
         self.ids = {t: i for t, i in model["vocab"].items() if [m.id for m in self.merged(t)] == [i]}
         self.texts = {i: t for t, i in self.ids.items()}
-        self.ends = self._automaton()
+        self.states, self.ends = self._automaton()
+        self.fronts, self.steps = list(self.states), {}
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.level = functools.lru_cache(1 << 15)(lambda c: level.pre_tokenize_str(c)[0][0])
-        self.split, self.plain = regex.compile(_PIECES).findall, regex.compile(_PLAIN).fullmatch
+        self.split, self.plain = re.compile(_plain_pieces()).findall, regex.compile(_PLAIN).fullmatch
         self.gaps = regex.compile(f"[{_SPACE}]{{2,}}(?=[^{_SPACE}])").finditer
         controls = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.controls = regex.compile("|".join(map(regex.escape, controls))) if controls else None
@@ -90,14 +110,25 @@ class Counter:
         self.heads: dict[str, list[tuple[int, int, int]]] = {}
         self.known: dict[str, bytes] = {}
 
-    def _automaton(self) -> dict[str, tuple[tuple[int, int], ...]]:
-        """For every string that begins a token: (length, id) of all tokens that end it, the longest first."""
-        ends: dict[str, tuple[tuple[int, int], ...]] = {"": ()}
+    def _automaton(self) -> tuple[dict[str, int], list[tuple[tuple[int, int], ...]]]:
+        """The state of every string that begins a token, and for each: (length, id) of all tokens that end it, the longest first."""
+        states, ends = {"": 0}, [()]
         for front in sorted({t[:k] for t in self.ids for k in range(1, len(t) + 1)}, key=len):
-            shorter = next(front[k:] for k in range(1, len(front) + 1) if front[k:] in ends)
+            shorter = next(front[k:] for k in range(1, len(front) + 1) if front[k:] in states)
             own = self.ids.get(front)
-            ends[front] = (((len(front), own),) if own is not None else ()) + ends[shorter]
-        return ends
+            ends.append((((len(front), own),) if own is not None else ()) + ends[states[shorter]])
+            states[front] = len(states)
+        return states, ends
+
+    def _step(self, state: int, char: str) -> int:
+        """The state of the longest end that begins a token, one character further."""
+        front = self.fronts[state] + char
+        while front not in self.states:
+            front = front[1:]
+        if len(self.steps) >= self.memo:
+            self.steps.clear()
+        found = self.steps[state << 9 | ord(char)] = self.states[front]
+        return found
 
     def _follows(self, a: int, b: int) -> bool:
         """Whether two tokens are the encoding of their joined text."""
@@ -107,12 +138,11 @@ class Counter:
         return found
 
     def _rows(self, piece: str) -> list[tuple[int, int, int]]:
-        """(count, last token, width) of each prefix of a piece (a string of a character for each byte), the empty one first.
+        """(count, last token, state) of each prefix of a piece (a string of a character for each byte), the empty one first.
 
-        ``width`` is that of the longest end of the prefix which begins a token: the next one's is at most one more.
         Rows of pieces of at most SHORT bytes are kept under each of their prefixes, for all pieces that begin so.
         """
-        heads, ends, pairs, size = self.heads, self.ends, self.pairs, len(piece)
+        heads, ends, pairs, steps, size = self.heads, self.ends, self.pairs, self.steps, len(piece)
         known, rows = 0, [(0, -1, 0)]
         if size <= SHORT:
             if len(heads) >= self.memo:
@@ -123,13 +153,12 @@ class Counter:
                     break
             else:
                 known = 0
-        width = rows[-1][2]
+        state = rows[-1][2]
         for end in range(known + 1, size + 1):
-            at = end - width - 1
-            while (enders := ends.get(piece[at:end])) is None:
-                at += 1
-            width = end - at
-            for length, token in enders:
+            char = piece[end - 1]
+            then = steps.get(state << 9 | ord(char))
+            state = self._step(state, char) if then is None else then
+            for length, token in ends[state]:
                 count, last, _ = rows[end - length]
                 if not count:
                     break
@@ -140,7 +169,7 @@ class Counter:
                     break
             else:
                 raise AssertionError(f"no token ends {piece[:end]!r}")
-            rows.append((count + 1, token, width))
+            rows.append((count + 1, token, state))
             if size <= SHORT:
                 heads[piece[:end]] = rows
         return rows
@@ -176,9 +205,14 @@ class Counter:
             pieces = self.split(text)
         else:
             pieces = [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-        rows = [self.known.get(p) or self._piece(p) for p in pieces]
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        if sizes.max() * 4 <= SHORT or all(type(r) is bytes for r in rows):
+        rows, short = list(map(self.known.get, pieces)), True
+        if None in rows:
+            for i, found in enumerate(rows):
+                if found is None:
+                    rows[i] = found = self._piece(pieces[i])
+                    short = short and type(found) is bytes
+        sizes = np.array(list(map(len, pieces)))
+        if short:
             inner = np.frombuffer(b"".join(rows), np.uint8).astype(_INT)
         else:
             inner = np.concatenate([np.frombuffer(r, np.uint8) if type(r) is bytes else r for r in rows]).astype(_INT)
